@@ -39,7 +39,7 @@ from pyspark.ml.feature import (
     HashingTF,
     IndexToString,
     StopWordsRemover,
-    StringIndexer,
+    StringIndexerModel,
     Tokenizer,
 )
 from pyspark.ml.functions import vector_to_array
@@ -75,9 +75,14 @@ def with_model_text(df: DataFrame, text_col: str = "texto") -> DataFrame:
 
 def text_stages(params: ClassifierParams) -> tuple[Tokenizer, StopWordsRemover]:
     tokenizer = Tokenizer(inputCol=MODEL_TEXT, outputCol=TOKENS)
+    # Tokens are already lower case and Spark's lists are lower case, so an
+    # exact match gives the case-insensitive result without lowercasing
+    # every token a second time.
+    words = StopWordsRemover.loadDefaultStopWords(params.stop_words_language)
+    if any(w != w.lower() for w in words):
+        words = [w.lower() for w in words]
     remover = StopWordsRemover(inputCol=TOKENS, outputCol=CLEAN_TOKENS,
-                               stopWords=StopWordsRemover.loadDefaultStopWords(
-                                   params.stop_words_language))
+                               stopWords=words, caseSensitive=True)
     return tokenizer, remover
 
 
@@ -87,6 +92,18 @@ def tokenize(df: DataFrame, params: ClassifierParams = ClassifierParams()) -> Da
     return remover.transform(tokenizer.transform(with_model_text(df, params.text_col)))
 
 
+def explode_terms(tokens: DataFrame, tokens_col: str = CLEAN_TOKENS, *keep: str) -> DataFrame:
+    """One row per token.
+
+    ``explode_outer`` plus a null filter instead of ``explode``: from an inner
+    explode Catalyst infers a ``size(tokens) > 0`` filter and, the tokenizer
+    being deterministic, evaluates the tokenizer stages a second time inside
+    it (and below any exchange).  Tokens themselves are never null.
+    """
+    return (tokens.select(*keep, F.explode_outer(tokens_col).alias("term"))
+            .filter(F.col("term").isNotNull()))
+
+
 def vocabulary(tokens: DataFrame, vocab_size: int, min_df: float = 1.0,
                tokens_col: str = CLEAN_TOKENS) -> DataFrame:
     """Top terms: (term_index, term, total); count desc, then term asc.
@@ -95,7 +112,7 @@ def vocabulary(tokens: DataFrame, vocab_size: int, min_df: float = 1.0,
     The default (1 document) holds for every term seen, so the document
     frequency pass is only run when a stricter threshold is asked for.
     """
-    terms = tokens.select(F.explode(tokens_col).alias("term"))
+    terms = explode_terms(tokens, tokens_col)
     totals = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
     if min_df > 1.0 or min_df < 1.0:
         threshold = min_df if min_df >= 1.0 else min_df * tokens.count()
@@ -128,11 +145,24 @@ def term_counts(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id",
     what makes broadcasting it safe; out-of-vocabulary tokens are dropped by
     the semi-join before the per-row counts are shuffled.
     """
-    terms = tokens.select(key, F.explode(tokens_col).alias("term"))
+    terms = explode_terms(tokens, tokens_col, key)
     in_vocab = terms.join(F.broadcast(vocab.select("term")), "term", "left_semi")
     return in_vocab.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
+def label_indexer(labelled: DataFrame, label_col: str = "etiqueta") -> StringIndexerModel:
+    """Label index by frequency (descending), ties by label; unseen labels kept.
+
+    The same order ``StringIndexer(stringOrderType="frequencyDesc")`` fits,
+    from one aggregate over the label column only (the text is pruned from
+    the scan), one row per class back to the driver.
+    """
+    counts = (labelled.groupBy(label_col).agg(F.count(F.lit(1)).alias("n"))
+              .orderBy(F.col("n").desc(), F.col(label_col).asc()).collect())
+    return StringIndexerModel.from_labels([r[label_col] for r in counts], inputCol=label_col,
+                                          outputCol=LABEL, handleInvalid="keep")
+
+
 def term_stage(terms: list[str] | None, params: ClassifierParams):
     if params.hashed:
         return HashingTF(inputCol=CLEAN_TOKENS, outputCol=RAW_FEATURES,
@@ -149,8 +179,7 @@ def train(corpus: DataFrame, params: ClassifierParams = ClassifierParams()) -> P
     """
     labelled = with_model_text(
         corpus.filter(F.col(params.label_col).isNotNull()), params.text_col)
-    indexer = StringIndexer(inputCol=params.label_col, outputCol=LABEL,
-                            handleInvalid="keep", stringOrderType="frequencyDesc").fit(labelled)
+    indexer = label_indexer(labelled, params.label_col)
     tokenizer, remover = text_stages(params)
     tokens = remover.transform(tokenizer.transform(labelled))
     terms = None

@@ -203,8 +203,8 @@ def scored_class_stats(spark, sf_dir):
 
 def score_examples(spark, sf_dir):
     model = trained_model(spark, sf_dir)
-    conv = T.table(spark, sf_dir, "conversations").select(
-        "conv_id", "turn", F.col("text").alias("texto"))
+    conv = T.spread(T.table(spark, sf_dir, "conversations").select(
+        "conv_id", "turn", F.col("text").alias("texto")))
     return clf.rounded(clf.score(model, conv, keep=["conv_id", "turn"]))
 
 

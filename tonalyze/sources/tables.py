@@ -21,6 +21,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that has fewer splits than task slots.
+
+    Text stages are CPU-bound per row.  A small table stored as one parquet
+    row group is read by a single task however many cores there are; here
+    its rows are dealt out to every slot first.  A large input already has
+    more splits than slots and is returned untouched (no shuffle).
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.isStreaming or df.rdd.getNumPartitions() >= slots:
+        return df
+    return df.repartition(slots)
+
+
 def class_of(toxic: Column, quality: Column) -> Column:
     """Three-class label of a labelled document."""
     return (F.when(toxic == 1, F.lit(CLASS_NEGATIVE))
@@ -35,7 +49,7 @@ def labelled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     when the runtime size of ``labels`` is under Spark's checked threshold,
     otherwise it stays a sort-merge join on doc_id.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"))
+    docs = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto")))
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", class_of(F.col("toxic"), F.col("quality")).alias("etiqueta"))
     return docs.join(labels, "doc_id", "inner")
@@ -43,7 +57,7 @@ def labelled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts to score: (doc_id, texto)."""
-    return table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"))
+    return spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto")))
 
 
 def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
