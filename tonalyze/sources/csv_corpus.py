@@ -22,6 +22,9 @@ _CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
+    # Null as \N so that an empty text ("" on disk) reads back as '' and a
+    # missing one as null; with the default both read back as null.
+    "nullValue": "\\N",
 }
 
 
