@@ -39,9 +39,30 @@ def newest(preds: DataFrame, limit: int | None = HISTORY_LIMIT,
     return _limit(ordered, limit)
 
 
+def newest_rows(preds: DataFrame, limit: int | None = HISTORY_LIMIT,
+                wide: tuple[str, ...] = ("texto",), id_col: str = "id") -> DataFrame:
+    """Newest-n rows with every column, reading the wide columns for n rows only.
+
+    Phase 1 ranks on the narrow columns (the text is pruned from the scan)
+    and brings the n winning ids to the driver -- n is the requested limit.
+    Phase 2 filters on those ids; the ``IN`` predicate reaches the parquet
+    scans, so text pages of other rows can be skipped.  Re-ranking the
+    filtered rows gives exactly the one-phase result.
+    """
+    if not limit or not any(c in preds.columns for c in wide):
+        return newest(preds, limit, id_col=id_col)
+    narrow = preds.drop(*[c for c in wide if c in preds.columns])
+    keys = [r[0] for r in newest(narrow, limit, id_col=id_col).select(id_col).collect()]
+    present = [k for k in keys if k is not None]
+    cond = F.col(id_col).isin(present) if present else F.lit(False)
+    if len(present) < len(keys):
+        cond = cond | F.col(id_col).isNull()
+    return newest(preds.filter(cond), limit, id_col=id_col)
+
+
 def latest_predictions(preds: DataFrame, limit: int | None = HISTORY_LIMIT) -> DataFrame:
     """History read: id as text, ISO timestamp text."""
-    return newest(preds, limit).select(
+    return newest_rows(preds, limit).select(
         F.col("id").cast("string").alias("_id"),
         "texto", "prediccion", "probability",
         fmt.iso_timestamp(F.col("ts")).alias("timestamp"),
