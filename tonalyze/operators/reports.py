@@ -75,16 +75,19 @@ def latest_by_class(preds: DataFrame, clase: str, limit: int | None = HISTORY_LI
     return latest_predictions(preds.filter(F.col("prediccion") == F.lit(clase)), limit)
 
 
-def class_stats(preds: DataFrame) -> DataFrame:
+def class_stats(preds: DataFrame, ordered: bool = True) -> DataFrame:
     """Rows and mean confidence (max of the probability vector) per class.
 
     Null is a group of its own.  Rows without a probability vector count in
-    ``total`` and are left out of the mean.
+    ``total`` and are left out of the mean.  ``ordered`` sorts by total
+    (descending) for display; callers that aggregate further skip it.
     """
-    return (preds.groupBy(F.col("prediccion").alias("_id"))
-            .agg(F.count(F.lit(1)).alias("total"),
-                 F.round(F.avg(F.array_max("probability")), 6).alias("promedio_confianza"))
-            .orderBy(F.col("total").desc(), F.col("_id").asc_nulls_last()))
+    stats = (preds.groupBy(F.col("prediccion").alias("_id"))
+             .agg(F.count(F.lit(1)).alias("total"),
+                  F.round(F.avg(F.array_max("probability")), 6).alias("promedio_confianza")))
+    if ordered:
+        stats = stats.orderBy(F.col("total").desc(), F.col("_id").asc_nulls_last())
+    return stats
 
 
 def _merged_counts(stats: DataFrame) -> DataFrame:
@@ -170,6 +173,6 @@ def overview(preds: DataFrame, limit: int = OVERVIEW_LIMIT) -> DataFrame:
               .agg(F.sort_array(F.collect_list(F.struct(
                    F.col("ts").alias("ts"), F.col("id").alias("id"))), asc=False).alias("r"))
               .select(F.transform("r", lambda x: x["id"].cast("string")).alias("recientes")))
-    summary = class_summary(class_stats(preds))
+    summary = class_summary(class_stats(preds, ordered=False))
     both = recent.unionByName(summary, allowMissingColumns=True)
     return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])

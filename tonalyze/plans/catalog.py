@@ -60,7 +60,7 @@ def class_stats(spark, sf_dir):
 
 
 def class_summary(spark, sf_dir):
-    return reports.class_summary(reports.class_stats(T.stored_predictions(spark, sf_dir)))
+    return reports.class_summary(reports.class_stats(T.stored_predictions(spark, sf_dir), ordered=False))
 
 
 def latest_predictions(spark, sf_dir):
@@ -114,7 +114,11 @@ def migrate_predictions(spark, sf_dir):
 
 
 def migration_counts(spark, sf_dir):
-    return store.migration_counts(T.stored_predictions(spark, sf_dir))
+    """Write the legacy store, migrate it to a new table, report the counts."""
+    src, dst = work_path(spark, "legacy-store"), work_path(spark, "migrated-store")
+    T.stored_predictions(spark, sf_dir).write.parquet(src)
+    matched, modified = store.migrate_store(spark, src, dst)
+    return spark.createDataFrame([(matched, modified)], "matched_count long, modified_count long")
 
 
 def store_predictions(spark, sf_dir):
@@ -262,7 +266,7 @@ def strip_special(spark, sf_dir):
 
 
 def class_share(spark, sf_dir):
-    return reports.class_share(reports.class_stats(T.stored_predictions(spark, sf_dir)))
+    return reports.class_share(reports.class_stats(T.stored_predictions(spark, sf_dir), ordered=False))
 
 
 def class_over_time(spark, sf_dir):
