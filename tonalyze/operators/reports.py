@@ -14,7 +14,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonalyze.functions import formatting as fmt
@@ -125,10 +125,11 @@ def class_summary(stats: DataFrame) -> DataFrame:
 def class_share(stats: DataFrame) -> DataFrame:
     """Share of each class in all predictions (pie-chart data)."""
     merged = _merged_counts(stats)
-    # At most one row per class reaches this window.
-    grand = F.sum("total").over(Window.partitionBy())
+    # The grand total is one scalar aggregate (a number to the driver), so no
+    # single-partition window or cross join is needed to divide by it.
+    grand = merged.agg(F.sum("total")).first()[0] or 0
     return merged.select("clase", "total",
-                         F.round(F.col("total") / grand, 6).alias("proporcion"))
+                         F.round(F.col("total") / F.lit(grand), 6).alias("proporcion"))
 
 
 def class_over_time(preds: DataFrame, every: str = "1 hour") -> DataFrame:

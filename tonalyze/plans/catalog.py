@@ -31,7 +31,8 @@ def trained_model(spark: SparkSession, sf_dir: str,
                   params: clf.ClassifierParams = clf.ClassifierParams(),
                   reuse: bool = True) -> PipelineModel:
     """Model fitted on the labelled corpus; fitted once per session and input."""
-    key = (id(spark.sparkContext._jsc), sf_dir.rstrip("/"), params)
+    sc = spark.sparkContext
+    key = (sc.applicationId, sc.startTime, sf_dir.rstrip("/"), params)
     if not reuse or key not in _MODELS:
         _MODELS[key] = clf.train(T.labelled_corpus(spark, sf_dir), params)
     return _MODELS[key]

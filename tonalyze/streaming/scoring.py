@@ -44,13 +44,18 @@ def score_lines(model: PipelineModel, lines: DataFrame) -> DataFrame:
     )
 
 
-def run_available(stream: DataFrame, sink_path: str, checkpoint: str,
+def run_available(stream: DataFrame, sink_path: str | None, checkpoint: str,
                   fmt: str = "parquet", timeout_s: float | None = 600) -> None:
-    """Process everything available now, then stop (one or more batches)."""
-    query = (stream.writeStream.format(fmt).outputMode("append")
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start(sink_path))
+    """Process everything available now, then stop (one or more batches).
+
+    ``fmt="console"`` (no path) prints each batch, the debugging sink.
+    """
+    writer = (stream.writeStream.format(fmt).outputMode("append")
+              .option("checkpointLocation", checkpoint)
+              .trigger(availableNow=True))
+    if fmt == "console":
+        writer = writer.option("truncate", "false")
+    query = writer.start(sink_path) if sink_path else writer.start()
     try:
         query.awaitTermination(timeout_s)
     finally:
