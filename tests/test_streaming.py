@@ -30,3 +30,18 @@ def test_stream_equals_batch_and_resume_is_exactly_once(spark, sf_small):
     out = spark.read.parquet(sink)
     assert _rows(out) == batch
     assert out.filter("timestamp IS NULL").count() == 0
+
+
+def test_long_running_query_with_rate_limit(spark, sf_small):
+    model = catalog.trained_model(spark, sf_small)
+    lines = records.encode_records(catalog._cleaned(spark, sf_small)).select("value")
+    src, sink, ckpt = (work_path(spark, n) for n in ("lr-src", "lr-sink", "lr-ckpt"))
+    stream.write_lines(lines.repartition(3), src)
+    q = stream.start_scoring(model, spark, src, sink, ckpt, every="100 milliseconds",
+                             max_files_per_trigger=1)
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(sink).count() == lines.count()
+    assert q.lastProgress is not None

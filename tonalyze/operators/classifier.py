@@ -217,6 +217,12 @@ def score(model: PipelineModel, df: DataFrame, text_col: str = "texto",
     )
 
 
+def scoring_record(scored: DataFrame) -> DataFrame:
+    """Response record of a scoring request, for a whole scored batch:
+    class, probability vector, confidence and a constant status."""
+    return scored.withColumn("status", F.lit("processed"))
+
+
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
     """Confidence and probabilities rounded (for comparison across engines)."""
     out = df

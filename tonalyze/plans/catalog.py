@@ -128,9 +128,10 @@ def store_predictions(spark, sf_dir):
     path = work_path(spark, "store")
     store.append_predictions(store.enrich_for_store(scored, id_col="doc_id"), path)
     saved = store.read_store(spark, path)
+    # A row read back from the store was stored: the request's "stored" flag.
     return clf.rounded(saved.select(
         "id", "texto", "prediccion", "probability", "estado",
-        F.col("ts").isNotNull().alias("con_fecha")))
+        F.col("ts").isNotNull().alias("con_fecha"), F.col("id").isNotNull().alias("stored")))
 
 
 def clear_predictions(spark, sf_dir):
@@ -194,7 +195,7 @@ def nb_model_params(spark, sf_dir):
 
 def score_corpus(spark, sf_dir):
     model = trained_model(spark, sf_dir)
-    return clf.rounded(clf.score(model, T.documents(spark, sf_dir), keep=["doc_id"]))
+    return clf.rounded(clf.scoring_record(clf.score(model, T.documents(spark, sf_dir), keep=["doc_id"])))
 
 
 def scored_class_stats(spark, sf_dir):

@@ -246,7 +246,7 @@ FROM preds"""
                          OR confianza IS NOT NULL) AS BIGINT) AS modified_count
 FROM preds"""
     q["store_predictions"] = _with(CORPUS, nb_docs) + """SELECT CAST(d.doc_id AS VARCHAR) AS id, d.text AS texto,
-  s.prediccion, s.probability, 'almacenado' AS estado, true AS con_fecha
+  s.prediccion, s.probability, 'almacenado' AS estado, true AS con_fecha, true AS stored
 FROM documents d JOIN scored s ON s.key = d.doc_id"""
     q["clear_predictions"] = _with(PREDS) + \
         "SELECT CAST(count(*) AS BIGINT) AS deleted_count, CAST(0 AS BIGINT) AS remaining_count FROM preds"
@@ -276,7 +276,7 @@ FROM corpus c JOIN (SELECT etiqueta, row_number() OVER (ORDER BY count(*) DESC,
     q["nb_model_params"] = _with(CORPUS, nb_corpus) + """SELECT clase, NULL::VARCHAR AS term, round(lp, 6) AS valor FROM prior
 UNION ALL SELECT clase, w, round(lt, 6) FROM theta"""
     q["score_corpus"] = _with(CORPUS, nb_docs) + \
-        "SELECT key AS doc_id, prediccion, confianza, probability FROM scored"
+        "SELECT key AS doc_id, prediccion, confianza, probability, 'processed' AS status FROM scored"
     q["scored_class_stats"] = _with(CORPUS, nb_docs) + """SELECT prediccion, CAST(count(*) AS BIGINT) AS total,
   round(avg(confianza), 6) AS promedio_confianza
 FROM (SELECT key, prediccion, list_max(probability) AS confianza FROM scored) GROUP BY prediccion"""

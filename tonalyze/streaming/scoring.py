@@ -68,3 +68,18 @@ def run_available(stream: DataFrame, sink_path: str | None, checkpoint: str,
 def write_lines(records_df: DataFrame, path: str) -> None:
     """Append wire lines as new text files of the source folder."""
     records_df.select("value").write.mode("append").text(path)
+
+
+def start_scoring(model: PipelineModel, spark: SparkSession, source: str, sink: str,
+                  checkpoint: str, every: str = "1 second",
+                  max_files_per_trigger: int | None = None, fmt: str = "parquet"):
+    """Long-running form: a micro-batch every ``every``; returns the query.
+
+    Restarting with the same checkpoint resumes after the last committed
+    batch.  The caller awaits or stops the returned query.
+    """
+    scored = score_lines(model, text_source(spark, source, max_files_per_trigger))
+    return (scored.writeStream.format(fmt).outputMode("append")
+            .option("checkpointLocation", checkpoint)
+            .trigger(processingTime=every)
+            .start(sink))
