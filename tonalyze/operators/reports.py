@@ -60,9 +60,9 @@ def newest_rows(preds: DataFrame, limit: int | None = HISTORY_LIMIT,
     return newest(preds.filter(cond), limit, id_col=id_col)
 
 
-def latest_predictions(preds: DataFrame, limit: int | None = HISTORY_LIMIT) -> DataFrame:
-    """History read: id as text, ISO timestamp text."""
-    return newest_rows(preds, limit).select(
+def history_record(preds: DataFrame) -> DataFrame:
+    """History document shape: id as text, ISO timestamp text."""
+    return preds.select(
         F.col("id").cast("string").alias("_id"),
         "texto", "prediccion", "probability",
         fmt.iso_timestamp(F.col("ts")).alias("timestamp"),
@@ -70,6 +70,11 @@ def latest_predictions(preds: DataFrame, limit: int | None = HISTORY_LIMIT) -> D
     )
 
 
+def latest_predictions(preds: DataFrame, limit: int | None = HISTORY_LIMIT) -> DataFrame:
+    """History read, newest first."""
+    return history_record(newest_rows(preds, limit))
+
+
 def latest_by_class(preds: DataFrame, clase: str, limit: int | None = HISTORY_LIMIT) -> DataFrame:
     """History filtered to one class; the filter runs before the top-n."""
     return latest_predictions(preds.filter(F.col("prediccion") == F.lit(clase)), limit)
@@ -156,8 +161,12 @@ def format_predictions(preds: DataFrame) -> DataFrame:
 
 
 def predictions_json(preds: DataFrame, limit: int | None = None) -> DataFrame:
-    """History documents as JSON text, one per prediction (null fields kept)."""
-    docs = latest_predictions(preds, limit)
+    """History documents as JSON text, one per prediction (null fields kept).
+
+    With a limit: the newest ``limit`` documents.  Without one this is the
+    bulk export of the whole table, map-only: no global sort of the table.
+    """
+    docs = latest_predictions(preds, limit) if limit else history_record(preds)
     return docs.select(
         "_id",
         F.to_json(F.struct(*[F.col(c) for c in docs.columns]),

@@ -51,7 +51,7 @@ def csv_corpus_scan(spark, sf_dir):
 
 
 def lower_text(spark, sf_dir):
-    return T.labelled_corpus(spark, sf_dir).withColumn("texto", F.lower("texto"))
+    return T.labelled_corpus(spark, sf_dir, spread_rows=False).withColumn("texto", F.lower("texto"))
 
 
 # -- step 2 ---------------------------------------------------------------
@@ -100,7 +100,7 @@ def parse_records(spark, sf_dir):
 
 
 def text_preview(spark, sf_dir):
-    return records.text_preview(T.documents(spark, sf_dir)).select("doc_id", "preview")
+    return records.text_preview(T.documents(spark, sf_dir, spread_rows=False)).select("doc_id", "preview")
 
 
 def reject_empty(spark, sf_dir):
@@ -164,7 +164,8 @@ def label_index(spark, sf_dir):
     model = trained_model(spark, sf_dir)
     from pyspark.ml.feature import StringIndexerModel
     indexer = clf.stage(model, StringIndexerModel)
-    return indexer.transform(T.labelled_corpus(spark, sf_dir)).select("doc_id", "etiqueta", "label")
+    corpus = T.labelled_corpus(spark, sf_dir, spread_rows=False)
+    return indexer.transform(corpus).select("doc_id", "etiqueta", "label")
 
 
 def tokens(spark, sf_dir):

@@ -42,22 +42,24 @@ def class_of(toxic: Column, quality: Column) -> Column:
             .otherwise(F.lit(CLASS_NEUTRAL)))
 
 
-def labelled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_corpus(spark: SparkSession, sf_dir: str, spread_rows: bool = True) -> DataFrame:
     """``documents JOIN labels``: (doc_id, texto, etiqueta).
 
     Equi-join on doc_id with no hint: AQE turns it into a broadcast join only
     when the runtime size of ``labels`` is under Spark's checked threshold,
     otherwise it stays a sort-merge join on doc_id.
     """
-    docs = spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto")))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"))
+    docs = spread(docs) if spread_rows else docs
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", class_of(F.col("toxic"), F.col("quality")).alias("etiqueta"))
     return docs.join(labels, "doc_id", "inner")
 
 
-def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts to score: (doc_id, texto)."""
-    return spread(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto")))
+def documents(spark: SparkSession, sf_dir: str, spread_rows: bool = True) -> DataFrame:
+    """Texts to score: (doc_id, texto).  ``spread_rows`` for CPU-heavy text stages."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"))
+    return spread(docs) if spread_rows else docs
 
 
 def stored_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
