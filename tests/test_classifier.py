@@ -201,3 +201,28 @@ def test_term_counts_match_count_vectors(spark, corpus, model):
     dense = cv.transform(toks).select("doc_id", vector_to_array(F.col("rawFeatures")).alias("a")).collect()
     by_ml = {(r.doc_id, cv.vocabulary[j]): int(c) for r in dense for j, c in enumerate(r.a) if c}
     assert by_df == by_ml
+
+
+def test_split_fit_equals_stock_pipeline_fit(spark, corpus, model):
+    """Without a tie at the vocabulary cut the model equals Pipeline.fit."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import NaiveBayes
+    from pyspark.ml.feature import IDF, CountVectorizer, IndexToString, StringIndexer
+
+    tok, rem = clf.text_stages(clf.ClassifierParams())
+    indexer = StringIndexer(inputCol="etiqueta", outputCol="label", handleInvalid="keep")
+    label_model = indexer.fit(corpus)
+    stock = Pipeline(stages=[
+        indexer, tok, rem,
+        CountVectorizer(inputCol=clf.CLEAN_TOKENS, outputCol=clf.RAW_FEATURES, vocabSize=5000, minDF=1.0),
+        IDF(inputCol=clf.RAW_FEATURES, outputCol=clf.FEATURES),
+        NaiveBayes(smoothing=1.0, modelType="multinomial"),
+        IndexToString(inputCol="prediction", outputCol=clf.PREDICTED, labels=label_model.labels),
+    ]).fit(clf.with_model_text(corpus))
+    texts = spark.createDataFrame([(i, t) for i, t, _ in CORPUS] + [(99, "rápida caja fría")],
+                                  "doc_id long, texto string")
+    ours = {r.doc_id: r for r in clf.score(model, texts, keep=["doc_id"]).collect()}
+    theirs = {r.doc_id: r for r in clf.score(stock, texts, keep=["doc_id"]).collect()}
+    for k in ours:
+        assert ours[k].prediccion == theirs[k].prediccion
+        assert np.allclose(ours[k].probability, theirs[k].probability, rtol=1e-12)
