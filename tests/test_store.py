@@ -2,8 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
-
 from tonalyze.operators import store
 from tonalyze.session import work_path
 
@@ -57,4 +55,3 @@ def test_append_then_clear(spark):
     assert all(r.ts is not None and r.estado == "almacenado" for r in rows)
     assert store.clear_predictions(spark, path) == 4
     assert store.read_store(spark, path).count() == 0
-    assert F is not None
