@@ -226,3 +226,10 @@ def test_split_fit_equals_stock_pipeline_fit(spark, corpus, model):
     for k in ours:
         assert ours[k].prediccion == theirs[k].prediccion
         assert np.allclose(ours[k].probability, theirs[k].probability, rtol=1e-12)
+
+
+def test_score_inline_request_texts(spark, model):
+    out = clf.score_texts(spark, model, ["producto excelente, entrega rápida",
+                                         "comida fría y tarde", "la caja en la oficina"]).collect()
+    assert [r.prediccion for r in sorted(out, key=lambda r: r.pos)] == ["positivo", "negativo", "neutral"]
+    assert all(r.status == "processed" for r in out)

@@ -217,6 +217,12 @@ def score(model: PipelineModel, df: DataFrame, text_col: str = "texto",
     )
 
 
+def score_texts(spark: SparkSession, model: PipelineModel, texts: list[str]) -> DataFrame:
+    """Score request texts given inline (one small frame, one plan for all)."""
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "pos int, texto string")
+    return scoring_record(score(model, rows))
+
+
 def scoring_record(scored: DataFrame) -> DataFrame:
     """Response record of a scoring request, for a whole scored batch:
     class, probability vector, confidence and a constant status."""
