@@ -233,3 +233,17 @@ def test_score_inline_request_texts(spark, model):
                                          "comida fría y tarde", "la caja en la oficina"]).collect()
     assert [r.prediccion for r in sorted(out, key=lambda r: r.pos)] == ["positivo", "negativo", "neutral"]
     assert all(r.status == "processed" for r in out)
+
+
+def test_sql_murmur3_bucket_equals_hashing_tf(spark):
+    import duckdb
+    from pyspark.ml.feature import HashingTF
+
+    from tonalyze.plans.oracle import murmur3_buckets
+    words = ["", "a", "ab", "abc", "abcd", "abcde", "hola", "éçà", "niño", "straße", "x" * 37, "日本語", "€uro"]
+    con = duckdb.connect()
+    con.execute("CREATE TABLE ws (w VARCHAR)")
+    con.executemany("INSERT INTO ws VALUES (?)", [(w,) for w in words])
+    got = dict(con.execute(f"WITH {murmur3_buckets('ws', 1 << 18)} SELECT w, j FROM bucket").fetchall())
+    htf = HashingTF(numFeatures=1 << 18)
+    assert got == {w: htf.indexOf(w) for w in words}
