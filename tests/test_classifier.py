@@ -144,9 +144,11 @@ def test_null_text_scores_and_null_label_rows_are_dropped(spark):
     assert clf.score(m, df, keep=["doc_id"]).first().prediccion in clf.label_names(m)
 
 
-def test_model_save_load_roundtrip(spark, model, tmp_path):
+def test_model_save_load_roundtrip(spark, model):
     from pyspark.ml import PipelineModel
-    path = str(tmp_path / "m")
+
+    from tonalyze.session import work_path
+    path = work_path(spark, "test-model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     df = spark.createDataFrame([(1, "producto excelente")], "doc_id long, texto string")

@@ -57,12 +57,13 @@ def test_reject_empty_side_output(spark):
     assert flags == {1: True, 2: False, 3: False, 4: False, 5: False}
 
 
-def test_csv_roundtrip_keeps_multiline_quotes_and_edges(spark, tmp_path):
+def test_csv_roundtrip_keeps_multiline_quotes_and_edges(spark):
+    from tonalyze.session import work_path
     from tonalyze.sources import csv_corpus
 
     rows = [(1, 'dice "hola",\nadiós ', "positivo"), (2, "  espacios  ", "neutral"), (3, "", "negativo")]
     df = spark.createDataFrame(rows, csv_corpus.CORPUS_SCHEMA)
-    path = str(tmp_path / "corpus")
+    path = work_path(spark, "test-corpus")
     csv_corpus.write_corpus_csv(df, path)
     back = sorted(tuple(r) for r in csv_corpus.read_corpus_csv(spark, path).collect())
     assert back == rows

@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,8 +83,8 @@ def predictions_json(spark, sf_dir):
 
 # -- step 3 ---------------------------------------------------------------
 
-def _cleaned(spark, sf_dir):
-    return records.clean_records(T.labelled_corpus(spark, sf_dir))
+def _cleaned(spark, sf_dir, extra_cols: tuple[str, ...] = ()):
+    return records.clean_records(T.labelled_corpus(spark, sf_dir, extra_cols=extra_cols))
 
 
 def clean_records(spark, sf_dir):
@@ -161,9 +162,7 @@ def unified_predictions(spark, sf_dir):
 # -- step 5 ---------------------------------------------------------------
 
 def label_index(spark, sf_dir):
-    model = trained_model(spark, sf_dir)
-    from pyspark.ml.feature import StringIndexerModel
-    indexer = clf.stage(model, StringIndexerModel)
+    indexer = clf.stage(trained_model(spark, sf_dir), StringIndexerModel)
     corpus = T.labelled_corpus(spark, sf_dir, spread_rows=False)
     return indexer.transform(corpus).select("doc_id", "etiqueta", "label")
 
@@ -246,8 +245,7 @@ def stream_score(spark, sf_dir):
 def stream_resume(spark, sf_dir):
     """Two arrivals and an idle restart on one checkpoint: each row once."""
     source, sink, ckpt = (work_path(spark, n) for n in ("resume-src", "resume-sink", "resume-ckpt"))
-    docs_lang = T.table(spark, sf_dir, "documents").select("doc_id", "lang")
-    lines = records.encode_records(_cleaned(spark, sf_dir)).join(docs_lang, "doc_id", "left")
+    lines = records.encode_records(_cleaned(spark, sf_dir, extra_cols=("lang",)))
     first = F.col("lang").isin("en", "es")
     model = trained_model(spark, sf_dir)
     stream.write_lines(lines.filter(first), source)

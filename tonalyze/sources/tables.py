@@ -42,14 +42,15 @@ def class_of(toxic: Column, quality: Column) -> Column:
             .otherwise(F.lit(CLASS_NEUTRAL)))
 
 
-def labelled_corpus(spark: SparkSession, sf_dir: str, spread_rows: bool = True) -> DataFrame:
-    """``documents JOIN labels``: (doc_id, texto, etiqueta).
+def labelled_corpus(spark: SparkSession, sf_dir: str, spread_rows: bool = True,
+                    extra_cols: tuple[str, ...] = ()) -> DataFrame:
+    """``documents JOIN labels``: (doc_id, texto, etiqueta, *extra_cols).
 
     Equi-join on doc_id with no hint: AQE turns it into a broadcast join only
     when the runtime size of ``labels`` is under Spark's checked threshold,
     otherwise it stays a sort-merge join on doc_id.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"), *extra_cols)
     docs = spread(docs) if spread_rows else docs
     labels = table(spark, sf_dir, "labels").select(
         "doc_id", class_of(F.col("toxic"), F.col("quality")).alias("etiqueta"))
