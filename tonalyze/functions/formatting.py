@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Output formats.
-ISO_SECONDS = "yyyy-MM-dd'T'HH:mm:ss"
-ISO_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-SPANISH_LOCALE_DATETIME = "d/M/yyyy, H:mm:ss"
-MISSING_PROBABILITY = "N/A"
+from tonalyze.fixed import (
+    ISO_MICROS,
+    ISO_SECONDS,
+    MISSING_PROBABILITY,
+    PROBABILITY_DECIMALS,
+    SPANISH_LOCALE_DATETIME,
+)
 
 
 def iso_timestamp(ts: Column) -> Column:
@@ -29,7 +31,7 @@ def numeric_array(arr: Column) -> Column:
     return F.transform(arr, lambda x: x.try_cast("double"))
 
 
-def probability_text(arr: Column, decimals: int = 3) -> Column:
+def probability_text(arr: Column, decimals: int = PROBABILITY_DECIMALS) -> Column:
     """``[0.650, 0.320, 0.230]`` with fixed decimals, ``N/A`` when absent."""
     body = F.array_join(
         F.transform(arr, lambda x: F.format_string(f"%.{decimals}f", x)), ", ")

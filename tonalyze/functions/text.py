@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values.
+from tonalyze.fixed import CSS_PREFIX, RECORD_DELIMITER, UNKNOWN_CLASS
+
 # Characters Python's str.strip() and JavaScript's String.trim() remove:
 # ASCII whitespace, the separators U+001C..U+001F, NEL, NBSP and the Unicode
 # space separators.  Written as a regex class both Java and RE2 accept.
 WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
                     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]")
-# Record delimiter of the wire format: text, three bars, label.
-RECORD_DELIMITER = "|||"
-RECORD_DELIMITER_REGEX = r"\|\|\|"
-# Class shown when a stored prediction names none.
-UNKNOWN_CLASS = "desconocido"
+RECORD_DELIMITER_REGEX = re.escape(RECORD_DELIMITER)
 
 
 def strip_ws(c: Column) -> Column:
@@ -57,4 +56,4 @@ def class_key(c: Column) -> Column:
 
 
 def css_class(c: Column) -> Column:
-    return F.concat(F.lit("sentiment-"), F.lower(c))
+    return F.concat(F.lit(CSS_PREFIX), F.lower(c))

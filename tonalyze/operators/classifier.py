@@ -46,6 +46,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonalyze.fixed import MIN_DF, PROCESSED_STATUS, SMOOTHING, STOP_WORDS_LANGUAGE, VOCAB_SIZE
+
 # Column names used inside the pipeline.
 MODEL_TEXT = "texto_modelo"
 LABEL = "label"
@@ -60,10 +62,10 @@ PREDICTED = "intencion_predicha"
 class ClassifierParams:
     text_col: str = "texto"
     label_col: str = "etiqueta"
-    vocab_size: int = 5000
-    min_df: float = 1.0
-    smoothing: float = 1.0
-    stop_words_language: str = "spanish"
+    vocab_size: int = VOCAB_SIZE
+    min_df: float = MIN_DF
+    smoothing: float = SMOOTHING
+    stop_words_language: str = STOP_WORDS_LANGUAGE
     hashed: bool = False
     num_features: int = 1 << 18
 
@@ -226,7 +228,7 @@ def score_texts(spark: SparkSession, model: PipelineModel, texts: list[str]) ->
 def scoring_record(scored: DataFrame) -> DataFrame:
     """Response record of a scoring request, for a whole scored batch:
     class, probability vector, confidence and a constant status."""
-    return scored.withColumn("status", F.lit("processed"))
+    return scored.withColumn("status", F.lit(PROCESSED_STATUS))
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:

@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tonalyze.fixed import PREVIEW_CHARS
 from tonalyze.functions import text as tx
 
-PREVIEW_CHARS = 50
-
 
 def clean_records(df: DataFrame, text_col: str = "texto", label_col: str = "etiqueta") -> DataFrame:
     """Rows with both fields; text on one line, both fields stripped."""

@@ -19,12 +19,9 @@ from pyspark.sql import functions as F
 
 from tonalyze.functions import formatting as fmt
 from tonalyze.functions import text as tx
-from tonalyze.sources.tables import CLASS_NEGATIVE, CLASS_NEUTRAL, CLASS_POSITIVE
+from tonalyze.fixed import CLASS_NEGATIVE, CLASS_NEUTRAL, CLASS_POSITIVE
 
-# History sizes the callers ask for.
-HISTORY_LIMIT = 50
-PANEL_LIMIT = 20
-OVERVIEW_LIMIT = 10
+from tonalyze.fixed import HISTORY_LIMIT, OVERVIEW_LIMIT, PANEL_LIMIT  # noqa: F401
 
 
 def _limit(df: DataFrame, limit: int | None) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonalyze.sources.tables import STORED_STATE
+from tonalyze.fixed import STORED_STATE
 
 # Columns of a stored prediction, in order.
 STORE_COLUMNS = ("id", "texto", "prediccion", "probability", "ts", "estado")

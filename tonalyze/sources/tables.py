@@ -10,11 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Fixed values of the derived predictions table (see FIXTURES.md).
-CLASS_NEGATIVE = "negativo"
-CLASS_POSITIVE = "positivo"
-CLASS_NEUTRAL = "neutral"
-STORED_STATE = "almacenado"
+from tonalyze.fixed import CLASS_NEGATIVE, CLASS_NEUTRAL, CLASS_POSITIVE, STORED_STATE  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
