@@ -3,7 +3,8 @@
 Each query runs to completion through the ``noop`` sink (full execution,
 nothing collected to the driver).  Model training is timed on its own
 (``train_model``); the scoring queries then reuse the fitted model, as a
-deployment would.  Prints one JSON line.
+deployment would.  Each query is the median of BENCH_REPEATS (default 3)
+runs.  Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -36,7 +37,7 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    repeats = int(os.environ.get("BENCH_REPEATS", "1"))
+    repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = build_session(f"local[{cpus}]", app="tonalyze-bench", shuffle_partitions=int(cpus),
                           extra={"spark.ui.showConsoleProgress": "false"})
 
