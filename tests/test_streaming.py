@@ -76,3 +76,11 @@ def test_batch_replayed_after_crash_is_not_duplicated(spark, sf_small):
     stream.run_available(stream.score_lines(model, stream.text_source(spark, src)), sink, crashed)
     assert str(last) in os.listdir(os.path.join(crashed, "commits"))   # the batch was re-run
     assert spark.read.parquet(sink).count() == len(lines)              # and wrote nothing twice
+
+
+def test_kafka_source_needs_its_connector(spark):
+    import pytest
+    from pyspark.errors import AnalysisException
+
+    with pytest.raises(AnalysisException):
+        stream.kafka_source(spark, "localhost:9092", "lines")
