@@ -59,3 +59,21 @@ def test_no_python_udf_in_any_query_plan(spark, sf_small):
                  "tokens_no_stop", "term_counts", "class_over_time", "reject_empty"):
         p = plan(catalog.QUERIES[name](spark, sf_small))
         assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+
+
+def test_bucketed_inputs_join_without_exchange(spark, sf_small):
+    from tonalyze.session import work_path
+    from tonalyze.sources.bucketed import bucket_inputs
+
+    docs, labels = bucket_inputs(spark, sf_small, 4, work_path(spark, "bucketed"), prefix="t_bucketed")
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as if labels were large
+    try:
+        corpus = T.corpus_of(spark.table(docs), spark.table(labels))
+        p = plan(corpus)
+        assert "SortMergeJoin" in p
+        assert "Exchange" not in p
+        direct = T.labelled_corpus(spark, sf_small, spread_rows=False)
+        assert sorted(map(tuple, corpus.collect())) == sorted(map(tuple, direct.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)

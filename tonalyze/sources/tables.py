@@ -46,10 +46,16 @@ def labelled_corpus(spark: SparkSession, sf_dir: str, spread_rows: bool = True,
     when the runtime size of ``labels`` is under Spark's checked threshold,
     otherwise it stays a sort-merge join on doc_id.
     """
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("texto"), *extra_cols)
-    docs = spread(docs) if spread_rows else docs
-    labels = table(spark, sf_dir, "labels").select(
-        "doc_id", class_of(F.col("toxic"), F.col("quality")).alias("etiqueta"))
+    docs = table(spark, sf_dir, "documents")
+    return corpus_of(spread(docs) if spread_rows else docs, table(spark, sf_dir, "labels"), extra_cols)
+
+
+def corpus_of(documents_df: DataFrame, labels_df: DataFrame,
+              extra_cols: tuple[str, ...] = ()) -> DataFrame:
+    """The labelled corpus from any two frames shaped like the given tables
+    (for example bucketed catalog copies, see ``sources.bucketed``)."""
+    docs = documents_df.select("doc_id", F.col("text").alias("texto"), *extra_cols)
+    labels = labels_df.select("doc_id", class_of(F.col("toxic"), F.col("quality")).alias("etiqueta"))
     return docs.join(labels, "doc_id", "inner")
 
 
