@@ -57,11 +57,16 @@ def newest_rows(preds: DataFrame, limit: int | None = HISTORY_LIMIT,
     return newest(preds.filter(cond), limit, id_col=id_col)
 
 
+LEGACY_FIELDS = ("intencion_predicha", "confianza")
+
+
 def history_record(preds: DataFrame) -> DataFrame:
-    """History document shape: id as text, ISO timestamp text."""
+    """History document: the stored fields as they are (legacy fields
+    included where the table has them), id as text, ISO timestamp text."""
+    legacy = [c for c in LEGACY_FIELDS if c in preds.columns]
     return preds.select(
         F.col("id").cast("string").alias("_id"),
-        "texto", "prediccion", "probability",
+        "texto", "prediccion", *legacy, "probability",
         fmt.iso_timestamp(F.col("ts")).alias("timestamp"),
         "estado",
     )

@@ -114,8 +114,8 @@ ISO_TS = ("CASE WHEN date_trunc('second', ts) = ts THEN strftime(ts, '%Y-%m-%dT%
 
 def history(where: str = "", limit: int | None = 50) -> str:
     lim = f" LIMIT {int(limit)}" if limit else ""
-    return (f"SELECT CAST(id AS VARCHAR) AS _id, texto, prediccion, probability, "
-            f"{ISO_TS} AS timestamp, estado FROM preds {where} "
+    return (f"SELECT CAST(id AS VARCHAR) AS _id, texto, prediccion, intencion_predicha, confianza, "
+            f"probability, {ISO_TS} AS timestamp, estado FROM preds {where} "
             f"ORDER BY ts DESC NULLS LAST, id DESC{lim}")
 
 
@@ -339,6 +339,7 @@ FROM preds"""
         "SELECT r.recientes, s.* FROM recent r CROSS JOIN summary s"
     q["predictions_json"] = _with(PREDS, f"h AS ({history(limit=None)})") + \
         ("SELECT _id, to_json({'_id': _id, 'texto': texto, 'prediccion': prediccion, "
+         "'intencion_predicha': intencion_predicha, 'confianza': confianza, "
          "'probability': probability, 'timestamp': timestamp, 'estado': estado}) AS json FROM h")
 
     # -- step 3: record cleaning and parsing
