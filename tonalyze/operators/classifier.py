@@ -139,16 +139,25 @@ def vocabulary_terms(vocab: DataFrame) -> list[str]:
     return [r["term"] for r in rows]
 
 
-def term_counts(tokens: DataFrame, vocab: DataFrame, key: str = "doc_id",
+# Largest vocabulary sent to every task as a broadcast (terms); beyond it the
+# vocabulary is joined like any other table.
+MAX_BROADCAST_TERMS = 1_000_000
+
+
+def term_counts(tokens: DataFrame, vocab: DataFrame, vocab_size: int, key: str = "doc_id",
                 tokens_col: str = CLEAN_TOKENS) -> DataFrame:
     """(key, term, tf) for the vocabulary terms of each row.
 
-    The vocabulary holds at most ``vocab_size`` rows (a parameter), which is
-    what makes broadcasting it safe; out-of-vocabulary tokens are dropped by
-    the semi-join before the per-row counts are shuffled.
+    ``vocab`` holds at most ``vocab_size`` rows (the cut), so its size is
+    known before planning: within ``MAX_BROADCAST_TERMS`` it is broadcast,
+    otherwise Spark plans the semi-join itself.  Out-of-vocabulary tokens
+    are dropped before the per-row counts are shuffled.
     """
     terms = explode_terms(tokens, tokens_col, key)
-    in_vocab = terms.join(F.broadcast(vocab.select("term")), "term", "left_semi")
+    small = vocab.select("term")
+    if vocab_size <= MAX_BROADCAST_TERMS:
+        small = F.broadcast(small)
+    in_vocab = terms.join(small, "term", "left_semi")
     return in_vocab.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 

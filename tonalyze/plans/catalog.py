@@ -179,7 +179,7 @@ def term_counts(spark, sf_dir):
     params = clf.ClassifierParams()
     corpus_tokens = clf.tokenize(T.labelled_corpus(spark, sf_dir), params)
     vocab = clf.vocabulary(corpus_tokens, params.vocab_size, params.min_df)
-    return clf.term_counts(corpus_tokens, vocab)
+    return clf.term_counts(corpus_tokens, vocab, params.vocab_size)
 
 
 def idf_weights(spark, sf_dir):
