@@ -84,3 +84,10 @@ def test_kafka_source_needs_its_connector(spark):
 
     with pytest.raises(AnalysisException):
         stream.kafka_source(spark, "localhost:9092", "lines")
+
+
+def test_console_sink_runs(spark, sf_small):
+    model = catalog.trained_model(spark, sf_small)
+    src, ckpt = work_path(spark, "con-src"), work_path(spark, "con-ckpt")
+    stream.write_lines(spark.createDataFrame([("hola|||positivo",), ("sin delimitador",)], "value string"), src)
+    stream.run_available(stream.score_lines(model, stream.text_source(spark, src)), None, ckpt, fmt="console")
