@@ -55,3 +55,17 @@ def test_append_then_clear(spark):
     assert all(r.ts is not None and r.estado == "almacenado" for r in rows)
     assert store.clear_predictions(spark, path) == 4
     assert store.read_store(spark, path).count() == 0
+
+
+def test_append_keyed_by_batch_id_is_idempotent(spark):
+    path = work_path(spark, "test-store-batches")
+    b7 = spark.createDataFrame([("1", "x", "positivo"), ("2", "y", "neutral")], "id string, texto string, prediccion string")
+    b8 = spark.createDataFrame([("3", "z", "negativo")], "id string, texto string, prediccion string")
+    store.append_predictions(store.enrich_for_store(b7, id_col="id"), path, batch_id=7)
+    store.append_predictions(store.enrich_for_store(b7, id_col="id"), path, batch_id=7)   # retried batch
+    store.append_predictions(store.enrich_for_store(b8, id_col="id"), path, batch_id=8)
+    saved = store.read_store(spark, path)
+    assert sorted(r.id for r in saved.collect()) == ["1", "2", "3"]
+    assert saved.columns == ["id", "texto", "prediccion", "probability", "ts", "estado"]
+    assert store.clear_predictions(spark, path) == 3
+    assert store.read_store(spark, path).count() == 0

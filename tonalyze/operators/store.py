@@ -17,6 +17,7 @@ from tonalyze.fixed import STORED_STATE
 STORE_COLUMNS = ("id", "texto", "prediccion", "probability", "ts", "estado")
 STORE_SCHEMA = ("id string, texto string, prediccion string, probability array<double>, "
                 "ts timestamp_ntz, estado string")
+_STORE_TYPES = [tuple(f.strip().split(" ", 1)) for f in STORE_SCHEMA.split(", ")]
 
 
 def enrich_for_store(scored: DataFrame, id_col: str | None = None) -> DataFrame:
@@ -41,13 +42,32 @@ def enrich_for_store(scored: DataFrame, id_col: str | None = None) -> DataFrame:
     )
 
 
-def append_predictions(batch: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """Append one whole batch to the store (one job, many files)."""
-    batch.select(*STORE_COLUMNS).write.mode("append").format(fmt).save(path)
+BATCH_COLUMN = "lote"
+
+
+def append_predictions(batch: DataFrame, path: str, fmt: str = "parquet",
+                       batch_id: int | None = None) -> None:
+    """Append one whole batch to the store (one job, many files).
+
+    With ``batch_id`` the write is idempotent: the batch goes to its own
+    partition (``lote=<id>``) with dynamic partition overwrite, so running
+    the same batch again (a retry after a failure) replaces that partition
+    instead of appending the rows twice.  A store is written either always
+    with or always without batch ids.
+    """
+    rows = batch.select(*STORE_COLUMNS)
+    if batch_id is None:
+        rows.write.mode("append").format(fmt).save(path)
+        return
+    (rows.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(BATCH_COLUMN).format(fmt).save(path))
 
 
 def read_store(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.schema(STORE_SCHEMA).format(fmt).load(path)
+    """The stored documents (the batch partition column, if any, is dropped)."""
+    return spark.read.format(fmt).load(path).select(
+        *[F.col(c).cast(t) for c, t in _STORE_TYPES])
 
 
 def clear_predictions(spark: SparkSession, path: str, fmt: str = "parquet") -> int:

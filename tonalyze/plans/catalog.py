@@ -127,7 +127,8 @@ def store_predictions(spark, sf_dir):
     model = trained_model(spark, sf_dir)
     scored = clf.score(model, T.documents(spark, sf_dir), keep=["doc_id", "texto"])
     path = work_path(spark, "store")
-    store.append_predictions(store.enrich_for_store(scored, id_col="doc_id"), path)
+    # one request batch, keyed so that a retry replaces instead of duplicating
+    store.append_predictions(store.enrich_for_store(scored, id_col="doc_id"), path, batch_id=0)
     saved = store.read_store(spark, path)
     # A row read back from the store was stored: the request's "stored" flag.
     return clf.rounded(saved.select(
