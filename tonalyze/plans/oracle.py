@@ -338,9 +338,9 @@ FROM preds"""
   FROM ({history(limit=10).replace("CAST(id AS VARCHAR) AS _id", "id, ts")}))""") + \
         "SELECT r.recientes, s.* FROM recent r CROSS JOIN summary s"
     q["predictions_json"] = _with(PREDS, f"h AS ({history(limit=None)})") + \
-        ("SELECT _id, to_json({'_id': _id, 'texto': texto, 'prediccion': prediccion, "
+        ("SELECT _id, CAST(to_json({'_id': _id, 'texto': texto, 'prediccion': prediccion, "
          "'intencion_predicha': intencion_predicha, 'confianza': confianza, "
-         "'probability': probability, 'timestamp': timestamp, 'estado': estado}) AS json FROM h")
+         "'probability': probability, 'timestamp': timestamp, 'estado': estado}) AS VARCHAR) AS json FROM h")
 
     # -- step 3: record cleaning and parsing
     q["clean_records"] = _with(CORPUS, CLEANED) + "SELECT doc_id, texto, etiqueta FROM cleaned"
