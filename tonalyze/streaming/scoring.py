@@ -70,13 +70,20 @@ def run_available(stream: DataFrame, sink_path: str | None, checkpoint: str,
     if fmt == "console":
         writer = writer.option("truncate", "false")
     query = writer.start(sink_path) if sink_path else writer.start()
+    finished = False
     try:
-        query.awaitTermination(timeout_s)
+        finished = query.awaitTermination(timeout_s) if timeout_s is not None else (
+            query.awaitTermination() or True)
     finally:
         if query.isActive:
             query.stop()
     if query.exception() is not None:
         raise query.exception()
+    if not finished:
+        # stopped before the backlog was drained: the sink holds a prefix
+        # (committed batches only); say so instead of returning quietly
+        raise TimeoutError(f"stream did not finish within {timeout_s} s; "
+                           "restart with the same checkpoint to continue")
 
 
 def write_lines(records_df: DataFrame, path: str) -> None:
