@@ -249,3 +249,11 @@ def test_sql_murmur3_bucket_equals_hashing_tf(spark):
     got = dict(con.execute(f"WITH {murmur3_buckets('ws', 1 << 18)} SELECT w, j FROM bucket").fetchall())
     htf = HashingTF(numFeatures=1 << 18)
     assert got == {w: htf.indexOf(w) for w in words}
+
+
+def test_vocabulary_min_df_threshold(spark):
+    rows = [(1, "alfa beta beta", "x"), (2, "alfa gamma", "x"), (3, "alfa delta", "x")]
+    toks = clf.tokenize(spark.createDataFrame(rows, SCHEMA))
+    assert clf.vocabulary_terms(clf.vocabulary(toks, 10, min_df=2.0)) == ["alfa"]
+    assert clf.vocabulary_terms(clf.vocabulary(toks, 10, min_df=0.5)) == ["alfa"]
+    assert clf.vocabulary_terms(clf.vocabulary(toks, 10)) == ["alfa", "beta", "delta", "gamma"]

@@ -32,10 +32,11 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
+    IDFModel,
     HashingTF,
     IndexToString,
     StopWordsRemover,
@@ -43,7 +44,7 @@ from pyspark.ml.feature import (
     Tokenizer,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tonalyze.fixed import MIN_DF, PROCESSED_STATUS, SMOOTHING, STOP_WORDS_LANGUAGE, VOCAB_SIZE
@@ -116,21 +117,17 @@ def vocabulary(tokens: DataFrame, vocab_size: int, min_df: float = 1.0,
     """
     terms = explode_terms(tokens, tokens_col)
     totals = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
-    if min_df > 1.0 or min_df < 1.0:
+    if min_df != 1.0:
         threshold = min_df if min_df >= 1.0 else min_df * tokens.count()
-        docs = (tokens.select(F.explode(F.array_distinct(tokens_col)).alias("term"))
+        distinct = tokens.select(F.array_distinct(tokens_col).alias("_distinct"))
+        docs = (explode_terms(distinct, "_distinct")
                 .groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
                 .filter(F.col("doc_freq") >= threshold).select("term"))
         totals = totals.join(docs, "term", "left_semi")
     top = totals.orderBy(F.col("total").desc(), F.col("term").asc()).limit(vocab_size)
     # ``top`` has at most vocab_size rows; the index follows its order.
-    return top.select(
-        (F.row_number().over(_order_window()) - 1).alias("term_index"), "term", "total")
-
-
-def _order_window():
-    from pyspark.sql import Window
-    return Window.orderBy(F.col("total").desc(), F.col("term").asc())
+    order = Window.orderBy(F.col("total").desc(), F.col("term").asc())
+    return top.select((F.row_number().over(order) - 1).alias("term_index"), "term", "total")
 
 
 def vocabulary_terms(vocab: DataFrame) -> list[str]:
@@ -261,7 +258,6 @@ def label_names(model: PipelineModel) -> list[str]:
 
 def idf_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """(term_index, term, doc_freq, idf) of a vocabulary model (V rows)."""
-    from pyspark.ml.feature import IDFModel
     terms = stage(model, CountVectorizerModel).vocabulary
     idf_model = stage(model, IDFModel)
     idf = idf_model.idf.toArray().tolist()
@@ -275,7 +271,6 @@ def nb_params_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
 
     K x (V + 1) rows, built from the fitted model's driver-side matrices.
     """
-    from pyspark.ml.classification import NaiveBayesModel
     terms = stage(model, CountVectorizerModel).vocabulary
     nb = stage(model, NaiveBayesModel)
     labels = label_names(model)
