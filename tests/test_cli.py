@@ -21,3 +21,29 @@ def test_train_score_and_query(spark, sf_small):
     assert set(scored.columns) >= {"doc_id", "prediccion", "confianza", "probability", "status"}
     assert main(["query", "class_stats", "--sf-dir", sf_small, "--out", rep], spark) == 0
     assert spark.read.parquet(rep).count() == 4
+
+
+def test_train_stream_store_report_end_to_end(spark, sf_small):
+    """The application's flow: train, stream lines in, store request
+    predictions, then report over both stores."""
+    from tonalyze.operators import classifier as clf
+    from tonalyze.operators import records, store
+    from tonalyze.plans import catalog
+    from tonalyze.sources import tables as T
+    from tonalyze.streaming import scoring as stream
+
+    model_path, src, sink, ckpt, st, rep = (work_path(spark, n) for n in (
+        "e2e-model", "e2e-src", "e2e-sink", "e2e-ckpt", "e2e-store", "e2e-report"))
+    assert main(["train", "--sf-dir", sf_small, "--model", model_path], spark) == 0
+    stream.write_lines(records.encode_records(catalog._cleaned(spark, sf_small)), src)
+    assert main(["stream", "--model", model_path, "--source", src, "--sink", sink,
+                 "--checkpoint", ckpt, "--available-now"], spark) == 0
+    from pyspark.ml import PipelineModel
+    scored = clf.score(PipelineModel.load(model_path), T.documents(spark, sf_small), keep=["doc_id", "texto"])
+    store.append_predictions(store.enrich_for_store(scored, id_col="doc_id"), st, batch_id=1)
+    assert main(["report", "stats", "--store", st, "--stream-sink", sink, "--out", rep], spark) == 0
+    stats = {r["_id"]: r["total"] for r in spark.read.parquet(rep).collect()}
+    assert sum(stats.values()) == 200 + 87          # 200 stored + 87 streamed
+    preds = store.read_predictions(spark, st, sink)
+    assert preds.filter("ts IS NULL").count() == 0
+    assert main(["report", "history", "--store", st, "--stream-sink", sink, "--limit", "5"], spark) == 0

@@ -3,6 +3,7 @@
     python -m tonalyze train  --sf-dir DIR --model OUT
     python -m tonalyze score  --model M --input PARQUET --text-col text --out OUT
     python -m tonalyze stream --model M --source DIR --sink DIR --checkpoint DIR [--every 5s]
+    python -m tonalyze report NAME [--store S] [--stream-sink K] [--limit N] [--clase C] [--out OUT]
     python -m tonalyze query  NAME --sf-dir DIR [--out OUT] [--show N]
     python -m tonalyze list
 
@@ -44,6 +45,15 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     st.add_argument("--max-files", type=int, default=None)
     st.add_argument("--available-now", action="store_true", help="process what is there, then stop")
 
+    r = sub.add_parser("report", help="a report over stored predictions (store and/or stream sink)")
+    r.add_argument("name", choices=["history", "stats", "summary", "share", "over-time", "overview", "json"])
+    r.add_argument("--store", default=None)
+    r.add_argument("--stream-sink", default=None)
+    r.add_argument("--limit", type=int, default=50, help="history size; 0 = all")
+    r.add_argument("--clase", default=None, help="history of one class only")
+    r.add_argument("--out", default=None)
+    r.add_argument("--show", type=int, default=20)
+
     q = sub.add_parser("query", help="run a registered query")
     q.add_argument("name")
     q.add_argument("--sf-dir", required=True)
@@ -88,6 +98,29 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         else:
             stream.start_scoring(model, spark, args.source, args.sink, args.checkpoint,
                                  every=args.every, max_files_per_trigger=args.max_files).awaitTermination()
+    elif args.cmd == "report":
+        from tonalyze.operators import reports, store
+        preds = store.read_predictions(spark, args.store, args.stream_sink)
+        limit = args.limit or None
+        if args.name == "history":
+            df = (reports.latest_by_class(preds, args.clase, limit) if args.clase
+                  else reports.latest_predictions(preds, limit))
+        elif args.name == "stats":
+            df = reports.class_stats(preds)
+        elif args.name == "summary":
+            df = reports.class_summary(reports.class_stats(preds, ordered=False))
+        elif args.name == "share":
+            df = reports.class_share(reports.class_stats(preds, ordered=False))
+        elif args.name == "over-time":
+            df = reports.class_over_time(preds)
+        elif args.name == "overview":
+            df = reports.overview(preds)
+        else:
+            df = reports.predictions_json(preds, limit)
+        if args.out:
+            df.write.mode("errorifexists").parquet(args.out)
+        else:
+            df.show(args.show, truncate=80)
     elif args.cmd == "query":
         df = catalog.QUERIES[args.name](spark, args.sf_dir)
         if args.out:

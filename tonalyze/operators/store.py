@@ -138,3 +138,31 @@ def unified_predictions(stored: DataFrame, streamed: DataFrame) -> DataFrame:
         streamed = streamed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     both = stored.unionByName(streamed, allowMissingColumns=True)
     return migrate_predictions(both)
+
+
+def read_predictions(spark: SparkSession, store_path: str | None = None,
+                     stream_sink: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Everything stored, in the shape the reports read.
+
+    The request-path store and the stream sink are read and unified by
+    column name; columns a source lacks are null (``intencion_predicha``,
+    ``confianza``, ``etiqueta_real``), stream rows get their processing
+    time as ``ts`` and the stored state.
+    """
+    parts = []
+    if store_path:
+        parts.append(read_store(spark, store_path, fmt))
+    if stream_sink:
+        streamed = (spark.read.format(fmt).load(stream_sink)
+                    .withColumn("ts", F.col("timestamp").cast("timestamp_ntz")).drop("timestamp")
+                    .withColumn("estado", F.lit(STORED_STATE)))
+        parts.append(streamed)
+    if not parts:
+        raise ValueError("give a store path, a stream sink, or both")
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more, allowMissingColumns=True)
+    for name, kind in (("id", "string"), ("intencion_predicha", "string"), ("confianza", "double")):
+        if name not in out.columns:
+            out = out.withColumn(name, F.lit(None).cast(kind))
+    return out
