@@ -77,3 +77,12 @@ def test_bucketed_inputs_join_without_exchange(spark, sf_small):
         assert sorted(map(tuple, corpus.collect())) == sorted(map(tuple, direct.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+
+
+def test_spread_only_touches_inputs_with_few_splits(spark):
+    slots = spark.sparkContext.defaultParallelism
+    few = spark.range(100).coalesce(1)
+    many = spark.range(0, 1000, 1, slots * 2)
+    assert T.spread(few).rdd.getNumPartitions() == slots
+    assert "RoundRobinPartitioning" in plan(T.spread(few))
+    assert T.spread(many) is many

@@ -69,3 +69,9 @@ def test_append_keyed_by_batch_id_is_idempotent(spark):
     assert saved.columns == ["id", "texto", "prediccion", "probability", "ts", "estado"]
     assert store.clear_predictions(spark, path) == 3
     assert store.read_store(spark, path).count() == 0
+
+
+def test_read_predictions_needs_a_source(spark):
+    import pytest
+    with pytest.raises(ValueError):
+        store.read_predictions(spark)

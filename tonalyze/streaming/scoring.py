@@ -52,10 +52,7 @@ def score_lines(model: PipelineModel, lines: DataFrame) -> DataFrame:
     """Parse wire lines, score them, add processing time; batch or stream."""
     parsed = records.parse_records(lines, "value")
     scored = clf.score(model, parsed, keep=["texto", "etiqueta_real"])
-    return scored.select(
-        "texto", "etiqueta_real", "prediccion", "confianza", "probability",
-        F.current_timestamp().alias("timestamp"),
-    )
+    return scored.select(*STREAM_COLUMNS[:-1], F.current_timestamp().alias(STREAM_COLUMNS[-1]))
 
 
 def run_available(stream: DataFrame, sink_path: str | None, checkpoint: str,
