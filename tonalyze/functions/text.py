@@ -9,17 +9,30 @@ from pyspark.sql import functions as F
 
 from tonalyze.fixed import CSS_PREFIX, RECORD_DELIMITER, UNKNOWN_CLASS
 
-# Characters Python's str.strip() and JavaScript's String.trim() remove:
-# ASCII whitespace, the separators U+001C..U+001F, NEL, NBSP and the Unicode
-# space separators.  Written as a regex class both Java and RE2 accept.
-WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-                    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]")
+# Whitespace sets, written as regex classes both Java and RE2 accept.
+# Python's str.strip() (record cleaning): ASCII whitespace, the separators
+# U+001C..U+001F, NEL, NBSP, the Unicode space separators and U+2028/9.
+PY_WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+                       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]")
+# JavaScript's String.trim() (empty-input check): the same without
+# U+001C..U+001F and NEL, plus the byte-order mark U+FEFF.
+JS_WHITESPACE_CLASS = (r"[\t\n\x{0B}\f\r \x{A0}\x{1680}\x{2000}-\x{200A}"
+                       r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}\x{FEFF}]")
 RECORD_DELIMITER_REGEX = re.escape(RECORD_DELIMITER)
 
 
+def _strip(c: Column, cls: str) -> Column:
+    return F.regexp_replace(c, f"^{cls}+|{cls}+$", "")
+
+
 def strip_ws(c: Column) -> Column:
     """Strip leading and trailing whitespace (Python ``str.strip``)."""
-    return F.regexp_replace(c, f"^{WHITESPACE_CLASS}+|{WHITESPACE_CLASS}+$", "")
+    return _strip(c, PY_WHITESPACE_CLASS)
+
+
+def trim_js(c: Column) -> Column:
+    """Strip leading and trailing whitespace (JavaScript ``String.trim``)."""
+    return _strip(c, JS_WHITESPACE_CLASS)
 
 
 def one_line(c: Column) -> Column:
@@ -31,8 +44,8 @@ def one_line(c: Column) -> Column:
 
 
 def is_blank(c: Column) -> Column:
-    """Null, empty or whitespace only (the ``if not text`` / ``trim()`` check)."""
-    return F.length(strip_ws(F.coalesce(c, F.lit("")))) == 0
+    """Null, empty or whitespace only (the client's ``value.trim()`` check)."""
+    return F.length(trim_js(F.coalesce(c, F.lit("")))) == 0
 
 
 def strip_special(c: Column) -> Column:

@@ -14,7 +14,7 @@ import glob
 import os
 import zipfile
 
-from tonalyze.functions.text import WHITESPACE_CLASS
+from tonalyze.functions.text import JS_WHITESPACE_CLASS, PY_WHITESPACE_CLASS
 
 VOCAB_SIZE = 5000
 # Java's \s, which Spark's Tokenizer splits on.
@@ -47,11 +47,14 @@ def tokenize(expr: str) -> str:
             f"ELSE string_split_regex({stripped}, '{JAVA_SPACE}') END)")
 
 
-def strip_ws(expr: str) -> str:
-    ws = WHITESPACE_CLASS
+def strip_ws(expr: str, ws: str = PY_WHITESPACE_CLASS) -> str:
     return f"regexp_replace({expr}, '^{ws}+|{ws}+$', '', 'g')"
 
 
+def trim_js(expr: str) -> str:
+    return strip_ws(expr, JS_WHITESPACE_CLASS)
+
+
 def one_line(expr: str) -> str:
     return f"regexp_replace({expr}, '[\\r\\n]', ' ', 'g')"
 
@@ -348,7 +351,7 @@ FROM preds"""
         "SELECT doc_id, texto || '|||' || etiqueta AS value FROM cleaned"
     q["parse_records"] = _with(CORPUS, CLEANED, PARSED) + "SELECT doc_id, texto, etiqueta_real FROM parsed"
     q["text_preview"] = "SELECT doc_id, substring(text, 1, 50) AS preview FROM documents"
-    q["reject_empty"] = (f"SELECT conv_id, turn, length({strip_ws('coalesce(text, {e})')}) > 0 AS aceptado "
+    q["reject_empty"] = (f"SELECT conv_id, turn, length({trim_js('coalesce(text, {e})')}) > 0 AS aceptado "
                          "FROM conversations").replace("{e}", "''")
 
     # -- step 4: store maintenance
