@@ -76,3 +76,47 @@ def test_encode_then_parse_round_trips(spark, pairs):
     back = records.parse_records(records.encode_records(df).select("doc_id", "value")).collect()
     assert sorted((r.doc_id, r.texto, r.etiqueta_real) for r in back) == \
         [(i, t, l) for i, (t, l) in enumerate(pairs)]
+
+
+PRED_SCHEMA = ("id long, texto string, prediccion string, intencion_predicha string, "
+               "probability array<double>, ts timestamp_ntz, estado string")
+classes = st.sampled_from([None, "", "positivo", "Positivo", "negativo", "neutral", "otro"])
+pred_rows = st.lists(
+    st.tuples(classes, classes,
+              st.one_of(st.none(), st.lists(st.floats(0, 1, allow_nan=False), min_size=1, max_size=3)),
+              st.one_of(st.none(), st.integers(0, 20))),
+    min_size=1, max_size=40)
+
+
+def _preds(spark, rows):
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 1)
+    data = [(i, f"t{i}", p, ip, prob, None if m is None else t0 + dt.timedelta(minutes=m), "almacenado")
+            for i, (p, ip, prob, m) in enumerate(rows)]
+    return spark.createDataFrame(data, PRED_SCHEMA), data
+
+
+@SETTINGS
+@given(pred_rows, st.integers(1, 10))
+def test_newest_is_python_sort(spark, rows, n):
+    from tonalyze.operators import reports
+    df, data = _preds(spark, rows)
+    want = sorted(data, key=lambda r: (r[5] is None, -(r[5].timestamp() if r[5] else 0), -r[0]))[:n]
+    assert [r.id for r in reports.newest(df, n).collect()] == [r[0] for r in want]
+    assert [int(r._id) for r in reports.latest_predictions(df, n).collect()] == [r[0] for r in want]
+
+
+@SETTINGS
+@given(pred_rows)
+def test_stats_and_summary_are_python_counts(spark, rows):
+    from collections import Counter
+
+    from tonalyze.operators import reports
+    df, data = _preds(spark, rows)
+    stats = {r._id: r.total for r in reports.class_stats(df).collect()}
+    assert stats == dict(Counter(r[2] for r in data))
+    summary = reports.class_summary(reports.class_stats(df, ordered=False)).first()
+    keyed = Counter((r[2] or "desconocido") for r in data)
+    assert summary.total_analizado == len(data)
+    assert summary.positivos == sum(v for k, v in keyed.items() if k.lower() == "positivo")
+    assert summary.negativos == keyed.get("negativo", 0)
