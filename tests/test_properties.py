@@ -3,7 +3,7 @@ as one Spark job and is compared with a plain-Python model of the rule."""
 
 import re
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -32,12 +32,14 @@ def _apply(spark, values, fn):
 
 @SETTINGS
 @given(texts)
+@example(["X \x85", "a \u2028", " \ufeff"])
 def test_strip_ws_is_python_strip(spark, values):
     assert _apply(spark, values, tx.strip_ws) == [v.strip() for v in values]
 
 
 @SETTINGS
 @given(texts)
+@example(["X \x85", " \u2028a \x85", "b\x1c "])   # Java's $ also matches before a final NEL
 def test_trim_js_is_javascript_trim(spark, values):
     assert _apply(spark, values, tx.trim_js) == [v.strip(JS_SPACES) for v in values]
 

@@ -22,7 +22,10 @@ RECORD_DELIMITER_REGEX = re.escape(RECORD_DELIMITER)
 
 
 def _strip(c: Column, cls: str) -> Column:
-    return F.regexp_replace(c, f"^{cls}+|{cls}+$", "")
+    # \A and \z, not ^ and $: in Java, $ also matches before a final line
+    # terminator (NEL, U+2028, ...), which would strip spaces in front of a
+    # trailing NEL that JavaScript's trim() keeps.
+    return F.regexp_replace(c, rf"\A{cls}+|{cls}+\z", "")
 
 
 def strip_ws(c: Column) -> Column:

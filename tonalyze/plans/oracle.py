@@ -48,7 +48,7 @@ def tokenize(expr: str) -> str:
 
 
 def strip_ws(expr: str, ws: str = PY_WHITESPACE_CLASS) -> str:
-    return f"regexp_replace({expr}, '^{ws}+|{ws}+$', '', 'g')"
+    return f"regexp_replace({expr}, '\\A{ws}+|{ws}+\\z', '', 'g')"
 
 
 def trim_js(expr: str) -> str:
