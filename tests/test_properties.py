@@ -122,3 +122,51 @@ def test_stats_and_summary_are_python_counts(spark, rows):
     assert summary.total_analizado == len(data)
     assert summary.positivos == sum(v for k, v in keyed.items() if k.lower() == "positivo")
     assert summary.negativos == keyed.get("negativo", 0)
+
+
+@SETTINGS
+@given(st.lists(st.datetimes(min_value=__import__("datetime").datetime(1970, 1, 1),
+                             max_value=__import__("datetime").datetime(2100, 1, 1)), min_size=1, max_size=30))
+def test_timestamp_texts_are_python_and_es_es(spark, stamps):
+    from tonalyze.functions import formatting as fmt
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(stamps)], "i int, ts timestamp_ntz")
+    rows = sorted(df.select("i", fmt.iso_timestamp(F.col("ts")).alias("iso"),
+                            fmt.spanish_datetime(F.col("ts")).alias("es")).collect(), key=lambda r: r.i)
+    assert [r.iso for r in rows] == [s.isoformat() for s in stamps]
+    assert [r.es for r in rows] == [f"{s.day}/{s.month}/{s.year}, {s.hour}:{s.minute:02d}:{s.second:02d}"
+                                    for s in stamps]
+
+
+def _to_fixed(x: float, d: int = 3) -> str:
+    """JavaScript ``Number.prototype.toFixed``: sign, then the exact binary
+    value of |x| rounded half up."""
+    from decimal import ROUND_HALF_UP, Decimal
+    body = str(abs(Decimal(x)).quantize(Decimal(1).scaleb(-d), rounding=ROUND_HALF_UP))
+    return ("-" if x < 0 else "") + body
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.one_of(st.floats(-2, 2, allow_nan=False),
+                                   st.floats(0, 1e9, allow_nan=False),
+                                   st.sampled_from([0.0625, 0.1875, 0.0005, 0.9995, 1.0005, 0.1235,
+                                                    -0.0625, -0.0004, 123456.0005, 2.5e-7])),
+                         min_size=1, max_size=4), min_size=1, max_size=20))
+def test_probability_text_is_javascript_to_fixed(spark, vectors):
+    from tonalyze.functions import formatting as fmt
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vectors)], "i int, p array<double>")
+    rows = sorted(df.select("i", fmt.probability_text(F.col("p")).alias("t")).collect(), key=lambda r: r.i)
+    assert [r.t for r in rows] == ["[" + ", ".join(_to_fixed(x) for x in v) + "]" for v in vectors]
+
+
+@settings(max_examples=50, deadline=None)
+@given(st.lists(st.one_of(st.floats(0, 2, allow_nan=False),
+                          st.sampled_from([0.0625, 0.1875, 0.9375, 1.0625, 0.0005, 0.9995, 1.0005, 0.1235])),
+                min_size=1, max_size=50))
+def test_sql_to_fixed_is_javascript_to_fixed(values):
+    import duckdb
+
+    from tonalyze.plans.oracle import to_fixed
+    con = duckdb.connect()
+    got = [r[0] for r in con.execute(f"SELECT {to_fixed('x')} FROM unnest(?::DOUBLE[]) AS t(x)",
+                                     [values]).fetchall()]
+    assert got == [_to_fixed(v) for v in values]

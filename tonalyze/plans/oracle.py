@@ -305,6 +305,28 @@ raw AS (
 {_POSTERIOR}"""
 
 
+def to_fixed(x: str, decimals: int = 3) -> str:
+    """JavaScript ``toFixed``: exact binary value, ties half up.  printf
+    rounds exact ties to even; exact ties at N decimals are the values with
+    x * 2^(N+1) an odd integer, nudged up before printing."""
+    p = 2 ** (decimals + 1)
+    return (f"(CASE WHEN {x} * {p} = floor({x} * {p}) AND CAST(floor({x} * {p}) AS BIGINT) % 2 = 1 "
+            f"THEN printf('%.{decimals}f', {x} + {0.1 ** (decimals + 2):.{decimals + 2}f}) "
+            f"ELSE printf('%.{decimals}f', {x}) END)")
+
+
+FORMAT_SELECT = """SELECT CAST(id AS VARCHAR) AS _id,
+  coalesce(texto, '') AS texto,
+  coalesce(nullif(prediccion, ''), nullif(intencion_predicha, ''), '') AS sentimiento,
+  strftime(ts, '%-d/%-m/%Y, %-H:%M:%S') AS fecha,
+  list_transform(probability, lambda x: TRY_CAST(x AS DOUBLE)) AS probability,
+  CASE WHEN probability IS NULL THEN 'N/A'
+       ELSE '[' || array_to_string(list_transform(probability, lambda x: {TO_FIXED_X}), ', ') || ']'
+  END AS probabilidades,
+  'sentiment-' || lower(coalesce(nullif(prediccion, ''), nullif(intencion_predicha, ''), 'desconocido')) AS css
+FROM preds"""
+
+
 def _with(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
 
@@ -326,16 +348,7 @@ def statements() -> dict[str, str]:
     q["class_stats"] = _with(PREDS, STATS) + "SELECT * FROM stats"
     q["class_summary"] = _with(PREDS, STATS, MERGED, SUMMARY) + "SELECT * FROM summary"
     q["latest_predictions"] = _with(PREDS) + history()
-    q["format_predictions"] = _with(PREDS) + """SELECT CAST(id AS VARCHAR) AS _id,
-  coalesce(texto, '') AS texto,
-  coalesce(nullif(prediccion, ''), nullif(intencion_predicha, ''), '') AS sentimiento,
-  strftime(ts, '%-d/%-m/%Y, %-H:%M:%S') AS fecha,
-  list_transform(probability, lambda x: TRY_CAST(x AS DOUBLE)) AS probability,
-  CASE WHEN probability IS NULL THEN 'N/A'
-       ELSE '[' || array_to_string(list_transform(probability, lambda x: printf('%.3f', x)), ', ') || ']'
-  END AS probabilidades,
-  'sentiment-' || lower(coalesce(nullif(prediccion, ''), nullif(intencion_predicha, ''), 'desconocido')) AS css
-FROM preds"""
+    q["format_predictions"] = _with(PREDS) + FORMAT_SELECT.replace("{TO_FIXED_X}", to_fixed("x"))
     q["overview"] = _with(PREDS, STATS, MERGED, SUMMARY, f"""recent AS (
   SELECT list(CAST(id AS VARCHAR) ORDER BY ts DESC NULLS LAST, id DESC) AS recientes
   FROM ({history(limit=10).replace("CAST(id AS VARCHAR) AS _id", "id, ts")}))""") + \
