@@ -170,3 +170,11 @@ def test_sql_to_fixed_is_javascript_to_fixed(values):
     got = [r[0] for r in con.execute(f"SELECT {to_fixed('x')} FROM unnest(?::DOUBLE[]) AS t(x)",
                                      [values]).fetchall()]
     assert got == [_to_fixed(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.text(alphabet="aé漢😀\n |", max_size=70), min_size=1, max_size=30))
+def test_preview_is_python_slice(spark, values):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, texto string")
+    rows = sorted(records.text_preview(df).collect(), key=lambda r: r.i)
+    assert [r.preview for r in rows] == [v[:50] for v in values]
