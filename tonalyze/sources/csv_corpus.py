@@ -23,7 +23,8 @@ _CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
     "encoding": "UTF-8",
     # Null as \N so that an empty text ("" on disk) reads back as '' and a
-    # missing one as null; with the default both read back as null.
+    # missing one as null; with the default both read back as null.  (A text
+    # that is exactly the two characters \N reads back as null.)
     "nullValue": "\\N",
 }
 
