@@ -47,3 +47,27 @@ def test_train_stream_store_report_end_to_end(spark, sf_small):
     preds = store.read_predictions(spark, st, sink)
     assert preds.filter("ts IS NULL").count() == 0
     assert main(["report", "history", "--store", st, "--stream-sink", sink, "--limit", "5"], spark) == 0
+
+
+def test_every_report_runs_over_store_and_sink(spark, sf_small):
+    from tonalyze.operators import classifier as clf
+    from tonalyze.operators import records, store
+    from tonalyze.plans import catalog
+    from tonalyze.sources import tables as T
+    from tonalyze.streaming import scoring as stream
+
+    model = catalog.trained_model(spark, sf_small)
+    st, src, sink, ckpt = (work_path(spark, n) for n in ("rep-store", "rep-src", "rep-sink", "rep-ckpt"))
+    scored = clf.score(model, T.documents(spark, sf_small), keep=["doc_id", "texto"])
+    store.append_predictions(store.enrich_for_store(scored, id_col="doc_id"), st, batch_id=3)
+    stream.write_lines(records.encode_records(catalog._cleaned(spark, sf_small)), src)
+    stream.run_available(stream.score_lines(model, stream.text_source(spark, src)), sink, ckpt)
+    outs = {}
+    for name in ("history", "stats", "summary", "share", "over-time", "overview", "json"):
+        outs[name] = work_path(spark, f"rep-{name}")
+        args = ["report", name, "--store", st, "--stream-sink", sink, "--out", outs[name]]
+        assert main(args, spark) == 0, name
+        assert spark.read.parquet(outs[name]).count() >= 1, name
+    assert spark.read.parquet(outs["summary"]).first().total_analizado == 200 + 87
+    assert abs(sum(r.proporcion for r in spark.read.parquet(outs["share"]).collect()) - 1) < 1e-5
+    assert main(["report", "history", "--store", st, "--clase", "positivo", "--limit", "3"], spark) == 0
