@@ -216,13 +216,11 @@ def score(model: PipelineModel, df: DataFrame, text_col: str = "texto",
     """
     keep = list(df.columns) if keep is None else keep
     scored = model.transform(with_model_text(df, text_col))
-    prob = vector_to_array(F.col("probability"))
-    return scored.select(
-        *keep,
-        F.col(PREDICTED).alias("prediccion"),
-        F.array_max(prob).alias("confianza"),
-        prob.alias("probability"),
-    )
+    # vector -> array once; the maximum is taken from the array column
+    arrays = scored.select(*keep, F.col(PREDICTED).alias("prediccion"),
+                           vector_to_array(F.col("probability")).alias("probability"))
+    return arrays.select(*keep, "prediccion", F.array_max("probability").alias("confianza"),
+                         "probability")
 
 
 def score_texts(spark: SparkSession, model: PipelineModel, texts: list[str]) -> DataFrame:
