@@ -71,3 +71,20 @@ def test_every_report_runs_over_store_and_sink(spark, sf_small):
     assert spark.read.parquet(outs["summary"]).first().total_analizado == 200 + 87
     assert abs(sum(r.proporcion for r in spark.read.parquet(outs["share"]).collect()) - 1) < 1e-5
     assert main(["report", "history", "--store", st, "--clase", "positivo", "--limit", "3"], spark) == 0
+
+
+def test_migrate_and_clear_commands(spark, sf_small, capsys):
+    from tonalyze.operators import store
+    from tonalyze.sources import tables as T
+
+    src, dst = work_path(spark, "cli-legacy"), work_path(spark, "cli-migrated")
+    T.stored_predictions(spark, sf_small).write.parquet(src)
+    assert main(["migrate", "--src", src, "--dst", dst], spark) == 0
+    out = capsys.readouterr().out
+    assert "matched_count: 87" in out and "modified_count: 8" in out
+    assert spark.read.parquet(dst).filter("prediccion IS NULL").count() == 0
+    st = work_path(spark, "cli-clear")
+    store.append_predictions(store.read_store(spark, dst), st)
+    assert main(["clear", "--store", st], spark) == 0
+    assert "deleted: 87" in capsys.readouterr().out
+    assert store.read_store(spark, st).count() == 0

@@ -4,6 +4,8 @@
     python -m tonalyze score  --model M --input PARQUET --text-col text --out OUT
     python -m tonalyze stream --model M --source DIR --sink DIR --checkpoint DIR [--every 5s]
     python -m tonalyze report NAME [--store S] [--stream-sink K] [--limit N] [--clase C] [--out OUT]
+    python -m tonalyze migrate --src LEGACY --dst NEW
+    python -m tonalyze clear  --store S
     python -m tonalyze query  NAME --sf-dir DIR [--out OUT] [--show N]
     python -m tonalyze list
 
@@ -54,6 +56,13 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     r.add_argument("--out", default=None)
     r.add_argument("--show", type=int, default=20)
 
+    mg = sub.add_parser("migrate", help="rewrite a legacy store to the unified schema (new path)")
+    mg.add_argument("--src", required=True)
+    mg.add_argument("--dst", required=True)
+
+    cl = sub.add_parser("clear", help="delete every stored prediction; prints how many")
+    cl.add_argument("--store", required=True)
+
     q = sub.add_parser("query", help="run a registered query")
     q.add_argument("name")
     q.add_argument("--sf-dir", required=True)
@@ -121,6 +130,14 @@ def main(argv: list[str] | None = None, spark=None) -> int:
             df.write.mode("errorifexists").parquet(args.out)
         else:
             df.show(args.show, truncate=80)
+    elif args.cmd == "migrate":
+        from tonalyze.operators import store
+        matched, modified = store.migrate_store(spark, args.src, args.dst)
+        print(f"matched_count: {matched}")
+        print(f"modified_count: {modified}")
+    elif args.cmd == "clear":
+        from tonalyze.operators import store
+        print(f"deleted: {store.clear_predictions(spark, args.store)}")
     elif args.cmd == "query":
         df = catalog.QUERIES[args.name](spark, args.sf_dir)
         if args.out:
