@@ -12,10 +12,12 @@ like any MLlib pipeline.  How it is fitted differs from ``Pipeline.fit``:
   taken with a top-n (``TakeOrderedAndProject``).  MLlib's own
   ``CountVectorizer`` breaks ties at the cut by partition order, which
   changes the model with the partitioning.
-* Tokenising runs once: the (label, term counts) vectors are persisted
-  (memory, spilling to disk; recomputed from lineage if an executor is
-  lost) and both the IDF and the Naive Bayes fits read them, instead of
-  each estimator re-reading and re-tokenising the corpus.
+* The corpus is tokenised twice, not once per estimator: once for the
+  vocabulary, once for the (label, term counts) vectors, which are
+  persisted (memory, spilling to disk; recomputed from lineage if an
+  executor is lost) and read by both the IDF and the Naive Bayes fits.
+  Persisting the token arrays instead would hold about as much as the
+  text itself, so the second tokenising pass is the cheaper choice.
 
 Driver state is bounded by parameters: the vocabulary (``vocab_size``
 terms), IDF (one double per term) and Naive Bayes (classes x terms).
