@@ -2,8 +2,10 @@
 
 The store is a table at a path (parquet by default; the format is a
 parameter so a document-store connector can be used where its jar exists).
-All maintenance is whole-table DataFrame work: a rewrite goes to a new path,
-never in place, so a failed job leaves the old table intact.
+All maintenance is whole-table DataFrame work.  The schema migration writes
+to a new path, so a failed job leaves the old table intact; clearing
+replaces the table with an empty one, and a batch-keyed append replaces
+only its own batch partition.
 """
 
 from __future__ import annotations
