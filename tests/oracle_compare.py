@@ -3,7 +3,7 @@
 Columns are matched by name, rows as an unordered multiset, values exactly.
 Usable from tests and as a script:
 
-    python tests/oracle_compare.py /root/testdata/sf0.01 [name ...]
+    python tests/oracle_compare.py /root/testdata/sf0.01 [name ...] [--json report.json]
 """
 
 from __future__ import annotations
@@ -91,8 +91,18 @@ if __name__ == "__main__":
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     from tonalyze.session import build_session
 
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
+    args = sys.argv[1:]
+    json_out = None
+    if "--json" in args:
+        i = args.index("--json")
+        json_out = args[i + 1]
+        del args[i:i + 2]
+    sf = args[0] if args else "/root/testdata/sf0.01"
     spark = build_session("local[8]", extra={"spark.ui.showConsoleProgress": "false"})
-    rep = compare(spark, sf, sys.argv[2:] or None)
+    rep = compare(spark, sf, args[1:] or None)
     bad = [k for k, v in rep.items() if v["ok"] is False]
     print("FAILED:", bad)
+    if json_out:
+        import json
+        with open(json_out, "w") as fh:
+            json.dump({"sf_dir": sf, "queries": rep}, fh, indent=1, default=str)
