@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -10,8 +13,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import tonalyze
 from tonalyze.session import work_path
 
+_SHIPPED: set[str] = set()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -36,6 +42,30 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application (Spark
+    hands the archive to each executor; nothing needs to be installed there)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = os.path.dirname(os.path.abspath(tonalyze.__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="tonalyze-"), "tonalyze.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.join("tonalyze", os.path.relpath(path, root)))
+    sc.addPyFile(archive)
+    _SHIPPED.add(sc.applicationId)
+
+
+def map_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def fold(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``."""
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus

@@ -8,17 +8,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonalyze.llm import quality_rules, sharding
+from tonalyze.llm import decontam, minhash_forest, packing, quality_rules, sharding
 from tonalyze.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op3_lsh_forest(spark, sf_dir):
+    return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark, sf_dir):
     done = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return done.select("doc_id", *quality_rules.ADDED, "base_failed", "kept")
 
 
+def op7_residual_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op9_fm_decontamination(spark, sf_dir):
+    found = decontam.decontaminate(table(spark, sf_dir, "documents"),
+                                   table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
 def op10_histogram_shards(spark, sf_dir):
     placed = sharding.shard(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -27,6 +41,9 @@ def op10_histogram_shards(spark, sf_dir):
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op3_lsh_forest": op3_lsh_forest,
     "op5_quality_rules": op5_quality_rules,
+    "op7_residual_packing": op7_residual_packing,
+    "op9_fm_decontamination": op9_fm_decontamination,
     "op10_histogram_shards": op10_histogram_shards,
 }
