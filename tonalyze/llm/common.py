@@ -42,6 +42,15 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def cut_spans(text: Column, spans: Column) -> Column:
+    """``text`` without its (start, end) character spans, sorted and disjoint."""
+    head = F.array(F.substring(text, F.lit(1), F.get(spans, F.lit(0))["start"].cast("int")))
+    rest = F.transform(spans, lambda s, i: F.substring(
+        text, (s["end"] + 1).cast("int"),
+        F.coalesce(F.get(spans, i + 1)["start"] - s["end"], F.length(text)).cast("int")))
+    return F.array_join(F.concat(head, rest), "")
+
+
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, once per application (Spark
     hands the archive to each executor; nothing needs to be installed there)."""

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonalyze.llm import words as W
-from tonalyze.llm.common import field, map_arrow, saved, slices, utf8
+from tonalyze.llm.common import cut_spans, field, map_arrow, saved, slices, utf8
 from tonalyze.llm.fm_index import FMIndex
 
 WIDTH = 10
@@ -248,11 +248,5 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 def remove_spans(found: DataFrame, text_col: str = "text") -> DataFrame:
     """The hit spans cut out of the texts; other texts are returned as they are."""
-    pieces = F.concat(
-        F.array(F.substring(F.col(text_col), F.lit(1), F.get(F.col("hit_spans"), F.lit(0))["start"])),
-        F.transform("hit_spans", lambda s, i: F.substring(
-            F.col(text_col), s["end"] + 1,
-            F.coalesce(F.get(F.col("hit_spans"), i + 1)["start"] - s["end"],
-                       F.length(F.col(text_col))))))
     return found.withColumn(text_col, F.when(
-        F.size("hit_spans") > 0, F.array_join(pieces, "")).otherwise(F.col(text_col)))
+        F.size("hit_spans") > 0, cut_spans(F.col(text_col), F.col("hit_spans"))).otherwise(F.col(text_col)))

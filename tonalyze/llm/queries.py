@@ -8,16 +8,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonalyze.llm import decontam, minhash_forest, packing, quality_rules, sharding
+from tonalyze.llm import decontam, licenses, line_dedup, minhash_forest, packing, quality_rules, sharding
 from tonalyze.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_license_inheritance(spark, sf_dir):
+    """Documents as files: a path of source, language and shelves of 100 ids."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"),
+                       F.concat(F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op3_lsh_forest(spark, sf_dir):
     return minhash_forest.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark, sf_dir):
+    return line_dedup.repeats(table(spark, sf_dir, "documents")).drop("crc")
+
+
 def op5_quality_rules(spark, sf_dir):
     done = quality_rules.apply_rules(table(spark, sf_dir, "documents"))
     return done.select("doc_id", *quality_rules.ADDED, "base_failed", "kept")
@@ -41,7 +53,9 @@ def op10_histogram_shards(spark, sf_dir):
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op2_license_inheritance": op2_license_inheritance,
     "op3_lsh_forest": op3_lsh_forest,
+    "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
     "op7_residual_packing": op7_residual_packing,
     "op9_fm_decontamination": op9_fm_decontamination,
