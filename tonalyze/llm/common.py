@@ -80,6 +80,11 @@ def fold(doc_id: Column, modulus: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % modulus
 
 
+def held_out(id_col: str, modulus: int, remainder: int) -> Column:
+    """Is the row in the held-out fold (a null id is in none)?"""
+    return F.coalesce(fold(F.col(id_col), modulus) == remainder, F.lit(False)).alias("held_out")
+
+
 def fold_of(doc_id: int, modulus: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % modulus
 

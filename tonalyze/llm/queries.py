@@ -8,12 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonalyze.llm import decontam, licenses, line_dedup, minhash_forest, packing, quality_rules, sharding
-from tonalyze.llm.common import table
+from tonalyze.llm import decontam, langid, licenses, line_dedup, minhash_forest, packing, quality_cnn, quality_rules, sharding, toxicity
+from tonalyze.llm.common import held_out, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_byte_cnn_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    params = quality_cnn.QualityParams()
+    net = quality_cnn.train(docs, table(spark, sf_dir, "labels"), params)
+    return quality_cnn.classify(docs, net).select(
+        "doc_id", held_out("doc_id", params.modulus, params.held_out), "score", "predicted")
+
+
 def op2_license_inheritance(spark, sf_dir):
     """Documents as files: a path of source, language and shelves of 100 ids."""
     docs = table(spark, sf_dir, "documents")
@@ -35,10 +43,25 @@ def op5_quality_rules(spark, sf_dir):
     return done.select("doc_id", *quality_rules.ADDED, "base_failed", "kept")
 
 
+def op6_weak_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    params = toxicity.ToxicParams()
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), params)
+    return toxicity.classify(docs, model).select(
+        "doc_id", held_out("doc_id", params.modulus, params.held_out), "score", "predicted")
+
+
 def op7_residual_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op8_segmentation_langid(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    params = langid.LangParams()
+    found = langid.identify(docs, langid.train(docs, params))
+    return found.select("doc_id", held_out("doc_id", params.modulus, params.held_out), "lang_pred", "score")
+
+
 def op9_fm_decontamination(spark, sf_dir):
     found = decontam.decontaminate(table(spark, sf_dir, "documents"),
                                    table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -53,11 +76,14 @@ def op10_histogram_shards(spark, sf_dir):
 
 
 QUERIES: dict[str, QueryFn] = {
+    "op1_byte_cnn_quality": op1_byte_cnn_quality,
     "op2_license_inheritance": op2_license_inheritance,
     "op3_lsh_forest": op3_lsh_forest,
     "op4_line_dedup": op4_line_dedup,
     "op5_quality_rules": op5_quality_rules,
+    "op6_weak_toxicity": op6_weak_toxicity,
     "op7_residual_packing": op7_residual_packing,
+    "op8_segmentation_langid": op8_segmentation_langid,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_histogram_shards": op10_histogram_shards,
 }
