@@ -62,10 +62,11 @@ class ToxicParams:
     mine_terms: int = 600
     train_docs: int = 8000
     bits: int = 18               # of hashed features
-    feature_support: int = 3     # documents of the sample that hold a feature
-    epochs: int = 12
+    feature_support: int = 5     # documents of the sample that hold a feature
+    epochs: int = 24
+    toxic_weight: float = 1.0
     rate: float = 0.3
-    decay: float = 1e-4
+    decay: float = 1e-5
     modulus: int = 5             # folds by crc32 of the id
     held_out: int = 0
 
@@ -283,6 +284,7 @@ def fit_linear(rows: list[np.ndarray], target: np.ndarray, params: ToxicParams)
             text = np.repeat(np.arange(len(batch)), counts)
             z = np.bincount(text, weight[index], minlength=len(batch)) + bias
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - target[batch]) / len(batch)
+            g *= 1 + (params.toxic_weight - 1) * target[batch]
             used, inverse = np.unique(index, return_inverse=True)
             step = np.bincount(inverse, g[text], minlength=len(used)) + params.decay * weight[used]
             squares[used] += step * step
