@@ -1,20 +1,68 @@
-"""The corpus pipeline: stages over ``documents``, each written and reread."""
+"""The corpus pipeline: five stages over ``documents``, each written as
+Parquet and reread as the next one's input.
+
+Every stage works on all that the one before kept, and its decisions take
+effect: rejected documents go, one document of each near-duplicate group
+stays, repeated lines and benchmark passages are cut out of the texts (a
+document without a word left goes), and what remains is packed.  All but the
+last return the columns of ``documents``; ``n_chars`` follows the text.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tonalyze.llm import quality_rules
+from tonalyze.llm import decontam, line_dedup, minhash_forest, packing, quality_rules
 from tonalyze.llm.common import saved, table
 
 
-def rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the quality rules reject go."""
+def _with_words(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """Texts that were cut: their length anew, and gone if no word is left."""
+    kept = docs.filter(F.col("text").rlike(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*columns)
+
+
+def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
     return quality_rules.apply_rules(docs).filter("kept").select(*docs.columns)
 
 
-STAGES = [("quality rules", rules_stage)]
+def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays: the smallest id.  Rows
+    that repeat an id are one document; the first by text stays."""
+    found = minhash_forest.near_duplicates(docs)
+    kept = found.filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
+    stay = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    return stay.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines seen in an earlier document are cut out."""
+    return _with_words(line_dedup.remove_repeats(docs), docs.columns)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Benchmark passages are cut out."""
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    return _with_words(decontam.remove_spans(found), docs.columns)
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules_stage),
+    ("minhash near-dedup", near_dedup_stage),
+    ("line dedup", line_dedup_stage),
+    ("benchmark decontamination", decontamination_stage),
+    ("best-fit packing", packing_stage),
+]
 
+#: Near-duplicates and token ids have no SQL; tests hold each stage against a
+#: brute-force version instead.
 ORACLE_SQL = None
 
 
