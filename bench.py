@@ -27,7 +27,7 @@ HEADLINE = [
     "stream_score", "csv_corpus_scan", "term_counts", "tokens_no_stop",
     "class_stats", "class_summary", "latest_predictions", "format_predictions",
     "overview", "migrate_predictions", "migration_counts", "unified_predictions",
-    "class_over_time", "strip_special",
+    "class_over_time", "strip_special", "idf_weights", "nb_model_params",
 ]
 
 
@@ -40,7 +40,9 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     repeats = int(os.environ.get("BENCH_REPEATS", "3"))
     spark = build_session(f"local[{cpus}]", app="tonalyze-bench", shuffle_partitions=int(cpus),
-                          extra={"spark.ui.showConsoleProgress": "false"})
+                          extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "16g",
+                                 # the given tables are one row group each
+                                 "tonalyze.text.partitions": cpus})
 
     # Warm-up, not timed: JVM start, class loading and JIT of the MLlib
     # stages.  The model is fitted on the smallest given tables (a different

@@ -14,7 +14,7 @@ def spark():
     from tonalyze.session import build_session
 
     session = build_session("local[4]", app="tonalyze-tests", shuffle_partitions=8,
-                            extra={"spark.ui.showConsoleProgress": "false"})
+                            extra={"spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"})
     yield session
     session.stop()
 

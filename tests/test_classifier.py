@@ -198,7 +198,7 @@ def test_term_counts_match_count_vectors(spark, corpus, model):
     params = clf.ClassifierParams()
     toks = clf.tokenize(corpus)
     vocab = clf.vocabulary(toks, params.vocab_size)
-    by_df = {(r.doc_id, r.term): r.tf for r in clf.term_counts(toks, vocab, params.vocab_size).collect()}
+    by_df = {(r.doc_id, r.term): r.tf for r in clf.term_counts(toks, clf.vocabulary_terms(vocab)).collect()}
     cv = clf.stage(model, CountVectorizerModel)
     dense = cv.transform(toks).select("doc_id", vector_to_array(F.col("rawFeatures")).alias("a")).collect()
     by_ml = {(r.doc_id, cv.vocabulary[j]): int(c) for r in dense for j, c in enumerate(r.a) if c}

@@ -88,3 +88,24 @@ def test_migrate_and_clear_commands(spark, sf_small, capsys):
     assert main(["clear", "--store", st], spark) == 0
     assert "deleted: 87" in capsys.readouterr().out
     assert store.read_store(spark, st).count() == 0
+
+
+def test_train_from_csv_score_store_report(spark, sf_small, tmp_path):
+    """Only commands: train on a CSV, score into the store, stream into the
+    store, report."""
+    rows = "".join(f"texto bueno {i},positivo\ntexto malo {i},negativo\n" for i in range(5))
+    (tmp_path / "rows.csv").write_text("texto,etiqueta\n" + rows, encoding="utf-8")
+    src = tmp_path / "lines"
+    src.mkdir()
+    (src / "a.txt").write_text("muy bueno|||positivo\nmuy malo|||negativo\n", encoding="utf-8")
+    model, st, sink, ckpt, rep = (work_path(spark, n) for n in ("c-model", "c-store", "c-sink", "c-ckpt", "c-report"))
+    docs = os.path.join(sf_small, "documents.parquet")
+    assert main(["train", "--csv", str(tmp_path / "rows.csv"), "--model", model], spark) == 0
+    for _ in range(2):      # the batch sent again replaces itself
+        assert main(["score", "--model", model, "--input", docs, "--store", st, "--id-col", "doc_id",
+                     "--batch-id", "1"], spark) == 0
+    for _ in range(2):      # nothing new the second time
+        assert main(["stream", "--model", model, "--source", str(src), "--sink", sink, "--store", st,
+                     "--checkpoint", ckpt, "--available-now"], spark) == 0
+    assert main(["report", "stats", "--store", st, "--out", rep], spark) == 0
+    assert sum(r["total"] for r in spark.read.parquet(rep).collect()) == 200 + 2

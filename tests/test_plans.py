@@ -26,11 +26,10 @@ def test_class_reads_prune_text_and_pre_aggregate(spark, sf_small):
     assert "partial_count" in p and "partial_avg" in p
 
 
-def test_newest_pushes_id_filter_to_both_scans(spark, sf_small):
+def test_newest_joins_instead_of_collecting(spark, sf_small):
     p = plan(catalog.latest_predictions(spark, sf_small))
-    pushed = [line for line in p.splitlines() if line.startswith("PushedFilters") and "In(doc_id" in line]
-    assert len(pushed) == 2
-    assert "TakeOrderedAndProject" in p
+    assert "TakeOrderedAndProject" in p and "LeftSemi" in p
+    assert "INSET" not in p and "In(doc_id" not in p
 
 
 def test_overview_recent_part_reads_no_text(spark, sf_small):
@@ -41,7 +40,7 @@ def test_overview_recent_part_reads_no_text(spark, sf_small):
 def test_scoring_is_map_only_and_jvm_side(spark, sf_small):
     model = catalog.trained_model(spark, sf_small)
     p = plan(clf.score(model, T.documents(spark, sf_small).select("doc_id", "texto"), keep=["doc_id"]))
-    assert "Exchange hashpartitioning" not in p
+    assert "Exchange" not in p
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
 
 
@@ -55,10 +54,20 @@ def test_vocabulary_tokenizes_once_and_uses_top_n(spark, sf_small):
 
 
 def test_no_python_udf_in_any_query_plan(spark, sf_small):
-    for name in ("class_stats", "format_predictions", "parse_records", "strip_special",
-                 "tokens_no_stop", "term_counts", "class_over_time", "reject_empty"):
+    for name, query in catalog.QUERIES.items():
+        p = plan(query(spark, sf_small))
+        assert "EvalPython" not in p and "InArrow" not in p and "InPandas" not in p, name
+
+
+def test_term_counts_shuffle_nothing(spark, sf_small):
+    p = plan(clf.term_counts(clf.tokenize(T.documents(spark, sf_small)), ["de", "la"]))
+    assert "Exchange" not in p and "Join" not in p
+
+
+def test_parameter_tables_come_from_aggregates(spark, sf_small):
+    for name in ("idf_weights", "nb_model_params"):
         p = plan(catalog.QUERIES[name](spark, sf_small))
-        assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
+        assert "Scan parquet" in p and "HashAggregate" in p, name
 
 
 def test_bucketed_inputs_join_without_exchange(spark, sf_small):
@@ -79,10 +88,20 @@ def test_bucketed_inputs_join_without_exchange(spark, sf_small):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 
 
-def test_spread_only_touches_inputs_with_few_splits(spark):
-    slots = spark.sparkContext.defaultParallelism
+def test_spread_only_when_the_caller_asks(spark):
     few = spark.range(100).coalesce(1)
-    many = spark.range(0, 1000, 1, slots * 2)
-    assert T.spread(few).rdd.getNumPartitions() == slots
-    assert "RoundRobinPartitioning" in plan(T.spread(few))
-    assert T.spread(many) is many
+    assert T.spread(few) is few
+    spark.conf.set(T.TEXT_PARTITIONS, "3")
+    try:
+        assert T.spread(few).rdd.getNumPartitions() == 3
+        assert T.spread(spark.range(0, 1000, 1, 16)).rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(T.TEXT_PARTITIONS)
+
+
+def test_class_share_runs_no_job_when_built(spark, sf_small):
+    stats = spark.createDataFrame([("a", 3), ("b", 1)], "_id string, total long")
+    before = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    share = reports.class_share(stats)
+    assert spark.sparkContext.statusTracker().getJobIdsForGroup() == before
+    assert {r.clase: r.proporcion for r in share.collect()} == {"a": 0.75, "b": 0.25}

@@ -75,3 +75,62 @@ def test_read_predictions_needs_a_source(spark):
     import pytest
     with pytest.raises(ValueError):
         store.read_predictions(spark)
+
+
+def _batch(spark, *ids):
+    rows = [(i, "t", "neutral") for i in ids]
+    return store.enrich_for_store(spark.createDataFrame(rows, "id string, texto string, prediccion string"), "id")
+
+
+def test_keyed_and_unkeyed_batches_mix_in_any_order(spark):
+    for keyed_first in (True, False):
+        path = work_path(spark, "test-store-mixed")
+        for keyed in ((True, False) if keyed_first else (False, True)):
+            if keyed:
+                store.append_predictions(_batch(spark, "1"), path, batch_id=3)
+            else:
+                store.append_predictions(_batch(spark, "2", "3"), path)
+        assert sorted(r.id for r in store.read_store(spark, path).collect()) == ["1", "2", "3"]
+        assert store.clear_predictions(spark, path) == 3
+        assert store.read_store(spark, path).count() == 0
+        store.append_predictions(_batch(spark, "4"), path)
+        assert store.read_store(spark, path).count() == 1
+
+
+def test_other_layouts_are_refused(spark):
+    import pytest
+    path = work_path(spark, "test-store-flat")
+    _batch(spark, "1").write.parquet(path)
+    with pytest.raises(ValueError):
+        store.append_predictions(_batch(spark, "2"), path, batch_id=1)
+    with pytest.raises(ValueError):
+        store.read_store(spark, path)
+    moved = work_path(spark, "test-store-moved")
+    assert store.migrate_store(spark, path, moved) == (1, 0)
+    store.append_predictions(_batch(spark, "2"), moved, batch_id=1)
+    assert store.read_store(spark, moved).count() == 2
+
+
+def test_stored_time_is_utc_in_any_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Bogota")
+    try:
+        got = _batch(spark, "1").first().ts
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        assert abs(now - got) < dt.timedelta(minutes=2)
+        path = work_path(spark, "test-sink")
+        at = dt.datetime(2024, 1, 1, 12, tzinfo=dt.timezone.utc)
+        spark.createDataFrame([("a", "x", at)], "id string, texto string, timestamp timestamp").write.parquet(path)
+        assert store.read_predictions(spark, stream_sink=path).first().ts == dt.datetime(2024, 1, 1, 12)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_newest_rows_do_not_depend_on_partitions(spark):
+    from tonalyze.operators import reports
+    rows = [(f"h{i}", f"t{i}", None if i == 5 else T0) for i in range(6)]
+    got = set()
+    for n in (1, 3, 5):
+        preds = spark.createDataFrame(rows, "id string, texto string, ts timestamp_ntz").repartition(n)
+        got.add(tuple(r.texto for r in reports.newest_rows(preds, 2).collect()))
+    assert got == {("t4", "t3")}

@@ -1,8 +1,9 @@
 """Command line: train, score, stream and report, as spark-submit jobs.
 
-    python -m tonalyze train  --sf-dir DIR --model OUT
-    python -m tonalyze score  --model M --input PARQUET --text-col text --out OUT
+    python -m tonalyze train  (--sf-dir DIR | --csv FILE) --model OUT
+    python -m tonalyze score  --model M --input PARQUET --text-col text [--out OUT] [--store S [--id-col C]]
     python -m tonalyze stream --model M --source DIR --sink DIR --checkpoint DIR [--every 5s]
+    python -m tonalyze stream ... --available-now [--store S]    # and bring the batches into the store
     python -m tonalyze report NAME [--store S] [--stream-sink K] [--limit N] [--clase C] [--out OUT]
     python -m tonalyze migrate --src LEGACY --dst NEW
     python -m tonalyze clear  --store S
@@ -24,8 +25,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     ap.add_argument("--master", default=None, help="Spark master (default: from spark-submit)")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
-    t = sub.add_parser("train", help="fit on documents JOIN labels and save the model")
-    t.add_argument("--sf-dir", required=True)
+    t = sub.add_parser("train", help="fit on documents JOIN labels, or on a CSV, and save the model")
+    corpus = t.add_mutually_exclusive_group(required=True)
+    corpus.add_argument("--sf-dir", help="folder of the documents and labels tables")
+    corpus.add_argument("--csv", help="CSV with a header")
+    t.add_argument("--text-col", default="texto", help="text column of the CSV")
+    t.add_argument("--label-col", default="etiqueta", help="label column of the CSV")
     t.add_argument("--model", required=True)
     t.add_argument("--vocab-size", type=int, default=5000)
     t.add_argument("--stop-words", default="spanish")
@@ -36,12 +41,16 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     s.add_argument("--input", required=True)
     s.add_argument("--text-col", default="text")
     s.add_argument("--keep", default="", help="comma-separated columns to keep")
-    s.add_argument("--out", required=True)
+    s.add_argument("--out", default=None, help="write the scoring records here")
+    s.add_argument("--store", default=None, help="append them to this predictions store")
+    s.add_argument("--id-col", default=None, help="column that identifies a stored row (default: generated)")
+    s.add_argument("--batch-id", default=None, help="a batch sent again under its id replaces itself")
 
     st = sub.add_parser("stream", help="score wire lines arriving in a folder")
     st.add_argument("--model", required=True)
     st.add_argument("--source", required=True)
     st.add_argument("--sink", required=True)
+    st.add_argument("--store", default=None, help="with --available-now: bring new batches into this store")
     st.add_argument("--checkpoint", required=True)
     st.add_argument("--every", default="1 second")
     st.add_argument("--max-files", type=int, default=None)
@@ -81,7 +90,9 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     from pyspark.sql import functions as F
 
     from tonalyze.operators import classifier as clf
+    from tonalyze.operators import reports, store
     from tonalyze.session import build_session
+    from tonalyze.sources import csv_corpus
     from tonalyze.sources import tables as T
     from tonalyze.streaming import scoring as stream
 
@@ -91,24 +102,37 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.cmd == "train":
         params = clf.ClassifierParams(vocab_size=args.vocab_size,
                                       stop_words_language=args.stop_words, hashed=args.hashed)
-        model = clf.train(T.labelled_corpus(spark, args.sf_dir), params)
+        rows = (csv_corpus.read_labelled_csv(spark, args.csv, args.text_col, args.label_col) if args.csv
+                else T.labelled_corpus(spark, args.sf_dir))
+        model = clf.train(rows, params)
         model.write().overwrite().save(args.model)
         print(f"model saved to {args.model}; classes {clf.label_names(model)}")
     elif args.cmd == "score":
         model = PipelineModel.load(args.model)
         df = spark.read.parquet(args.input).withColumn("texto", F.col(args.text_col))
         keep = [c for c in args.keep.split(",") if c]
-        clf.scoring_record(clf.score(model, df, keep=keep)).write.mode("errorifexists").parquet(args.out)
+        if not args.out and not args.store:
+            ap.error("score needs --out, --store or both")
+        if args.out:
+            clf.scoring_record(clf.score(model, df, keep=keep)).write.mode("errorifexists").parquet(args.out)
+        if args.store:
+            kept = ["texto", *([args.id_col] if args.id_col and args.id_col != "texto" else [])]
+            store.append_predictions(store.enrich_for_store(clf.score(model, df, keep=kept), args.id_col),
+                                     args.store, batch_id=args.batch_id)
     elif args.cmd == "stream":
         model = PipelineModel.load(args.model)
         if args.available_now:
             lines = stream.text_source(spark, args.source, args.max_files)
-            stream.run_available(stream.score_lines(model, lines), args.sink, args.checkpoint, timeout_s=None)
+            scored = stream.score_lines(model, lines)
+            stream.run_available(scored, args.sink, args.checkpoint)
+            if args.store:
+                print(f"stored: {stream.append_to_store(spark, args.sink, args.store)}")
+        elif args.store:
+            ap.error("--store needs --available-now")
         else:
             stream.start_scoring(model, spark, args.source, args.sink, args.checkpoint,
                                  every=args.every, max_files_per_trigger=args.max_files).awaitTermination()
     elif args.cmd == "report":
-        from tonalyze.operators import reports, store
         preds = store.read_predictions(spark, args.store, args.stream_sink)
         limit = args.limit or None
         if args.name == "history":
@@ -131,12 +155,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         else:
             df.show(args.show, truncate=80)
     elif args.cmd == "migrate":
-        from tonalyze.operators import store
         matched, modified = store.migrate_store(spark, args.src, args.dst)
         print(f"matched_count: {matched}")
         print(f"modified_count: {modified}")
     elif args.cmd == "clear":
-        from tonalyze.operators import store
         print(f"deleted: {store.clear_predictions(spark, args.store)}")
     elif args.cmd == "query":
         df = catalog.QUERIES[args.name](spark, args.sf_dir)

@@ -75,3 +75,8 @@ def probability_text(arr: Column, decimals: int = PROBABILITY_DECIMALS) -> Colum
     body = F.array_join(F.transform(arr, lambda x: to_fixed(x, decimals)), ", ")
     return F.when(arr.isNull(), F.lit(MISSING_PROBABILITY)).otherwise(
         F.concat(F.lit("["), body, F.lit("]")))
+
+
+def utc_ntz(ts):
+    """An instant as UTC wall time without a zone, whatever the session's zone."""
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), F.lit("1970-01-01").cast("timestamp_ntz"))

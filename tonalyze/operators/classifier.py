@@ -34,11 +34,10 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import NaiveBayes, NaiveBayesModel
+from pyspark.ml.classification import NaiveBayes
 from pyspark.ml.feature import (
     IDF,
     CountVectorizerModel,
-    IDFModel,
     HashingTF,
     IndexToString,
     StopWordsRemover,
@@ -49,6 +48,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tonalyze.functions.formatting import utc_ntz
 from tonalyze.fixed import MIN_DF, PROCESSED_STATUS, SMOOTHING, STOP_WORDS_LANGUAGE, VOCAB_SIZE
 
 # Column names used inside the pipeline.
@@ -138,26 +138,26 @@ def vocabulary_terms(vocab: DataFrame) -> list[str]:
     return [r["term"] for r in rows]
 
 
-# Largest vocabulary sent to every task as a broadcast (terms); beyond it the
-# vocabulary is joined like any other table.
-MAX_BROADCAST_TERMS = 1_000_000
-
-
-def term_counts(tokens: DataFrame, vocab: DataFrame, vocab_size: int, key: str = "doc_id",
+def term_counts(tokens: DataFrame, terms: list[str], key: str = "doc_id",
                 tokens_col: str = CLEAN_TOKENS) -> DataFrame:
-    """(key, term, tf) for the vocabulary terms of each row.
+    """(key, term, tf) for the vocabulary terms of each row; map-only.
 
-    ``vocab`` holds at most ``vocab_size`` rows (the cut), so its size is
-    known before planning: within ``MAX_BROADCAST_TERMS`` it is broadcast,
-    otherwise Spark plans the semi-join itself.  Out-of-vocabulary tokens
-    are dropped before the per-row counts are shuffled.
+    ``terms`` is the vocabulary, whose size ``vocab_size`` bounds (the model
+    holds it on the driver too).  A row's known tokens are sorted and equal
+    neighbours counted, inside the row: nothing is exploded before it is
+    counted, and nothing is shuffled.
     """
-    terms = explode_terms(tokens, tokens_col, key)
-    small = vocab.select("term")
-    if vocab_size <= MAX_BROADCAST_TERMS:
-        small = F.broadcast(small)
-    in_vocab = terms.join(small, "term", "left_semi")
-    return in_vocab.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    if not terms:
+        return tokens.select(key, F.lit("").alias("term"), F.lit(0).cast("long").alias("tf")).limit(0)
+    known = F.array_sort(F.filter(tokens_col, lambda t: t.isin(terms)))
+    first = F.filter(F.transform("_known", lambda t, i: F.struct(t.alias("term"), i.alias("at"))),
+                     lambda x: (x["at"] == 0) | (x["term"] != F.get(F.col("_known"), x["at"] - 1)))
+    counted = F.transform("_first", lambda x, i: F.struct(
+        x["term"].alias("term"),
+        (F.coalesce(F.get(F.col("_first"), i + 1)["at"], F.size("_known")) - x["at"]).cast("long").alias("tf")))
+    rows = (tokens.select(key, known.alias("_known")).withColumn("_first", first)
+            .select(key, F.explode(counted).alias("c")))
+    return rows.select(key, "c.term", "c.tf")
 
 
 def label_indexer(labelled: DataFrame, label_col: str = "etiqueta") -> StringIndexerModel:
@@ -232,9 +232,12 @@ def score_texts(spark: SparkSession, model: PipelineModel, texts: list[str]) ->
 
 
 def scoring_record(scored: DataFrame) -> DataFrame:
-    """Response record of a scoring request, for a whole scored batch:
-    class, probability vector, confidence and a constant status."""
-    return scored.withColumn("status", F.lit(PROCESSED_STATUS))
+    """Response record of a scoring request, for a whole scored batch: class,
+    probability vector, confidence, a constant status, the time it was
+    scored (UTC, kept if the row has one) and whether it is stored (not yet)."""
+    now = utc_ntz(F.current_timestamp())
+    ts = F.coalesce(F.col("ts"), now) if "ts" in scored.columns else now
+    return scored.withColumns({"status": F.lit(PROCESSED_STATUS), "ts": ts, "stored": F.lit(False)})
 
 
 def rounded(df: DataFrame, places: int = 6) -> DataFrame:
@@ -256,28 +259,36 @@ def label_names(model: PipelineModel) -> list[str]:
     return list(stage(model, IndexToString).getLabels())
 
 
-def idf_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """(term_index, term, doc_freq, idf) of a vocabulary model (V rows)."""
-    terms = stage(model, CountVectorizerModel).vocabulary
-    idf_model = stage(model, IDFModel)
-    idf = idf_model.idf.toArray().tolist()
-    dfreq = list(idf_model.docFreq)
-    rows = [(i, t, int(dfreq[i]), float(idf[i])) for i, t in enumerate(terms)]
-    return spark.createDataFrame(rows, "term_index int, term string, doc_freq long, idf double")
+def idf_table(counts: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
+    """(term_index, term, doc_freq, idf) by aggregation of the term counts
+    (doc_id, term, tf) of ``n_docs`` training documents."""
+    freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
+    found = vocab.join(freq, "term", "left").withColumn("doc_freq", F.coalesce("doc_freq", F.lit(0)))
+    return found.select(F.col("term_index").cast("int").alias("term_index"), "term",
+                        F.col("doc_freq").cast("long").alias("doc_freq"),
+                        F.log((n_docs + 1.0) / (F.col("doc_freq") + 1.0)).alias("idf"))
 
 
-def nb_params_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
-    """Log prior per class (term null) and log term probability per class and term.
+def nb_params_table(counts: DataFrame, idf: DataFrame, classes: DataFrame, names: dict[str, int],
+                    smoothing: float = SMOOTHING) -> DataFrame:
+    """Log prior per class (term null) and log term probability per class and
+    term, by aggregation.
 
-    K x (V + 1) rows, built from the fitted model's driver-side matrices.
+    ``counts`` has (doc_id, term, tf), ``classes`` (doc_id, clase) of every
+    training document, ``names`` the documents per class.
     """
-    terms = stage(model, CountVectorizerModel).vocabulary
-    nb = stage(model, NaiveBayesModel)
-    labels = label_names(model)
-    pi = nb.pi.toArray().tolist()
-    theta = nb.theta.toArray()
-    rows = []
-    for c, name in enumerate(labels[: len(pi)]):
-        rows.append((name, None, float(pi[c])))
-        rows.extend((name, t, float(theta[c, j])) for j, t in enumerate(terms))
-    return spark.createDataFrame(rows, "clase string, term string, valor double")
+    n, k = sum(names.values()), len(names)
+    labels = F.array(*[F.lit(c) for c in sorted(names)])
+    weighted = (counts.join(classes, "doc_id").join(idf.select("term", "idf"), "term")
+                .groupBy("clase", "term").agg(F.sum(F.col("tf") * F.col("idf")).alias("s")))
+    of_class = weighted.groupBy("clase").agg(F.sum("s").alias("s_c"))
+    # every (class, term) of the vocabulary, those never seen too
+    grid = idf.select("term", F.explode(labels).alias("clase"))
+    v = idf.count()
+    theta = (grid.join(weighted, ["clase", "term"], "left").join(of_class, "clase", "left")
+             .select("clase", "term", (F.log(F.coalesce("s", F.lit(0.0)) + smoothing)
+                                       - F.log(F.coalesce("s_c", F.lit(0.0)) + v * smoothing)).alias("valor")))
+    prior = (classes.groupBy("clase").agg(F.count(F.lit(1)).alias("n_c"))
+             .select("clase", F.lit(None).cast("string").alias("term"),
+                     (F.log(F.col("n_c") + smoothing) - F.log(F.lit(n + k * smoothing))).alias("valor")))
+    return prior.unionByName(theta)

@@ -14,7 +14,7 @@ Scale notes
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonalyze.functions import formatting as fmt
@@ -40,21 +40,17 @@ def newest_rows(preds: DataFrame, limit: int | None = HISTORY_LIMIT,
                 wide: tuple[str, ...] = ("texto",), id_col: str = "id") -> DataFrame:
     """Newest-n rows with every column, reading the wide columns for n rows only.
 
-    Phase 1 ranks on the narrow columns (the text is pruned from the scan)
-    and brings the n winning ids to the driver -- n is the requested limit.
-    Phase 2 filters on those ids; the ``IN`` predicate reaches the parquet
-    scans, so text pages of other rows can be skipped.  Re-ranking the
-    filtered rows gives exactly the one-phase result.
+    The ranking reads the narrow columns only (the text is pruned from its
+    scan) and leaves n (time, id) pairs; a semi-join with them, planned by
+    Spark from their size, reads the rest.  Ranking the joined rows again
+    gives exactly the one-step result.  Nothing passes through the driver.
     """
     if not limit or not any(c in preds.columns for c in wide):
         return newest(preds, limit, id_col=id_col)
-    narrow = preds.drop(*[c for c in wide if c in preds.columns])
-    keys = [r[0] for r in newest(narrow, limit, id_col=id_col).select(id_col).collect()]
-    present = [k for k in keys if k is not None]
-    cond = F.col(id_col).isin(present) if present else F.lit(False)
-    if len(present) < len(keys):
-        cond = cond | F.col(id_col).isNull()
-    return newest(preds.filter(cond), limit, id_col=id_col)
+    top = newest(preds.select("ts", id_col), limit, id_col=id_col).select(
+        F.col("ts").alias("_ts"), F.col(id_col).alias("_id_")).distinct()
+    match = F.col("ts").eqNullSafe(F.col("_ts")) & F.col(id_col).eqNullSafe(F.col("_id_"))
+    return newest(preds.join(top, match, "left_semi"), limit, id_col=id_col)
 
 
 LEGACY_FIELDS = ("intencion_predicha", "confianza")
@@ -132,11 +128,9 @@ def class_summary(stats: DataFrame) -> DataFrame:
 def class_share(stats: DataFrame) -> DataFrame:
     """Share of each class in all predictions (pie-chart data)."""
     merged = _merged_counts(stats)
-    # The grand total is one scalar aggregate (a number to the driver), so no
-    # single-partition window or cross join is needed to divide by it.
-    grand = merged.agg(F.sum("total")).first()[0] or 0
-    return merged.select("clase", "total",
-                         F.round(F.col("total") / F.lit(grand), 6).alias("proporcion"))
+    # one row per class reaches the window: a handful
+    grand = F.sum("total").over(Window.partitionBy(F.lit(0)))
+    return merged.select("clase", "total", F.round(F.col("total") / grand, 6).alias("proporcion"))
 
 
 def class_over_time(preds: DataFrame, every: str = "1 hour") -> DataFrame:
@@ -176,15 +170,26 @@ def predictions_json(preds: DataFrame, limit: int | None = None) -> DataFrame:
 
 
 def overview(preds: DataFrame, limit: int = OVERVIEW_LIMIT) -> DataFrame:
-    """Recent ids (newest first) and the class summary, as one row.
+    """Recent records and ids (newest first), the statistics rows and the
+    class summary, as one row.
 
-    Both parts are bounded before they meet: the top-n holds ``limit`` rows
-    and the summary one row, combined by a union and a two-row aggregate.
+    All parts are bounded before they meet: the top-n holds ``limit`` rows
+    and the statistics one row per class, from which the summary is made too.
     """
-    recent = (newest(preds, limit)
-              .agg(F.sort_array(F.collect_list(F.struct(
-                   F.col("ts").alias("ts"), F.col("id").alias("id"))), asc=False).alias("r"))
-              .select(F.transform("r", lambda x: x["id"].cast("string")).alias("recientes")))
-    summary = class_summary(class_stats(preds, ordered=False))
-    both = recent.unionByName(summary, allowMissingColumns=True)
+    newest_first = F.sort_array(F.collect_list(F.struct(
+        F.col("ts").alias("ts"), F.col("id").alias("id"),
+        F.to_json(F.struct("_id", "texto", "prediccion", "timestamp")).alias("doc"))), asc=False)
+    rows = newest_rows(preds, limit)
+    recent = (rows.select("ts", "id", F.col("id").cast("string").alias("_id"), "texto", "prediccion",
+                          fmt.iso_timestamp(F.col("ts")).alias("timestamp"))
+              .agg(newest_first.alias("r"))
+              .select(F.transform("r", lambda x: x["id"].cast("string")).alias("recientes"),
+                      F.transform("r", lambda x: x["doc"]).alias("documentos")))
+    stats = class_stats(preds, ordered=False)
+    listed = F.array_sort(F.collect_list(F.struct(
+        (-F.col("total")).alias("o"), F.coalesce("_id", F.lit("\uffff")).alias("k"),
+        F.to_json(F.struct("_id", "total", "promedio_confianza"), {"ignoreNullFields": "false"}).alias("doc"))))
+    per_class = stats.agg(F.transform(listed, lambda x: x["doc"]).alias("estadisticas"))
+    both = (recent.unionByName(class_summary(stats), allowMissingColumns=True)
+            .unionByName(per_class, allowMissingColumns=True))
     return both.agg(*[F.first(c, ignorenulls=True).alias(c) for c in both.columns])

@@ -6,14 +6,23 @@ All maintenance is whole-table DataFrame work.  The schema migration writes
 to a new path, so a failed job leaves the old table intact; clearing
 replaces the table with an empty one, and a batch-keyed append replaces
 only its own batch partition.
+
+There is one layout: every write goes to a batch partition (``lote=...``),
+named by the caller's batch id or else by a fresh one.  A folder that holds
+rows in any other layout is refused, for reading and for writing, rather
+than read in part.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tonalyze.fixed import STORED_STATE
+from tonalyze.functions.formatting import utc_ntz
 
 # Columns of a stored prediction, in order.
 STORE_COLUMNS = ("id", "texto", "prediccion", "probability", "ts", "estado")
@@ -22,7 +31,12 @@ STORE_SCHEMA = ("id string, texto string, prediccion string, probability array<d
 _STORE_TYPES = [tuple(f.strip().split(" ", 1)) for f in STORE_SCHEMA.split(", ")]
 
 
-def enrich_for_store(scored: DataFrame, id_col: str | None = None) -> DataFrame:
+BATCH_COLUMN = "lote"
+LAYOUT_SCHEMA = f"{STORE_SCHEMA}, {BATCH_COLUMN} string"
+
+
+def enrich_for_store(scored: DataFrame, id_col: str | None = None,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """Stored-document shape of a batch of scored rows.
 
     * ``id``: the given key as text, or a generated one (``uuid()``).
@@ -31,7 +45,7 @@ def enrich_for_store(scored: DataFrame, id_col: str | None = None) -> DataFrame:
     """
     ident = F.col(id_col).cast("string") if id_col else F.expr("uuid()")
     ts = F.col("ts") if "ts" in scored.columns else F.lit(None).cast("timestamp_ntz")
-    now = F.current_timestamp().cast("timestamp_ntz")
+    now = utc_ntz(F.current_timestamp())
     prob = (F.col("probability") if "probability" in scored.columns
             else F.lit(None).cast("array<double>"))
     return scored.select(
@@ -41,35 +55,66 @@ def enrich_for_store(scored: DataFrame, id_col: str | None = None) -> DataFrame:
         prob.alias("probability"),
         F.coalesce(ts.cast("timestamp_ntz"), now).alias("ts"),
         F.lit(STORED_STATE).alias("estado"),
+        *keep,
     )
 
 
-BATCH_COLUMN = "lote"
+def _stored(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """The table at ``path`` as it lies there; None if it has no file."""
+    try:
+        found = spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+    if BATCH_COLUMN not in found.columns:
+        raise ValueError(f"{path} holds rows outside batch partitions ({BATCH_COLUMN}=...): "
+                         "rewrite it with migrate_store")
+    return found
 
 
 def append_predictions(batch: DataFrame, path: str, fmt: str = "parquet",
-                       batch_id: int | None = None) -> None:
+                       batch_id: int | str | None = None) -> None:
     """Append one whole batch to the store (one job, many files).
 
     With ``batch_id`` the write is idempotent: the batch goes to its own
     partition (``lote=<id>``) with dynamic partition overwrite, so running
     the same batch again (a retry after a failure) replaces that partition
-    instead of appending the rows twice.  A store is written either always
-    with or always without batch ids.
+    instead of appending the rows twice.  Without one the batch gets a name
+    that no other has.
     """
-    rows = batch.select(*STORE_COLUMNS)
-    if batch_id is None:
-        rows.write.mode("append").format(fmt).save(path)
-        return
-    (rows.withColumn(BATCH_COLUMN, F.lit(int(batch_id)).cast("long"))
+    name = f"id-{batch_id}" if batch_id is not None else f"new-{uuid.uuid4().hex}"
+    append_batches(batch.select(*STORE_COLUMNS).withColumn(BATCH_COLUMN, F.lit(name)), path, fmt)
+
+
+def append_batches(rows: DataFrame, path: str, fmt: str = "parquet") -> int:
+    """Append rows that carry their batch's name; a batch that is there
+    already is replaced.  Returns the number of rows written."""
+    batch_names(rows.sparkSession, path, fmt)       # refuses another layout
+    written = Observation("append")
+    (rows.select(*STORE_COLUMNS, BATCH_COLUMN).observe(written, F.count(F.lit(1)).alias("n"))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy(BATCH_COLUMN).format(fmt).save(path))
+    return int(written.get["n"])
+
+
+def batch_names(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """Names of the batches in the store; None if it holds none yet."""
+    try:
+        found = _stored(spark, path, fmt)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None                                 # the first batch makes the folder
+    return None if found is None else found.select(F.col(BATCH_COLUMN).cast("string")).distinct()
 
 
 def read_store(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The stored documents (the batch partition column, if any, is dropped)."""
-    return spark.read.format(fmt).load(path).select(
-        *[F.col(c).cast(t) for c, t in _STORE_TYPES])
+    """The stored documents of all batches."""
+    found = _stored(spark, path, fmt)
+    if found is None:
+        return spark.createDataFrame([], STORE_SCHEMA)
+    return found.select(*[F.col(c).cast(t) for c, t in _STORE_TYPES])
 
 
 def clear_predictions(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
@@ -79,7 +124,8 @@ def clear_predictions(spark: SparkSession, path: str, fmt: str = "parquet") -> i
     one with the same schema.
     """
     deleted = read_store(spark, path, fmt).count()
-    spark.createDataFrame([], STORE_SCHEMA).write.mode("overwrite").format(fmt).save(path)
+    (spark.createDataFrame([], LAYOUT_SCHEMA).write.mode("overwrite")
+          .option("partitionOverwriteMode", "static").partitionBy(BATCH_COLUMN).format(fmt).save(path))
     return deleted
 
 
@@ -122,11 +168,19 @@ def migrate_store(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
     """
     reader = spark.read.format(fmt)
     legacy = (reader.schema(schema) if schema else reader).load(src)
-    migrate_predictions(legacy).write.mode("errorifexists").format(fmt).save(dst)
+    (migrate_predictions(legacy).drop(BATCH_COLUMN).withColumn(BATCH_COLUMN, F.lit("migrated"))
+     .write.mode("errorifexists").partitionBy(BATCH_COLUMN).format(fmt).save(dst))
     counts = migration_counts(legacy).first()
     return int(counts["matched_count"]), int(counts["modified_count"])
 
 
+def _as_ntz(df: DataFrame, name: str):
+    """A time column as UTC without a zone; one that has no zone as it is."""
+    if df.schema[name].dataType.simpleString() == "timestamp":
+        return utc_ntz(F.col(name))
+    return F.col(name).cast("timestamp_ntz")
+
+
 def unified_predictions(stored: DataFrame, streamed: DataFrame) -> DataFrame:
     """One predictions table from the request path and the stream path.
 
@@ -137,7 +191,7 @@ def unified_predictions(stored: DataFrame, streamed: DataFrame) -> DataFrame:
     if "timestamp" in streamed.columns and "ts" not in streamed.columns:
         streamed = streamed.withColumnRenamed("timestamp", "ts")
     if "ts" in streamed.columns:
-        streamed = streamed.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+        streamed = streamed.withColumn("ts", _as_ntz(streamed, "ts"))
     both = stored.unionByName(streamed, allowMissingColumns=True)
     return migrate_predictions(both)
 
@@ -156,7 +210,7 @@ def read_predictions(spark: SparkSession, store_path: str | None = None,
         parts.append(read_store(spark, store_path, fmt))
     if stream_sink:
         streamed = (spark.read.format(fmt).load(stream_sink)
-                    .withColumn("ts", F.col("timestamp").cast("timestamp_ntz")).drop("timestamp")
+                    .withColumn("ts", utc_ntz(F.col("timestamp"))).drop("timestamp")
                     .withColumn("estado", F.lit(STORED_STATE)))
         parts.append(streamed)
     if not parts:

@@ -8,6 +8,7 @@ frame read back from what they wrote.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
@@ -25,17 +26,33 @@ from tonalyze.streaming import scoring as stream
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
-_MODELS: dict[tuple, PipelineModel] = {}
+_MODELS: OrderedDict[tuple, PipelineModel] = OrderedDict()
+_MODELS_KEPT = 4
+
+
+def _version(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("documents", "labels")) -> tuple:
+    """Files, sizes and change times of the tables, as one number each: a
+    rewritten table has another.  Reads no column."""
+    found = []
+    for name in names:
+        files = T.table(spark, sf_dir, name).select(
+            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+        found.append(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first())
+    return tuple(map(tuple, found))
 
 
 def trained_model(spark: SparkSession, sf_dir: str,
                   params: clf.ClassifierParams = clf.ClassifierParams(),
                   reuse: bool = True) -> PipelineModel:
-    """Model fitted on the labelled corpus; fitted once per session and input."""
+    """Model fitted on the labelled corpus; fitted once per session and state
+    of the tables, the last few kept."""
     sc = spark.sparkContext
-    key = (sc.applicationId, sc.startTime, sf_dir.rstrip("/"), params)
+    key = (sc.applicationId, sc.startTime, sf_dir.rstrip("/"), _version(spark, sf_dir), params)
     if not reuse or key not in _MODELS:
         _MODELS[key] = clf.train(T.labelled_corpus(spark, sf_dir), params)
+    _MODELS.move_to_end(key)
+    while len(_MODELS) > _MODELS_KEPT:
+        _MODELS.popitem(last=False)
     return _MODELS[key]
 
 
@@ -88,7 +105,13 @@ def _cleaned(spark, sf_dir, extra_cols: tuple[str, ...] = ()):
 
 
 def clean_records(spark, sf_dir):
-    return _cleaned(spark, sf_dir)
+    """Raw lines: the documents' own lines and the corpus records, of which
+    those with both fields are parsed and cleaned."""
+    records_ = records.encode_records(_cleaned(spark, sf_dir)).select("doc_id", "value")
+    bare = T.documents(spark, sf_dir).select("doc_id", F.explode(F.split("texto", "\n")).alias("value"))
+    lines = records_.unionByName(bare).filter(records.has_fields("value"))
+    parsed = records.parse_records(lines).withColumnRenamed("etiqueta_real", "etiqueta")
+    return records.clean_records(parsed).select("doc_id", "texto", "etiqueta")
 
 
 def encode_records(spark, sf_dir):
@@ -106,7 +129,9 @@ def text_preview(spark, sf_dir):
 
 def reject_empty(spark, sf_dir):
     conv = T.table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("texto"))
-    return records.mark_empty(conv).select("conv_id", "turn", "aceptado")
+    accepted, rejected = records.reject_empty(conv)
+    return (accepted.select("conv_id", "turn", F.lit(True).alias("aceptado"))
+            .unionByName(rejected.select("conv_id", "turn", F.lit(False).alias("aceptado"))))
 
 
 # -- step 4 ---------------------------------------------------------------
@@ -139,7 +164,11 @@ def store_predictions(spark, sf_dir):
 def clear_predictions(spark, sf_dir):
     path = work_path(spark, "store")
     preds = T.stored_predictions(spark, sf_dir).withColumn("id", F.col("id").cast("string"))
-    store.append_predictions(preds, path)
+    # batches with and without an id, one of them sent twice
+    odd = F.col("id").cast("long") % 2 == 1
+    store.append_predictions(preds.filter(odd), path)
+    store.append_predictions(preds.filter(~odd), path, batch_id=0)
+    store.append_predictions(preds.filter(~odd), path, batch_id=0)
     deleted = store.clear_predictions(spark, path)
     remaining = store.read_store(spark, path).count()
     return spark.createDataFrame([(deleted, remaining)], "deleted_count long, remaining_count long")
@@ -176,27 +205,45 @@ def tokens_no_stop(spark, sf_dir):
     return clf.tokenize(T.documents(spark, sf_dir)).select("doc_id", clf.CLEAN_TOKENS)
 
 
-def term_counts(spark, sf_dir):
+def _term_counts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """((doc_id, term, tf) of the corpus, vocabulary)."""
     params = clf.ClassifierParams()
     corpus_tokens = clf.tokenize(T.labelled_corpus(spark, sf_dir), params)
     vocab = clf.vocabulary(corpus_tokens, params.vocab_size, params.min_df)
-    return clf.term_counts(corpus_tokens, vocab, params.vocab_size)
+    terms = clf.vocabulary_terms(vocab)
+    table = spark.createDataFrame(list(enumerate(terms)), "term_index int, term string")
+    return clf.term_counts(corpus_tokens, terms), table
+
+
+def term_counts(spark, sf_dir):
+    return _term_counts(spark, sf_dir)[0]
+
+
+def _idf(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    counts, vocab = _term_counts(spark, sf_dir)
+    n_docs = T.labelled_corpus(spark, sf_dir, spread_rows=False).select("doc_id").count()
+    return counts, clf.idf_table(counts, vocab, n_docs)
 
 
 def idf_weights(spark, sf_dir):
-    return clf.idf_table(spark, trained_model(spark, sf_dir)).withColumn("idf", F.round("idf", 6))
+    return _idf(spark, sf_dir)[1].withColumn("idf", F.round("idf", 6))
 
 
 # -- step 6 ---------------------------------------------------------------
 
 def nb_model_params(spark, sf_dir):
-    return clf.nb_params_table(spark, trained_model(spark, sf_dir)).withColumn(
-        "valor", F.round("valor", 6))
+    counts, idf = _idf(spark, sf_dir)
+    classes = T.labelled_corpus(spark, sf_dir, spread_rows=False).select(
+        "doc_id", F.col("etiqueta").alias("clase"))
+    names = {r["clase"]: r["n"] for r in classes.groupBy("clase").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return clf.nb_params_table(counts, idf, classes, names).withColumn("valor", F.round("valor", 6))
 
 
 def score_corpus(spark, sf_dir):
     model = trained_model(spark, sf_dir)
-    return clf.rounded(clf.scoring_record(clf.score(model, T.documents(spark, sf_dir), keep=["doc_id"])))
+    record = clf.scoring_record(clf.score(model, T.documents(spark, sf_dir), keep=["doc_id", "texto"]))
+    # the time itself differs from run to run
+    return clf.rounded(record).withColumn("con_fecha", F.col("ts").isNotNull()).drop("ts")
 
 
 def scored_class_stats(spark, sf_dir):
@@ -243,6 +290,18 @@ def stream_score(spark, sf_dir):
     return _stream_output(spark, sink)
 
 
+def stream_store(spark, sf_dir):
+    """What the stream committed, in the predictions store: each batch once,
+    however often it is brought over."""
+    source, sink, path, ckpt = (work_path(spark, n) for n in ("store-src", "store-sink", "stream-store", "store-ckpt"))
+    model = trained_model(spark, sf_dir)
+    stream.write_lines(records.encode_records(_cleaned(spark, sf_dir)), source)
+    stream.run_available(stream.score_lines(model, stream.text_source(spark, source)), sink, ckpt)
+    for _ in range(2):
+        stream.append_to_store(spark, sink, path)
+    return clf.rounded(store.read_store(spark, path).select("id", "texto", "prediccion", "probability", "estado"))
+
+
 def stream_resume(spark, sf_dir):
     """Two arrivals and an idle restart on one checkpoint: each row once."""
     source, sink, ckpt = (work_path(spark, n) for n in ("resume-src", "resume-sink", "resume-ckpt"))
@@ -306,6 +365,7 @@ QUERIES: dict[str, QueryFn] = {
     "model_roundtrip": model_roundtrip,
     "score_corpus_hashed": score_corpus_hashed,
     "stream_score": stream_score,
+    "stream_store": stream_store,
     "stream_resume": stream_resume,
     "latest_by_class": latest_by_class,
     "strip_special": strip_special,

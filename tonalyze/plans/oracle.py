@@ -83,7 +83,7 @@ CLEANED = f"""cleaned AS (
 # Wire line split at the leftmost delimiter (a text ending in '|' moves
 # that bar into the label, as the regex split in the stream does).
 PARSED = r"""parsed AS (
-  SELECT doc_id,
+  SELECT doc_id, texto || '|||' || etiqueta AS value,
          string_split_regex(texto || '|||' || etiqueta, '\|\|\|')[1] AS texto,
          string_split_regex(texto || '|||' || etiqueta, '\|\|\|')[2] AS etiqueta_real
   FROM cleaned)"""
@@ -353,16 +353,26 @@ def builders() -> dict[str, Callable[[], str]]:
     q["latest_predictions"] = lambda: _with(PREDS) + history()
     q["format_predictions"] = lambda: _with(PREDS) + FORMAT_SELECT.replace("{TO_FIXED_X}", to_fixed("x"))
     q["overview"] = lambda: _with(PREDS, STATS, MERGED, SUMMARY, f"""recent AS (
-  SELECT list(CAST(id AS VARCHAR) ORDER BY ts DESC NULLS LAST, id DESC) AS recientes
-  FROM ({history(limit=10).replace("CAST(id AS VARCHAR) AS _id", "id, ts")}))""") + \
-        "SELECT r.recientes, s.* FROM recent r CROSS JOIN summary s"
+  SELECT list(CAST(id AS VARCHAR) ORDER BY ts DESC NULLS LAST, id DESC) AS recientes,
+         list(CAST(to_json({{'_id': CAST(id AS VARCHAR), 'texto': texto, 'prediccion': prediccion,
+                             'timestamp': timestamp}}) AS VARCHAR) ORDER BY ts DESC NULLS LAST, id DESC) AS documentos
+  FROM ({history(limit=10).replace("CAST(id AS VARCHAR) AS _id", "id, ts")}))""", """listed AS (
+  SELECT list(CAST(to_json({'_id': _id, 'total': total, 'promedio_confianza': promedio_confianza}) AS VARCHAR)
+              ORDER BY total DESC, _id NULLS LAST) AS estadisticas FROM stats)""") + \
+        "SELECT r.*, s.*, l.* FROM recent r CROSS JOIN summary s CROSS JOIN listed l"
     q["predictions_json"] = lambda: _with(PREDS, f"h AS ({history(limit=None)})") + \
         ("SELECT _id, CAST(to_json({'_id': _id, 'texto': texto, 'prediccion': prediccion, "
          "'intencion_predicha': intencion_predicha, 'confianza': confianza, "
          "'probability': probability, 'timestamp': timestamp, 'estado': estado}) AS VARCHAR) AS json FROM h")
 
     # -- step 3: record cleaning and parsing
-    q["clean_records"] = lambda: _with(CORPUS, CLEANED) + "SELECT doc_id, texto, etiqueta FROM cleaned"
+    q["clean_records"] = lambda: _with(CORPUS, CLEANED) + r"""SELECT doc_id, %s AS texto, %s AS etiqueta
+FROM (SELECT doc_id, parts[1] AS texto, parts[2] AS etiqueta
+      FROM (SELECT doc_id, string_split_regex(value, '\|\|\|') AS parts
+            FROM (SELECT doc_id, texto || '|||' || etiqueta AS value FROM cleaned
+                  UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents))
+      WHERE len(parts) >= 2)
+WHERE texto IS NOT NULL AND etiqueta IS NOT NULL""" % (strip_ws(one_line('texto')), strip_ws('etiqueta'))
     q["encode_records"] = lambda: _with(CORPUS, CLEANED) + \
         "SELECT doc_id, texto || '|||' || etiqueta AS value FROM cleaned"
     q["parse_records"] = lambda: _with(CORPUS, CLEANED, PARSED) + "SELECT doc_id, texto, etiqueta_real FROM parsed"
@@ -388,7 +398,7 @@ FROM documents d JOIN scored s ON s.key = d.doc_id"""
   NULL::VARCHAR AS etiqueta_real, ts IS NOT NULL AS con_fecha
 FROM preds
 UNION ALL
-SELECT NULL, c.texto, s.prediccion, s.prediccion, s.probability, NULL, c.etiqueta_real, true
+SELECT sha256(c.value), c.texto, s.prediccion, s.prediccion, s.probability, NULL, c.etiqueta_real, true
 FROM parsed c JOIN scored s ON s.key = c.doc_id"""
 
     # -- step 5: text features
@@ -408,7 +418,8 @@ FROM corpus c JOIN (SELECT etiqueta, row_number() OVER (ORDER BY count(*) DESC,
     q["nb_model_params"] = lambda: _with(CORPUS, nb_corpus()) + """SELECT clase, NULL::VARCHAR AS term, round(lp, 6) AS valor FROM prior
 UNION ALL SELECT clase, w, round(lt, 6) FROM theta"""
     q["score_corpus"] = lambda: _with(CORPUS, nb_docs()) + \
-        "SELECT key AS doc_id, prediccion, confianza, probability, 'processed' AS status FROM scored"
+        ("SELECT s.key AS doc_id, d.text AS texto, prediccion, confianza, probability, 'processed' AS status, "
+         "false AS stored, true AS con_fecha FROM scored s JOIN documents d ON d.doc_id = s.key")
     q["scored_class_stats"] = lambda: _with(CORPUS, nb_docs()) + """SELECT prediccion, CAST(count(*) AS BIGINT) AS total,
   round(avg(confianza), 6) AS promedio_confianza
 FROM (SELECT key, prediccion, list_max(probability) AS confianza FROM scored) GROUP BY prediccion"""
@@ -425,6 +436,9 @@ FROM (SELECT key, prediccion, list_max(probability) AS confianza FROM scored) GR
 
     # -- step 7: streaming (the time column is not compared)
     q["stream_score"] = stream_rows
+    q["stream_store"] = lambda: (_with(CORPUS, CLEANED, PARSED, nb_stream())
+                               + "SELECT sha256(c.value) AS id, c.texto, s.prediccion, s.probability, "
+                                 "'almacenado' AS estado FROM parsed c JOIN scored s ON s.key = c.doc_id")
     q["stream_resume"] = stream_rows
 
     # -- step 8: roadmap items

@@ -1,8 +1,10 @@
 """Session construction and the shared work folder.
 
 Derived tables (CSV copies, stream sinks, saved models, store rewrites) go
-under the folder the cluster names in ``spark.checkpoint.dir``.  Only when
-that is unset -- local tests -- do we create one of our own.
+under the folder the cluster names in ``spark.checkpoint.dir``.  Only a
+local session without that setting gets a folder of its own; any other
+master without it is an error, since each executor would write to its own
+disk.
 """
 
 from __future__ import annotations
@@ -23,22 +25,26 @@ def build_session(master: str | None = None, app: str = "tonalyze",
     * AQE on: runtime coalescing of small shuffles, skew-join splitting and
       size-checked broadcast conversion (Spark's own threshold check).
     * UI off: no server port.
+
+    Shuffle partitions and driver memory are left as submitted, unless the
+    argument or an environment variable asks for others.
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    if shuffle_partitions is None:
-        shuffle_partitions = int(os.environ.get("TONALYZE_SHUFFLE_PARTITIONS", "8"))
     conf = {
         "spark.sql.session.timeZone": "UTC",
-        "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.driver.memory": os.environ.get("TONALYZE_DRIVER_MEMORY", "8g"),
     }
+    partitions = shuffle_partitions or os.environ.get("TONALYZE_SHUFFLE_PARTITIONS")
+    if partitions:
+        conf["spark.sql.shuffle.partitions"] = str(partitions)
+    if "TONALYZE_DRIVER_MEMORY" in os.environ:
+        conf["spark.driver.memory"] = os.environ["TONALYZE_DRIVER_MEMORY"]
     conf.update(extra or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -48,13 +54,16 @@ def build_session(master: str | None = None, app: str = "tonalyze",
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a private one only if unset."""
+    """The cluster's shared checkpoint folder; a private one only for a local
+    session that has none."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="tonalyze-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

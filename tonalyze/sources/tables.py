@@ -17,18 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+TEXT_PARTITIONS = "tonalyze.text.partitions"
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than task slots.
+    """Rows dealt out over as many tasks as the caller set in
+    ``tonalyze.text.partitions``; unset (the default) the scan is returned as
+    it is, so no text is shuffled.
 
-    Text stages are CPU-bound per row.  A small table stored as one parquet
-    row group is read by a single task however many cores there are; here
-    its rows are dealt out to every slot first.  A large input already has
-    more splits than slots and is returned untouched (no shuffle).
+    Text stages are CPU-bound per row, and a file of one row group is read by
+    one task however many there are.  A table written with enough row groups
+    (``spark.sql.files.maxPartitionBytes`` then cuts it) needs no setting.
     """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.isStreaming or df.rdd.getNumPartitions() >= slots:
-        return df
-    return df.repartition(slots)
+    n = df.sparkSession.conf.get(TEXT_PARTITIONS, None)
+    return df if df.isStreaming or not n else df.repartition(int(n))
 
 
 def class_of(toxic: Column, quality: Column) -> Column:

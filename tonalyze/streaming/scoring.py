@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonalyze.operators import classifier as clf
-from tonalyze.operators import records
+from tonalyze.operators import records, store
 
-STREAM_COLUMNS = ("texto", "etiqueta_real", "prediccion", "confianza", "probability", "timestamp")
+STREAM_COLUMNS = ("id", "texto", "etiqueta_real", "prediccion", "confianza", "probability", "timestamp")
 
 
 def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -49,17 +49,20 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
 
 
 def score_lines(model: PipelineModel, lines: DataFrame) -> DataFrame:
-    """Parse wire lines, score them, add processing time; batch or stream."""
-    parsed = records.parse_records(lines, "value")
-    scored = clf.score(model, parsed, keep=["texto", "etiqueta_real"])
+    """Parse wire lines, score them, add processing time; batch or stream.
+
+    ``id`` is a hash of the line, so a row read again has the id it had."""
+    parsed = records.parse_records(lines.withColumn("id", F.sha2("value", 256)), "value")
+    scored = clf.score(model, parsed, keep=["id", "texto", "etiqueta_real"])
     return scored.select(*STREAM_COLUMNS[:-1], F.current_timestamp().alias(STREAM_COLUMNS[-1]))
 
 
 def run_available(stream: DataFrame, sink_path: str | None, checkpoint: str,
-                  fmt: str = "parquet", timeout_s: float | None = 600) -> None:
+                  fmt: str = "parquet", timeout_s: float | None = None) -> None:
     """Process everything available now, then stop (one or more batches).
 
-    ``fmt="console"`` (no path) prints each batch, the debugging sink.
+    ``fmt="console"`` (no path) prints each batch, the debugging sink.  No
+    deadline unless ``timeout_s`` sets one.
     """
     writer = (stream.writeStream.format(fmt).outputMode("append")
               .option("checkpointLocation", checkpoint)
@@ -83,6 +86,23 @@ def run_available(stream: DataFrame, sink_path: str | None, checkpoint: str,
                            "restart with the same checkpoint to continue")
 
 
+def append_to_store(spark: SparkSession, sink: str, store_path: str, fmt: str = "parquet") -> int:
+    """Bring what the stream has committed to ``sink`` into the predictions
+    store; returns how many rows were new.
+
+    A file of the sink belongs to one committed batch and never changes, so
+    it names the batch: files the store has are skipped, and one that is
+    sent again replaces itself.  Runs beside or after the stream.
+    """
+    rows = spark.read.format(fmt).load(sink).select(
+        *STREAM_COLUMNS, F.concat(F.lit("stream-"), F.col("_metadata.file_name")).alias(store.BATCH_COLUMN))
+    known = store.batch_names(spark, store_path, fmt)
+    if known is not None:
+        rows = rows.join(known, store.BATCH_COLUMN, "left_anti")
+    rows = rows.withColumn("ts", store.utc_ntz(F.col("timestamp")))
+    return store.append_batches(store.enrich_for_store(rows, "id", keep=(store.BATCH_COLUMN,)), store_path, fmt)
+
+
 def write_lines(records_df: DataFrame, path: str) -> None:
     """Append wire lines as new text files of the source folder."""
     records_df.select("value").write.mode("append").text(path)
