@@ -25,15 +25,15 @@ def _with_words(docs: DataFrame, columns: list[str]) -> DataFrame:
 
 def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return quality_rules.apply_rules(docs).filter("kept").select(*docs.columns)
+    return docs.filter(quality_rules.is_kept(F.col("text")))
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the smallest id.  Rows
     that repeat an id are one document; the first by text stays."""
     found = minhash_forest.near_duplicates(docs)
-    kept = found.filter("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    stay = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept_id")), "left_semi")
+    kept = found.filter("kept").select("doc_id").distinct()
+    stay = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
     return stay.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
 
 
@@ -44,8 +44,12 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark passages are cut out."""
-    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
-    return _with_words(decontam.remove_spans(found), docs.columns)
+    # other columns go under numbers, so that none meets an added one
+    names = {c: c if c == "text" else f"in_{i}" for i, c in enumerate(docs.columns)}
+    found = decontam.decontaminate(docs.select(*[F.col(c).alias(n) for c, n in names.items()]),
+                                   table(spark, sf_dir, "benchmark"))
+    cut = decontam.remove_spans(found).select(*[F.col(n).alias(c) for c, n in names.items()])
+    return _with_words(cut, docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

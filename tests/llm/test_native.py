@@ -40,7 +40,7 @@ def test_rules_equal_plain_counts(spark, sf_small):
 def test_rules_keep_input_columns_and_take_an_empty_table(spark):
     done = quality_rules.apply_rules(edge.frame(spark, []))
     assert done.count() == 0
-    assert set(done.columns) == set(edge.frame(spark).columns) - {"_m"} | {*quality_rules.ADDED, "base_failed", "kept"}
+    assert set(done.columns) == set(edge.frame(spark).columns) | {*quality_rules.ADDED, "base_failed", "kept"}
 
 
 def test_rules_shuffle_nothing_and_call_no_python(spark, sf_small):

@@ -49,7 +49,7 @@ TEMPLATES = {
 }
 CUES = ["license", "licensed", "licence", "licenced", "redistribution"]
 HEADER_COSINE = 0.7
-FILE_COSINE = 0.3
+FILE_COSINE = 0.4
 SPLIT = r"[^a-z0-9]+"
 
 

@@ -103,11 +103,12 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
                    text_col: str = "text") -> DataFrame:
     """``docs`` with the repeated lines cut out of their texts (each with its
     line break); other texts are returned as they are."""
-    spans = (repeats(docs, min_words, id_col, text_col).groupBy("doc_id", "crc")
-             .agg(F.array_sort(F.collect_set(F.struct("start", (F.col("end") + 1).alias("end")))).alias("_spans"))
-             .withColumnRenamed("doc_id", "_id").withColumnRenamed("crc", "_crc"))
-    text = F.col(text_col)
-    joined = docs.join(spans, F.col(id_col).eqNullSafe(F.col("_id"))
-                       & (F.crc32(F.coalesce(text, F.lit("")).cast("binary")) == F.col("_crc")), "left")
-    return joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), cut_spans(text, F.col("_spans")))
-                             .otherwise(text)).select(*docs.columns)
+    spans = repeats(docs, min_words, id_col, text_col).groupBy("doc_id", "crc").agg(F.array_sort(
+        F.collect_set(F.struct("start", (F.col("end") + 1).alias("end")))).alias("spans"))
+    text = F.col(f"row.{text_col}")
+    rows = docs.select(F.struct(*docs.columns).alias("row"))
+    joined = rows.join(spans, F.col(f"row.{id_col}").eqNullSafe(F.col("doc_id"))
+                       & (F.crc32(F.coalesce(text, F.lit("")).cast("binary")) == F.col("crc")), "left")
+    left = F.when(F.col("spans").isNotNull(), cut_spans(text, F.col("spans"))).otherwise(text)
+    return joined.select(*[left.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c)
+                           for c in docs.columns])

@@ -21,8 +21,8 @@ def quality_rules() -> str:
 WITH d AS (
   SELECT doc_id, row_number() OVER () AS rid, coalesce(text, '') AS text FROM documents
 ), w AS (
-  SELECT *, list_filter(regexp_split_to_array(text, '{SPACE}'), x -> x <> '') AS words,
-         list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS rows
+  SELECT *, list_filter(regexp_split_to_array(text, '{SPACE}'), lambda x: x <> '') AS words,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS rows
   FROM d
 ), win AS (
   SELECT rid, i, words[i:i+4] AS g FROM w, unnest(generate_series(1, len(words) - 4)) AS u(i)
@@ -42,8 +42,8 @@ WITH d AS (
          length(regexp_replace(text, '[^\\p{{L}}]', '', 'g')) AS n_letters,
          length(regexp_replace(text, '[^\\p{{Lu}}]', '', 'g')) AS n_upper,
          length(regexp_replace(text, '[^!]', '', 'g')) AS n_exclamations,
-         len(list_filter(words, x -> x IN ({stop}))) + 1 AS n_stop_words_and_one,
-         len(list_filter(generate_series(2, len(words)), k -> words[k] = words[k - 1])) AS n_again
+         len(list_filter(words, lambda x: x IN ({stop}))) + 1 AS n_stop_words_and_one,
+         len(list_filter(generate_series(2, len(words)), lambda k: words[k] = words[k - 1])) AS n_again
   FROM w LEFT JOIN covered USING (rid)
 ), f AS (
   SELECT *, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed FROM m

@@ -5,7 +5,8 @@ cuts longer documents, and best-fits the pieces (longest first, into the
 fullest sequence that still takes one).  Sequences nearly full are final.
 The underfull ones become items of the next level: the partitions are the
 leaves of a tree, each inner node gathers the underfull sequences of
-``fan_in`` children and best-fits them again, up to the root, which emits
+``fan_in`` children and best-fits them again, whole and also opened up into
+their pieces, keeping the way that needs fewer; up to the root, which emits
 what is left.  Only underfull sequences are ever shuffled.
 
 Memory is bounded: a leaf packs at most ``max_items`` pieces at a time, and
@@ -178,7 +179,8 @@ def _leaf(batches: Iterator[pa.RecordBatch], out: pa.Schema, id_col: str, text_c
 
 
 def _merge(table: pa.Table, level: int, root: bool, params: PackParams) -> pa.Table:
-    """Best-fit the sequences of one inner node as items."""
+    """Best-fit the sequences of one inner node as items, or their pieces if
+    that takes fewer sequences."""
     node = table.column("node")[0].as_py() // params.fan_in
     order = np.lexsort((table.column("offset").to_numpy(), table.column("sequence_id").to_numpy()))
     table = table.take(pa.array(order))
@@ -186,12 +188,15 @@ def _merge(table: pa.Table, level: int, root: bool, params: PackParams) -> pa.Ta
                                   return_index=True, return_inverse=True)
     fill = table.column("fill").to_numpy()[first].astype(np.int64)
     bins, offsets, merged = best_fit(fill, params.capacity)
-    full = np.array(merged, np.int32)[bins][inverse]
+    bins, offsets = bins[inverse], offsets[inverse] + table.column("offset").to_numpy()
+    opened = best_fit(table.column("length").to_numpy(), params.capacity)
+    if len(opened[2]) < len(merged):
+        bins, offsets, merged = opened
+    full = np.array(merged, np.int32)[bins]
     final = full >= params.nearly_full
     if root or np.count_nonzero(np.array(merged) < params.nearly_full) > params.max_items:
         final = np.ones(len(full), bool)
-    places = {"sequence_id": _number(level, node, bins)[inverse],
-              "offset": table.column("offset").to_numpy() + offsets[inverse],
+    places = {"sequence_id": _number(level, node, bins), "offset": offsets,
               "fill": full, "node": np.full(len(full), node, np.int32), "final": final}
     for name, values in places.items():
         at = table.schema.get_field_index(name)

@@ -165,6 +165,15 @@ def apply_rules(docs: DataFrame, rules: tuple[Rule, ...] = THRESHOLDS,
         return F.struct(*[m[c].alias(c) for c in ADDED], failed.alias("base_failed"),
                         (~failed & verdict(m, rules)).alias("kept"))
 
-    kept = [c for c in docs.columns if c not in (*ADDED, "base_failed", "kept", "_m")]
-    done = docs.withColumn("_m", let(measures(F.col(text_col)), judged))
-    return done.select(*kept, *[F.col(f"_m.{c}").alias(c) for c in (*ADDED, "base_failed", "kept")])
+    added = (*ADDED, "base_failed", "kept")
+    kept = [c for c in docs.columns if c not in added]
+    made = "_m"
+    while made in kept:
+        made += "_"
+    done = docs.select(*kept, let(measures(F.col(text_col)), judged).alias(made))
+    return done.select(*kept, *[F.col(f"{made}.{c}").alias(c) for c in added])
+
+
+def is_kept(text: Column, rules: tuple[Rule, ...] = THRESHOLDS) -> Column:
+    """The verdict alone, as a condition."""
+    return let(measures(text), lambda m: ~base_failed(m) & verdict(m, rules))
