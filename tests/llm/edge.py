@@ -30,7 +30,7 @@ def texts() -> list[tuple]:
         (15, passage(6, 20) + "\n\n" + passage(7, 25)), (15, passage(6, 20) + "\n\n" + passage(7, 25)),
         (None, passage(8, 30)), (None, None), (16, "a\x00b\x0bc \x1c d"), (17, "the the the the the the the the"),
         (18, "Licensed under the Apache License, Version 2.0.\n" + passage(9, 30)),
-        (19, "was 5% #### && ***"), (20, "…—“quoted”"),
+        (19, "was 5% #### && ***"), (20, "…—“quoted”"), (21, "… — 123 ²"),
     ]
     return rows
 

@@ -138,7 +138,7 @@ def test_languages_of_odd_texts(spark):
     model = langid.train(docs)
     got = {r.doc_id: r for r in langid.identify(edge.frame(spark), model).collect() if r.doc_id is not None}
     assert len(got) == len({i for i, _ in edge.texts() if i is not None})
-    for i in (4, 5, 6, 20):
+    for i in (4, 5, 6, 21):
         assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
     assert got[10].lang_pred in model.langs and 0 < got[10].score <= 1
     assert langid.identify(edge.frame(spark, []), model).count() == 0
@@ -151,7 +151,7 @@ def test_models_without_labels_and_odd_rows(spark):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert quality_cnn.train(docs, none) is None
     assert {r.score for r in quality_cnn.classify(docs, None).collect()} == {0.5}
-    labels = spark.createDataFrame([(i, i % 2, i % 3 == 0 and 1 or 0) for i in range(22)] + [(3, None, None)],
+    labels = spark.createDataFrame([(i, i % 2, i % 3 == 0 and 1 or 0) for i in range(23)] + [(3, None, None)],
                                    "doc_id long, quality int, toxic int")
     tiny = quality_cnn.QualityParams(net=byte_cnn.NetParams(filters=4, epochs=1))
     rows = quality_cnn.classify(docs, quality_cnn.train(docs, labels, tiny)).collect()
@@ -200,3 +200,14 @@ def test_moments_cover_every_text(spark, sf_small):
     any_hit = {(r.i, r.j): r.s for r in sums}[(voters.n - 1, voters.n)]
     want = sum(any(w in toxicity.LEXICON for w in edge.ALNUM.findall(edge.lower(r.text))) for r in docs.collect())
     assert any_hit == want
+
+
+def test_every_operator_and_the_pipeline_are_registered():
+    import os
+    import sys
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
+    import __spark_entry__ as entry
+    names = set(entry.queries())
+    assert "pipeline" in names
+    assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{k}" for k in range(1, 11)}
+    assert "op5_quality_rules" in entry.oracle_sql()
