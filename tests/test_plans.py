@@ -71,6 +71,7 @@ def test_parameter_tables_come_from_aggregates(spark, sf_small):
 
 
 def test_bucketed_inputs_join_without_exchange(spark, sf_small):
+    from tonalyze.__main__ import main
     from tonalyze.session import work_path
     from tonalyze.sources.bucketed import bucket_inputs
 
@@ -84,6 +85,8 @@ def test_bucketed_inputs_join_without_exchange(spark, sf_small):
         assert "Exchange" not in p
         direct = T.labelled_corpus(spark, sf_small, spread_rows=False)
         assert sorted(map(tuple, corpus.collect())) == sorted(map(tuple, direct.collect()))
+        model = work_path(spark, "bucketed-model")
+        assert main(["train", "--tables", docs, labels, "--model", model], spark) == 0
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
 

@@ -1,6 +1,6 @@
 """Command line: train, score, stream and report, as spark-submit jobs.
 
-    python -m tonalyze train  (--sf-dir DIR | --csv FILE) --model OUT
+    python -m tonalyze train  (--sf-dir DIR | --csv FILE | --tables DOCS LABELS) --model OUT
     python -m tonalyze score  --model M --input PARQUET --text-col text [--out OUT] [--store S [--id-col C]]
     python -m tonalyze stream --model M --source DIR --sink DIR --checkpoint DIR [--every 5s]
     python -m tonalyze stream ... --available-now [--store S]    # and bring the batches into the store
@@ -29,6 +29,8 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     corpus = t.add_mutually_exclusive_group(required=True)
     corpus.add_argument("--sf-dir", help="folder of the documents and labels tables")
     corpus.add_argument("--csv", help="CSV with a header")
+    corpus.add_argument("--tables", nargs=2, metavar=("DOCUMENTS", "LABELS"),
+                        help="catalog tables; bucketed alike (sources.bucketed) they join without a shuffle")
     t.add_argument("--text-col", default="texto", help="text column of the CSV")
     t.add_argument("--label-col", default="etiqueta", help="label column of the CSV")
     t.add_argument("--model", required=True)
@@ -102,8 +104,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     if args.cmd == "train":
         params = clf.ClassifierParams(vocab_size=args.vocab_size,
                                       stop_words_language=args.stop_words, hashed=args.hashed)
-        rows = (csv_corpus.read_labelled_csv(spark, args.csv, args.text_col, args.label_col) if args.csv
-                else T.labelled_corpus(spark, args.sf_dir))
+        if args.csv:
+            rows = csv_corpus.read_labelled_csv(spark, args.csv, args.text_col, args.label_col)
+        elif args.tables:
+            rows = T.corpus_of(*map(spark.table, args.tables))
+        else:
+            rows = T.labelled_corpus(spark, args.sf_dir)
         model = clf.train(rows, params)
         model.write().overwrite().save(args.model)
         print(f"model saved to {args.model}; classes {clf.label_names(model)}")

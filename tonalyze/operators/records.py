@@ -56,8 +56,3 @@ def reject_empty(df: DataFrame, text_col: str = "texto") -> tuple[DataFrame, Dat
     """(accepted, rejected): blank or null texts go to the side output."""
     blank = tx.is_blank(F.col(text_col))
     return df.filter(~blank), df.filter(blank)
-
-
-def mark_empty(df: DataFrame, text_col: str = "texto") -> DataFrame:
-    """Both outputs in one pass: ``aceptado`` flag per row."""
-    return df.withColumn("aceptado", ~tx.is_blank(F.col(text_col)))

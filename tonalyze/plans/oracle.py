@@ -118,6 +118,16 @@ def history(where: str = "", limit: int | None = 50) -> str:
             f"ORDER BY ts DESC NULLS LAST, id DESC{lim}")
 
 
+_POSTERIOR = """post AS (SELECT *, exp(raw - max(raw) OVER (PARTITION BY key)) AS e FROM raw),
+post2 AS (SELECT *, e / sum(e) OVER (PARTITION BY key) AS p FROM post),
+scored AS (
+  SELECT key,
+         (list(clase ORDER BY raw DESC, class_index ASC))[1] AS prediccion,
+         round(max(p), 6) AS confianza,
+         list(round(p, 6) ORDER BY class_index) AS probability
+  FROM post2 GROUP BY key)"""
+
+
 def naive_bayes(score_sql: str, train: str = "corpus", vocab_size: int = VOCAB_SIZE) -> str:
     """CTEs ending in ``scored(key, prediccion, confianza, probability)``.
 
@@ -177,14 +187,7 @@ raw AS (
   SELECT k.key, p.clase, p.class_index, p.lp + coalesce(r.dot, 0) AS raw
   FROM (SELECT key FROM score_in) k CROSS JOIN prior p
   LEFT JOIN raw_dot r ON r.key = k.key AND r.clase = p.clase),
-post AS (SELECT *, exp(raw - max(raw) OVER (PARTITION BY key)) AS e FROM raw),
-post2 AS (SELECT *, e / sum(e) OVER (PARTITION BY key) AS p FROM post),
-scored AS (
-  SELECT key,
-         (list(clase ORDER BY raw DESC, class_index ASC))[1] AS prediccion,
-         round(max(p), 6) AS confianza,
-         list(round(p, 6) ORDER BY class_index) AS probability
-  FROM post2 GROUP BY key)"""
+{_POSTERIOR}"""
 
 
 # -- Spark's HashingTF bucket: MurmurHash3 x86_32, seed 42, over the UTF-8
@@ -233,16 +236,6 @@ mm_f6 AS (SELECT w, xor(h, h >> 16) AS h FROM mm_f5),
 bucket AS (SELECT w, CAST(h % {int(num_features)} AS BIGINT) AS j FROM mm_f6)"""
 
 
-_POSTERIOR = """post AS (SELECT *, exp(raw - max(raw) OVER (PARTITION BY key)) AS e FROM raw),
-post2 AS (SELECT *, e / sum(e) OVER (PARTITION BY key) AS p FROM post),
-scored AS (
-  SELECT key,
-         (list(clase ORDER BY raw DESC, class_index ASC))[1] AS prediccion,
-         round(max(p), 6) AS confianza,
-         list(round(p, 6) ORDER BY class_index) AS probability
-  FROM post2 GROUP BY key)"""
-
-
 def naive_bayes_hashed(score_sql: str, train: str = "corpus", num_features: int = 1 << 18) -> str:
     """As ``naive_bayes`` with hashed term buckets instead of a vocabulary.
 
