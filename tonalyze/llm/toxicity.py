@@ -269,7 +269,7 @@ def fit_linear(rows: list[np.ndarray], target: np.ndarray, params: ToxicParams)
     """Logistic regression on soft labels by AdaGrad, features seen in too few
     documents left out."""
     size = 1 << params.bits
-    seen = np.bincount(np.concatenate([*rows, np.empty(0, np.int64)]), minlength=size)
+    seen = np.bincount(np.concatenate([*rows, np.empty(0, np.int32)]), minlength=size)
     rows = [r[seen[r] >= params.feature_support] for r in rows]
     share = float(np.clip(target.mean(), 1e-3, 1 - 1e-3)) if len(target) else 0.05
     weight, bias = np.zeros(size), float(np.log(share / (1 - share)))
@@ -301,8 +301,8 @@ def _examples(batches: Iterator[pa.RecordBatch], voters: Voters, model: LabelMod
             data, offsets = utf8(field(batch, "text"))
             target = model.posterior(voters.votes(data, offsets).astype(float))
             bounds, index = features(data, offsets, params.bits, params.features)
-            rows = [index[bounds[i]:bounds[i + 1]].astype(np.int32) for i in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([pa.array(target), pa.array(rows, pa.list_(pa.int32()))],
+            rows = [index[bounds[i]:bounds[i + 1]].astype("<i4").tobytes() for i in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([pa.array(target), pa.array(rows, pa.binary())],
                                              names=["target", "features"])
 
 
@@ -329,9 +329,9 @@ def train(docs: DataFrame, labels: DataFrame, params: ToxicParams = ToxicParams(
     shared_model = spark.sparkContext.broadcast(model)
     rows = map_arrow(pool.filter(draw < chance).select("text"),
                      lambda x: _examples(x, shared.value, shared_model.value, params),
-                     "target double, features array<int>").collect()
-    rows.sort(key=lambda r: (r["target"], r["features"]))           # any order of partitions
-    linear = fit_linear([np.array(r["features"], np.int64) for r in rows],
+                     "target double, features binary").collect()
+    rows.sort(key=lambda r: (r["target"], bytes(r["features"])))    # any order of partitions
+    linear = fit_linear([np.frombuffer(r["features"], "<i4") for r in rows],
                         np.array([r["target"] for r in rows]), params)
     return ToxicModel(model, linear)
 
