@@ -94,6 +94,9 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
     place = F.struct("doc_id", "start", "crc")
     first = (found.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").drop("n"))
+    # written first, so that the join reads two plain tables and Spark can split
+    # the occurrences of a very frequent line over tasks
+    first = saved(first, "line-first")
     return (found.join(first, ["high", "low"]).filter(~place.eqNullSafe(F.col("first")))
             .select("doc_id", "crc", "start", "end", "n_words",
                     F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start")))
