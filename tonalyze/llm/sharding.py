@@ -49,7 +49,7 @@ class ShardParams:
     shards: int = 24
     tolerance: float = 0.001     # of a part's ideal bytes
     probes: int = 16             # candidate boundaries per open splitter and pass
-    parts_per_shard: int | None = None   # default: enough to fill the shuffle partitions
+    part_bytes: int = 32_000_000  # a task of the exchange gets about so much
 
 
 def text_size(text: Column) -> Column:
@@ -95,8 +95,9 @@ def bucket(h: Column, i: Column, boundaries: list[int]) -> Column:
     return let(F.struct(h.alias("h"), i.alias("i")), search)
 
 
-def find_splitters(keys: DataFrame, parts: int, params: ShardParams) -> tuple[list[int], list[int], int]:
-    """(splitter keys, rows below each, bytes in all) for ``parts`` near-equal parts.
+def find_splitters(keys: DataFrame, params: ShardParams, per_shard: int | None = None
+                   ) -> tuple[list[int], list[int], int]:
+    """(splitter keys, rows below each, parts per shard) for near-equal parts.
 
     Every open splitter holds an interval with the exact bytes and rows below
     its two ends; a pass probes inside it and keeps the sub-interval where
@@ -105,7 +106,9 @@ def find_splitters(keys: DataFrame, parts: int, params: ShardParams) -> tuple[li
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
     all_bytes, all_rows = int(total["b"]), int(total["n"])
     if not all_rows:
-        return [], [], 0
+        return [], [], 1
+    per = per_shard or max(1, -(-all_bytes // (params.shards * params.part_bytes)))
+    parts = params.shards * per
     targets = [all_bytes * k // parts for k in range(1, parts)]
     slack = params.tolerance * all_bytes / parts
     # interval of splitter k: (low key, bytes, rows below it, high key, bytes, rows below it)
@@ -150,19 +153,16 @@ def find_splitters(keys: DataFrame, parts: int, params: ShardParams) -> tuple[li
             # met, one row left between the ends, or no key left between them
             if ends[0][0] <= slack or hi_n - lo_n <= 1 or hi - lo <= 1:
                 found[k] = (ends[0][1], ends[0][2], 0)
-    return [f[0] for f in found], [f[1] for f in found], all_bytes
+    return [f[0] for f in found], [f[1] for f in found], per
 
 
 def shard(docs: DataFrame, params: ShardParams = ShardParams(),
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Every row of ``docs`` with ``size``, ``shard``, ``part`` and ``slot``."""
-    spark = docs.sparkSession
     h, i = _hash(F.col(text_col)), _id(F.col(id_col))
     keys = saved(docs.select(h.alias("h"), i.alias("i"), text_size(F.col(text_col)).alias("size")),
                  "shard-keys")
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    per = params.parts_per_shard or max(1, -(-wanted // params.shards))
-    splitters, rows_below, _ = find_splitters(keys, params.shards * per, params)
+    splitters, rows_below, per = find_splitters(keys, params)
     # a splitter never lies before the one to its left
     for k in range(1, len(splitters)):
         if splitters[k] < splitters[k - 1]:
@@ -174,6 +174,8 @@ def shard(docs: DataFrame, params: ShardParams = ShardParams(),
     placed = docs.select(*kept, h.alias("_h"), i.alias("_i"),
                          text_size(F.col(text_col)).alias("size"),
                          bucket(h, i, splitters).alias("part"))
+    # each part to a task of its own; the window below needs no other exchange
+    placed = placed.repartitionById(len(below), "part")
     order = Window.partitionBy("part").orderBy("_h", "_i")
     return placed.select(
         *kept, "size", F.floor(F.col("part") / per).cast("int").alias("shard"), "part",
