@@ -131,6 +131,25 @@ def test_lines_of_odd_rows(spark):
     assert line_dedup.repeats(edge.frame(spark, [])).count() == 0
 
 
+def lines_of(seed, lengths):
+    words = edge.passage(seed, sum(lengths)).split()
+    return ["  ".join(words[sum(lengths[:k]):sum(lengths[:k + 1])]) for k in range(len(lengths))]
+
+
+def test_passages_of_short_lines_are_repeats(spark):
+    verse, mixed = lines_of(21, [10] * 6), lines_of(22, [3, 20, 2, 1])
+    rest = {i: lines_of(30 + i, [5, 5, 30, 5, 5]) for i in range(5)}
+    put = lambda i, passage: "\n".join(rest[i][:3] + passage + rest[i][3:])
+    rows = [(0, put(0, verse)), (1, put(1, verse[:3] + [" "] + verse[3:])), (2, put(2, mixed)), (3, put(3, mixed)),
+            (4, "\n".join(["la la la"] * 11)), (5, "\n".join(lines_of(29, [6, 6]) + rest[4])),
+            (6, "\n".join(lines_of(29, [6, 6]) + rest[0][:1] + rest[1][:1]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    left = {r.doc_id: r.text for r in line_dedup.remove_repeats(docs, blocks=True).collect()}
+    assert left == dict(rows) | {1: put(1, []), 3: put(3, []), 4: "la la la\n" * 5}
+    found = line_dedup.repeats(docs, blocks=True)
+    assert {(r.doc_id, r.kept_doc_id) for r in found.collect()} == {(1, 0), (3, 2), (4, 4)}
+
+
 def brute_hits(text, items, width=10):
     matches = list(edge.ALNUM.finditer(edge.lower(text or "")))
     words = [m.group() for m in matches]

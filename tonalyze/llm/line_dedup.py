@@ -1,11 +1,19 @@
 """Substring dedup by line hashing.
 
-Lines are the units.  A line is normalised to its words (ASCII lower-cased,
-all other ASCII than digits and letters is white space) and hashed to 128
-bits.  Digests are grouped globally; the occurrence that ranks first by
-(id, position) stays and the others become removal spans that keep their
-offsets in the original text.  Lines of fewer than ``min_words`` words
-(headings, notices, list items) recur for good reasons and are left alone.
+Units are lines of at least ``min_words`` words and, with ``blocks``, groups of
+adjacent lines around shorter ones: from each short line on, and back from it, the fewest
+lines that reach ``min_words`` together (lines without a word count for
+nothing, and a block never leaves its text).  So a repeated passage of that
+many words is found whole, however short its lines are.  What is shorter in
+all (a heading, notice or list item that recurs in other surroundings) is
+left alone.
+
+A unit is normalised to its words (ASCII lower-cased, all other ASCII than
+digits and letters is white space) and hashed to 128 bits.  Digests are
+grouped globally; the occurrence that ranks first by (id, position) stays and
+the others become removal spans that keep their offsets in the original text.
+Spans of blocks may overlap each other; one that overlaps the occurrence that
+stays (a text that repeats a short line over and over) is none.
 
 A line that fills a third of all documents is one aggregated row (partial
 aggregation) joined back to its occurrences, which Spark splits when skewed.
@@ -27,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonalyze.llm import words as W
@@ -37,22 +45,38 @@ MIN_WORDS = 13
 UNITS = "doc_id long, crc long, start long, end long, n_words long, high long, low long"
 
 
-def _sequence_hash(words: W.Words, n_lines: int, multiplier: np.uint64) -> np.ndarray:
-    """Hash of each line's word sequence."""
-    out = np.zeros(n_lines, np.uint64)
-    if not len(words.hash):
-        return out
-    count = np.diff(words.row)
-    within = np.arange(len(words.hash)) - np.repeat(words.row[:-1], count)
-    longest = int(count.max())
-    power = np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(longest, multiplier)]), dtype=np.uint64)
-    full = count > 0
-    out[full] = np.add.reduceat(W.mix(words.hash ^ multiplier) * power[within], words.row[:-1][full])
-    return W.mix(out + count.astype(np.uint64))
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([np.ones(1, np.uint64), np.full(n, base)]), dtype=np.uint64)
 
 
-def units(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.RecordBatch]:
-    """(doc_id, crc, start, end, n_words, digest) of each line that counts."""
+def _sequence_hash(words: W.Words, first: np.ndarray, last: np.ndarray, multiplier: np.uint64) -> np.ndarray:
+    """Hash of each word sequence first..last-1 (not empty), from running sums."""
+    n = len(words.hash)
+    inverse = np.uint64(pow(int(multiplier), -1, 1 << 64))
+    sums = np.zeros(n + 1, np.uint64)
+    np.cumsum(W.mix(words.hash ^ multiplier) * _powers(multiplier, n)[:n], dtype=np.uint64, out=sums[1:])
+    out = (sums[last] - sums[first]) * _powers(inverse, n)[first]
+    return W.mix(out + (last - first).astype(np.uint64))
+
+
+def _blocks(row: np.ndarray, doc: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first, last line) of each unit; line i has the words row[i]..row[i+1]-1."""
+    count = np.diff(row)
+    long, short = np.flatnonzero(count >= min_words), np.flatnonzero((count > 0) & (count < min_words))
+    # on from a short line, and back from it
+    on = np.searchsorted(row, row[short] + min_words) - 1
+    back = np.searchsorted(row, row[short + 1] - min_words, side="right") - 1
+    first, last = np.concatenate([short, back]), np.concatenate([on, short])
+    inside = (first >= 0) & (last < len(count))
+    first, last = first[inside], last[inside]
+    inside = doc[first] == doc[last]
+    both = np.unique(np.stack([np.concatenate([long, first[inside]]),
+                               np.concatenate([long, last[inside]])]), axis=1)
+    return both[0], both[1]
+
+
+def units(batches: Iterator[pa.RecordBatch], min_words: int, blocks: bool) -> Iterator[pa.RecordBatch]:
+    """(doc_id, crc, start, end, n_words, digest) of each line or block that counts."""
     for whole in batches:
         for batch in slices(whole):
             data, offsets = utf8(field(batch, "text"))
@@ -63,14 +87,17 @@ def units(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Reco
             is_start[1:][data == 10] = True
             starts = np.flatnonzero(is_start[:-1])
             words = W.split(data, np.append(starts, len(data)), W.PUNCTUATION)
-            n_words = np.diff(words.row)
-            take = np.flatnonzero(n_words >= min_words)
-            high = _sequence_hash(words, len(starts), W.MULTIPLIER)[take]
-            low = _sequence_hash(words, len(starts), np.uint64(0xD6E8FEB86659FD93))[take]
-            ends = np.append(starts[1:], len(data))
-            ends = (ends - (data[ends - 1] == 10))[take]
-            starts = starts[take]
             doc = np.searchsorted(offsets, starts, side="right") - 1
+            first = last = np.flatnonzero(np.diff(words.row) >= min_words)
+            if blocks:
+                first, last = _blocks(words.row, doc, min_words)
+            begin, stop = words.row[first], words.row[last + 1]
+            n_words = stop - begin
+            high = _sequence_hash(words, begin, stop, W.MULTIPLIER)
+            low = _sequence_hash(words, begin, stop, np.uint64(0xD6E8FEB86659FD93))
+            ends = np.append(starts[1:], len(data))
+            ends = (ends - (data[ends - 1] == 10))[last]
+            starts, doc = starts[first], doc[first]
             # characters before each byte
             chars = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
             base = chars[offsets[doc]]
@@ -79,35 +106,43 @@ def units(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[pa.Reco
             yield pa.RecordBatch.from_arrays(
                 [field(batch, "doc_id").take(pa.array(doc)), pa.array(crc[doc]),
                  pa.array(chars[starts] - base), pa.array(chars[ends] - base),
-                 pa.array(n_words[take].astype(np.int64)),
+                 pa.array(n_words.astype(np.int64)),
                  pa.array(high.view(np.int64)), pa.array(low.view(np.int64))],
                 names=["doc_id", "crc", "start", "end", "n_words", "high", "low"])
 
 
 def repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-            text_col: str = "text") -> DataFrame:
+            text_col: str = "text", blocks: bool = False) -> DataFrame:
     """One row per removed span: doc_id, crc (of the text), start, end (in
     characters), n_words, and the occurrence that stays: kept_doc_id,
     kept_start."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = saved(map_arrow(source, lambda x: units(x, min_words), UNITS), "line-units")
-    place = F.struct("doc_id", "start", "crc")
+    found = saved(map_arrow(source, lambda x: units(x, min_words, blocks), UNITS), "line-units")
+    place = F.struct("doc_id", "start", "crc", "end")
     first = (found.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").drop("n"))
     # written first, so that the join reads two plain tables and Spark can split
     # the occurrences of a very frequent line over tasks
     first = saved(first, "line-first")
-    return (found.join(first, ["high", "low"]).filter(~place.eqNullSafe(F.col("first")))
+    own = (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("crc") == F.col("first.crc"))
+           & (F.col("start") < F.col("first.end")))
+    return (found.join(first, ["high", "low"]).filter(~own)
             .select("doc_id", "crc", "start", "end", "n_words",
                     F.col("first.doc_id").alias("kept_doc_id"), F.col("first.start").alias("kept_start")))
 
 
 def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
-    """``docs`` with the repeated lines cut out of their texts (each with its
-    line break); other texts are returned as they are."""
-    spans = repeats(docs, min_words, id_col, text_col).groupBy("doc_id", "crc").agg(F.array_sort(
-        F.collect_set(F.struct("start", (F.col("end") + 1).alias("end")))).alias("spans"))
+                   text_col: str = "text", blocks: bool = False) -> DataFrame:
+    """``docs`` with the repeated lines (and blocks) cut out of their texts (each
+    with its line break); other texts are returned as they are."""
+    at = Window.partitionBy("doc_id", "crc").orderBy("start", "end")
+    reach = F.max("end").over(at.rowsBetween(Window.unboundedPreceding, -1))
+    # spans that touch become one
+    found = (repeats(docs, min_words, id_col, text_col, blocks).select("doc_id", "crc", "start", (F.col("end") + 1).alias("end"))
+             .distinct().withColumn("new", F.coalesce(F.col("start") > reach, F.lit(True)).cast("int"))
+             .withColumn("span", F.sum("new").over(at.rowsBetween(Window.unboundedPreceding, 0))))
+    spans = (found.groupBy("doc_id", "crc", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+             .groupBy("doc_id", "crc").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")))
     text = F.col(f"row.{text_col}")
     rows = docs.select(F.struct(*docs.columns).alias("row"))
     joined = rows.join(spans, F.col(f"row.{id_col}").eqNullSafe(F.col("doc_id"))
