@@ -137,6 +137,15 @@ def test_cosine_equals_plain_formula(spark):
         assert r.cosine == pytest.approx(best, abs=1e-8)
 
 
+def test_common_words_in_a_header_weigh_little(spark):
+    rows = [(i, f"s/{i}.py", "You may use it as it is: " + edge.passage(i, 20)) for i in range(980)]
+    rows += [(i, f"t/{i}.py", "Licensed under the Apache License, Version 2.0.") for i in range(1000, 1019)]
+    rows.append((2000, "u/x.py", "You may use it as it is, licensed under the Apache License, Version 2.0."))
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    found = licenses.scan(files).filter("doc_id = 2000").first()
+    assert (found.license, found.basis) == ("Apache-2.0", "header") and found.cosine > 0.9
+
+
 def test_licences_of_odd_rows(spark, sf_small):
     rows = licenses.scan(edge.frame(spark).withColumn("path", F.col("source"))).collect()
     assert len(rows) == len(edge.texts())

@@ -1,11 +1,12 @@
 """Licence scan: TF-IDF cosine to templates, then inheritance by path.
 
-1. Document frequencies of the templates' terms are counted over all files.
-   A term no template has weighs as one seen in a single file.
+1. Document frequencies of all terms are counted over all files (one
+   aggregate, combined where the texts are read).
 2. Units of a file are its lines (headers) and the file as a whole (licence
    files).  Only files and lines with a cue word can resemble a template, so
-   only they are spelt out into (unit, term) rows and joined to the fixed
-   table of template weights; the best cosine of a unit decides.
+   only they are spelt out into (unit, term) rows and joined to the
+   frequencies and to the fixed table of template weights; the best cosine
+   of a unit decides.
 3. A file with a header has that licence.  A licence file gives its licence
    to its directory; a file without its own takes it from the nearest
    ancestor directory that has one, by joins of directory paths: distinct
@@ -32,7 +33,6 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tonalyze.llm.common import saved
 
@@ -64,49 +64,60 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.filter(F.split(F.lower(text), SPLIT), lambda w: w != ""))
 
 
+def _idf(n_files: float, n: float) -> float:
+    return math.log((1 + n_files) / (1 + n)) + 1
+
+
+def term_counts(files: DataFrame) -> DataFrame:
+    """(term, n): files that hold the term; terms of a single file are left
+    out unless a template has them."""
+    return (files.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term")
+            .agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) | F.col("term").isin(VOCABULARY)))
+
+
 def template_idf(files: DataFrame) -> tuple[dict[str, float], float]:
-    """(idf of each template term, idf of any other term) over all files."""
-    known = F.array(*[F.lit(t) for t in VOCABULARY])
-    counts = (files.select(F.explode(F.array_intersect(_terms(F.col("text")), known)).alias("term"))
-              .groupBy("term").agg(F.count(F.lit(1)).alias("n")).collect())
+    """(idf of each template term and each term of several files, idf of any
+    other term), on the driver: for small tables, ``unit_scores`` joins them."""
     n = files.count()
-    df = {r["term"]: r["n"] for r in counts}
-    return ({t: math.log((1 + n) / (1 + df.get(t, 0))) + 1 for t in VOCABULARY},
-            math.log((1 + n) / 2) + 1)
+    df = {t: 0 for t in VOCABULARY} | {r["term"]: r["n"] for r in term_counts(files).collect()}
+    return {t: _idf(n, k) for t, k in df.items()}, _idf(n, 1)
 
 
 def unit_scores(files: DataFrame) -> DataFrame:
     """(id, path, kind, license, cosine): the best template of each file as a
     whole ('file') and of its lines ('header'), where any term is shared."""
     spark = files.sparkSession
-    idf, other = template_idf(files)
-    weights = []
-    for name, text in TEMPLATES.items():
-        norm = math.sqrt(sum(idf[t] ** 2 for t in terms_of(text)))
-        weights += [(name, t, idf[t] ** 2 / norm) for t in terms_of(text)]
-    table = spark.createDataFrame(weights, T.StructType([
-        T.StructField("license", T.StringType()), T.StructField("term", T.StringType()),
-        T.StructField("weight", T.DoubleType())]))
+    # written first, so that the join reads two plain tables and Spark can split
+    # the units of a very frequent term over tasks
+    counts, n_files = saved(term_counts(files), "license-terms"), files.count()
+    df = {r["term"]: r["n"] for r in counts.filter(F.col("term").isin(VOCABULARY)).collect()}
+    idf = {t: _idf(n_files, df.get(t, 0)) for t in VOCABULARY}
+    norms = [math.sqrt(sum(idf[t] ** 2 for t in terms_of(text))) for text in TEMPLATES.values()]
+    held = [set(terms_of(text)) for text in TEMPLATES.values()]
+    table = spark.createDataFrame(
+        [(t, [idf[t] ** 2 / norm if t in own else 0.0 for own, norm in zip(held, norms)]) for t in VOCABULARY],
+        "term string, weights array<double>")
     cue = "(?i)\\b(" + "|".join(CUES) + ")\\b"
-    cued = files.filter(F.col("text").rlike(cue)).withColumn("unit_row", F.expr("uuid()"))
+    cued = files.filter(F.col("text").rlike(cue)).withColumn("unit_row", F.monotonically_increasing_id())
     cued = saved(cued, "license-files")
-    lines = cued.select("id", "path", "unit_row", F.posexplode(F.split("text", "\n")).alias("n", "line"))
-    units = cued.select("id", "path", "unit_row", F.lit("file").alias("kind"), F.lit(-1).alias("n"),
-                        _terms(F.col("text")).alias("terms")).unionByName(
-        lines.filter(F.col("line").rlike(cue)).select(
-            "id", "path", "unit_row", F.lit("header").alias("kind"), "n", _terms(F.col("line")).alias("terms")))
-    idf_map = F.create_map(*[x for t in VOCABULARY for x in (F.lit(t), F.lit(idf[t] ** 2))])
-    known = F.array(*[F.lit(t) for t in VOCABULARY])
-    units = units.withColumn("own", F.array_intersect("terms", known)).withColumn("norm", F.sqrt(
-        F.aggregate("own", F.lit(0.0), lambda a, t: a + F.element_at(idf_map, t))
-        + (F.size("terms") - F.size("own")) * F.lit(other ** 2)))
-    # the table has one row per template term: its size is fixed above
-    dots = (units.select("id", "path", "unit_row", "kind", "n", "norm", F.explode("own").alias("term"))
-            .join(F.broadcast(table), "term")
-            .groupBy("id", "path", "unit_row", "kind", "n", "license")
-            .agg((F.sum("weight") / F.first("norm")).alias("cosine")))
-    best = F.min(F.struct((-F.round("cosine", 9)).alias("far"), F.col("license").alias("license")))
-    return (dots.groupBy("id", "path", "unit_row", "kind").agg(best.alias("b"))
+    lines = cued.select("unit_row", F.posexplode(F.split("text", "\n")).alias("n", "line"))
+    units = cued.select("unit_row", F.lit(-1).alias("n"), _terms(F.col("text")).alias("terms")).unionByName(
+        lines.filter(F.col("line").rlike(cue)).select("unit_row", "n", _terms(F.col("line")).alias("terms")))
+    square = F.pow(F.log((1 + F.lit(n_files)) / (1 + F.coalesce("n_files", F.lit(1)))) + 1, F.lit(2.0))
+    # the table of weights has one row per template term: its size is fixed above
+    dots = (units.select("unit_row", "n", F.explode("terms").alias("term"))
+            .join(counts.withColumnRenamed("n", "n_files"), "term", "left")
+            .join(F.broadcast(table), "term", "left")
+            .groupBy("unit_row", "n").agg(
+                F.sqrt(F.sum(square)).alias("norm"),
+                *[F.sum(F.col("weights")[k]).alias(f"dot{k}") for k in range(len(TEMPLATES))]))
+    # a dot is null where no term of the unit is a template's
+    best = F.array_min(F.array(*[F.struct((-F.round(F.col(f"dot{k}") / F.col("norm"), 9)).alias("far"),
+                                          F.lit(name).alias("license")) for k, name in enumerate(TEMPLATES)]))
+    kind = F.when(F.col("n") < 0, "file").otherwise("header").alias("kind")
+    return (dots.filter("dot0 is not null").select("unit_row", kind, best.alias("b"))
+            .groupBy("unit_row", "kind").agg(F.min("b").alias("b"))
+            .join(cued.select("unit_row", "id", "path"), "unit_row")
             .select("id", "path", "unit_row", "kind", F.col("b.license").alias("license"),
                     (-F.col("b.far")).alias("cosine")))
 
