@@ -146,6 +146,34 @@ def test_common_words_in_a_header_weigh_little(spark):
     assert (found.license, found.basis) == ("Apache-2.0", "header") and found.cosine > 0.9
 
 
+MIT = """Copyright (c) 2020 Some Body
+
+Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to
+permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the
+Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
+WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR
+COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+
+
+def test_full_texts_and_broken_headers(spark):
+    broken = ["# This Source Code Form is subject to", "# the terms of the Mozilla Public License,", "# v. 2.0."]
+    rows = [(i, f"s/{i}.py", edge.passage(i, 30)) for i in range(50)]
+    rows += [(100, "m/LICENSE", MIT), (101, "m/a/x.py", edge.passage(60, 30)),
+             (102, "n/x.py", "\n".join([edge.passage(61, 30), *broken, edge.passage(62, 30)])),
+             (103, "n/y.py", "\n".join(f" * {x}" for x in MIT.split("\n")) + "\n\n" + edge.passage(63, 400))]
+    files = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.doc_id: (r.license, r.basis) for r in licenses.scan(files).filter("doc_id >= 100").collect()}
+    assert got.pop(100)[0] == "MIT"
+    assert got == {101: ("MIT", "inherited"), 102: ("MPL-2.0", "header"), 103: ("MIT", "header")}
+
+
 def test_licences_of_odd_rows(spark, sf_small):
     rows = licenses.scan(edge.frame(spark).withColumn("path", F.col("source"))).collect()
     assert len(rows) == len(edge.texts())

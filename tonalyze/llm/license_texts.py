@@ -1,0 +1,191 @@
+"""Distinct terms of the full texts of licences (a term counts once per unit)."""
+
+FULL_TEXTS = {
+    "Apache-2.0":
+        "0 1 2 2004 3 4 5 50 6 7 8 9 a above acceptance accepting act acting acts add addendum additional "
+        "additions advised against agree agreed agreement all alleging alone along alongside also an and "
+        "annotations any apache appear appendix applicable applies apply appropriate appropriateness archives "
+        "are arising as asserted associated assume at attach attached attribution authorized authorship "
+        "available b based basis be been behalf below beneficial bind boilerplate brackets but by c cannot "
+        "carry cause changed character charge choose claim claims class code combination comment commercial "
+        "common communication compiled compliance complies computer conditions configuration consequential "
+        "consistent conspicuously constitutes construed contained content contents contract contribution "
+        "contributions contributor contributory control controlled conversions copies copy copyright "
+        "counterclaim cross customary d damages date defend defined definition definitions deliberate "
+        "derivative derived describing description designated determining different direct direction "
+        "disclaimer discussing display distribute distributed distribution do document documentation does don "
+        "each easier editorial either elaborations electronic enclosed end entities entity even event example "
+        "except excluding exclusive executed exercise exercising explicitly express failure fee fields fifty "
+        "file filed files fitness following for form format free from generated give goodwill governing grant "
+        "granted granting grants grossly harmless has have hereby herein hold how however http i "
+        "identification identifying if ii iii implied import improving in inability incidental include "
+        "included includes including inclusion incorporated incurred indemnify indemnity indicated indirect "
+        "individual information informational infringed infringement institute intentionally interfaces "
+        "irrevocable is issue its january kind language law lawsuit least legal liability liable licensable "
+        "license licensed licenses licensor limitation limitations limited link lists litigation loss losses "
+        "made mailing make making malfunction managed management marked marks may mean means mechanical media "
+        "medium meet merchantability merely modifications modified modify modifying more must name names "
+        "necessarily negligence negligent no non normally not nothing notice notices notwithstanding object "
+        "obligations obtain of offer on one only or org origin original other otherwise out outstanding own "
+        "owner ownership page part particular party patent percent perform permission permissions perpetual "
+        "pertain places possibility power preferred prepare printed product prominent provide provided "
+        "provides publicly purpose purposes readable reason reasonable received recipients recommend "
+        "redistributing redistribution regarding remain replaced represent representatives reproduce "
+        "reproducing reproduction required responsibility responsible result resulting retain revisions "
+        "rights risks royalty s same section sections see sell sent separable separate service shall shares "
+        "should software sole solely source special specific state stated statement stating stoppage subject "
+        "sublicense submission submit submitted subsequently such supersede support syntax systems t "
+        "terminate terms text that the their then theory thereof third this those through title to tort "
+        "tracking trade trademark trademarks transfer transformation translation types under union unless use "
+        "using verbal version warranties warranty was we where wherever whether which while whole whom with "
+        "within without work works worldwide writing written www you your yyyy",
+    "BSD-3-Clause":
+        "1 2 3 a above advised all and any are arising as be binary business but by c caused code conditions "
+        "consequential contract contributors copyright damage damages data derived direct disclaimed "
+        "disclaimer distribution documentation endorse even event exemplary express fitness following for "
+        "form forms from goods holder holders however if implied in incidental including indirect "
+        "interruption is its liability liable limited list loss materials may merchantability met "
+        "modification must name names negligence neither no nor not notice of on or other otherwise out "
+        "particular permission permitted possibility prior procurement products profits promote provided "
+        "purpose redistribution redistributions reproduce reserved retain rights services shall software "
+        "source special specific strict substitute such that the theory this to tort use used warranties way "
+        "whether with without written",
+    "GPL-3.0":
+        "0 1 10 11 12 13 14 15 16 17 1996 2 20 2007 28 29 3 30 4 5 6 60 6b 6d 7 8 9 a ability about above "
+        "absence absolute absolutely abuse accept acceptance access accessible accompanied accompanies accord "
+        "according achieve acknowledges acquired across actions activities activity actual actually adapt add "
+        "added additional address addressed adopted adversely advised affects affero affirmed affirms after "
+        "against aggregate agree agreed agreement aim all alleging allow allowed along already also "
+        "alternative although among an ancillary and anti any anyone anything applicable applications applied "
+        "applies apply appropriate appropriately approximates are area arise arising arrange arrangement "
+        "article as asking assert assets associated assume assumption assumptions assures at attach attempt "
+        "attributed attributions author authorization authorized authorizes authorizing authors automatic "
+        "automatically available avoid away b based basic be because been behalf being believe below benefit "
+        "best between beyond body both box brief business but by c called can cannot carry case cases cause "
+        "cease certain cessation change changed changing characterized charge choose choosing circumstances "
+        "circumvention civil claim claims class clear clearly closely code collect combination combine "
+        "combined comes commands commercial commitment common communication compilation compilations compiler "
+        "compliance comply component computer computers concerning concerns conditioned conditions connection "
+        "consequence consequential consider considered consistent conspicuously constantly constitutes "
+        "construed consumer contact contain containing contains content contents context continue continued "
+        "contractual contradict contrast contributor control controlled convenient convey conveyance conveyed "
+        "conveying conveys copies copy copying copyleft copyright copyrightable copyrighted correction "
+        "corresponding cost could counterclaim countries country course court courts covenant coverage "
+        "covered criterion cross cure customarily customer d damages danger data date days december decide "
+        "declining deemed defective defenses defined definition definitions denied denominated deny denying "
+        "deprive designated designed detail details determining develop developers development devices differ "
+        "different differently direction directions directly disclaim disclaimer disclaiming discriminatory "
+        "display displayed displays distinguishing distribute distributed distributing distribution do "
+        "document documented does domains doubtful downstream durable dwelling dynamically e each earlier "
+        "effect effected effective effectively efforts either electronic embodied employer enable enables end "
+        "enforce enforcing ensure entered entire entirely entity equivalent erroneously essential even event "
+        "ever every everyone exact example except exceptions excluded excluding exclusion exclusive "
+        "exclusively excuse executable execute executing exercise exercising expected expects explains "
+        "explicitly express expressed expressly extend extended extensions extent f facilities fails failure "
+        "fair family fashion favor feature fee file files finally find first fitness fixed flow follow "
+        "following for forbid force form format forms found foundation free freedom freedoms from fsf "
+        "fulfilling full functioning fundamentally further future general generally generate get give given "
+        "gives giving gnu governed gpl grant granted grants gratis greatest guarantee gui had has have having "
+        "hereafter holder holders hope hosts household how however html https hypothetical idea identifiable "
+        "if implement implementation implied import importing impose imposed in inability inaccurate inc "
+        "incidental include included includes including inclusion incompatible incorporating incorporation "
+        "indemnification independent indicate indicating individual individuals industrial inform information "
+        "infringe infringed infringement initiate inside install installation installed instead intact "
+        "intended intention interaction interactive interchange interest interface interfaces interfered "
+        "interpretation interpreter intimate into invalidate irrevocable is it item its itself june keep "
+        "kernel key keys kind kinds know knowingly knowledge language larger later law laws lawsuit least "
+        "legal lesser lgpl liability liable libraries library license licensed licensee licensees licenses "
+        "licensing licensors like likewise limit limitation limited limiting line link linked linking list "
+        "litigation local long loss losses machine made mail maintain major make makes making manner "
+        "manufacturer march marked marks masks material materially may meaning means measure measures medium "
+        "meet meets menu merchantability mere merging met methods might misrepresentation mode model "
+        "modification modifications modified modifies modify modifying more moreover most must name names "
+        "nature necessary need needed neither network new next no non noncommercially nor normal normally not "
+        "nothing notice notices notifies notify notwithstanding number numbered object obligate obligated "
+        "obligations occasionally occurring occurs of offer offered offering official on one only operate "
+        "operated operating operation option options or order org organization organizations origin original "
+        "other others otherwise our out output outside own owned packaged packaging paper paragraph "
+        "paragraphs part particular parties parts party pass password patent patents pattern payment peer "
+        "peers performance performing permanently permission permissions permissive permit permits permitted "
+        "perpetuity personal pertinent physical physically pieces place please plus pointer portion possesses "
+        "possession possibility possible power practical practice preamble precise precisely predecessor "
+        "preferred present presents preservation prevent prevented previous price primarily prior private "
+        "problems procedures procuring produce product products program programmer programming programs "
+        "prohibit prohibiting prohibits prominent prominently propagate propagating propagation property "
+        "proprietary protect protecting protection protocols prove provide provided provision provisionally "
+        "proxy public publicity publicly publish published purpose purposes pursuant qualify quality read "
+        "readable readily reading ready reason reasonable receipt receive received receives receiving "
+        "recipient recipients recognized redistribute referring refers refrain regard regardless regenerate "
+        "reinstated relationship released relevant relicensing relying remain remains removal remove render "
+        "rendered repair represent require required requirement requirements requires requiring resolved "
+        "respect responsibilities responsible restrict restricting restriction restrictions result resulting "
+        "results retains return reviewing revised right rights risk rom royalty rules run running runs s "
+        "safest sake sale same satisfy saying school scope scripts secondarily section sections see sell "
+        "selling semiconductor separable separate separately server serves service servicing shall share "
+        "shared short should show sign significant similar simultaneously single so software sold sole solely "
+        "some source spare speak special specific specifically specified specifies specify spirit stand "
+        "standard standards start starts state stated statement states stating status steps storage "
+        "subdividing subject sublicenses sublicensing subprograms subroutine subsection substantial "
+        "substantially such sue suffice supplement support supports sure surrender survive sustained system "
+        "systematic take tangible technological tells term terminal terminate terminated terminates "
+        "termination terms than that the their them then there therefore these they things third this those "
+        "though threatened three through thus time to too tools trade trademark trademarks transaction "
+        "transfer transferred transferring transmission treated treaty two type typical unacceptable under "
+        "unless unlimited unmodified unnecessary unpacking until updates use used useful user users uses "
+        "using valid verbatim version versions view violates violation visible void volume w waive waiver "
+        "want warranties warranty was way ways we welcome well were what whatever when where whether which "
+        "who whole whom whose why widely will window wipo wish with within without work working works "
+        "worldwide would writing written www year years you your yourself",
+    "MIT":
+        "a above action all an and any arising as associated authors be but charge claim conditions "
+        "connection contract copies copy copyright damages deal dealings distribute do documentation event "
+        "express files fitness following for free from furnished granted hereby holders implied in included "
+        "including is kind liability liable license limitation limited merchantability merge mit modify no "
+        "noninfringement not notice obtaining of or other otherwise out particular permission permit person "
+        "persons portions provided publish purpose restriction rights sell shall so software subject "
+        "sublicense substantial the this to tort use warranties warranty whether whom with without",
+    "MPL-2.0":
+        "0 1 10 11 12 13 14 2 3 30 4 5 50 6 60 7 8 9 a ability able above absence absolutely accurate actions "
+        "add addition additional additionally affect affero after against agree agreement agreements all "
+        "alleging allow alone also alter an and any anyone apparatus applicable application apply are as "
+        "asserting assume at attached attempt authorized automatically available b back basis be become been "
+        "behalf believes beneficial bring brought business but by c can case cause caused character charge "
+        "choice choose circumstances claim claims clear code combination combines come commercial common "
+        "complete compliance compliant comply computer concerning conditions conflict consequential "
+        "constitutes construe construed contained contains contents contract contribute contributes "
+        "contribution contributions contributor contributors control controlled controls conveyed copy "
+        "copyright correction cost counter courts covered create creates creation cross damages date days "
+        "dealing death declaratory defective defects defendant defined definition definitions deletion "
+        "describe described description desirable detailed different differs direct direction directly "
+        "directory disclaimer disclaimers display distinguishing distribute distributed distributes "
+        "distributing distribution distributions distributors do doctrines document does drafter due each "
+        "earlier effect effective either end enforceable entire entities entity equivalents essential even "
+        "event every except excluding exclusion exclusive executable exercising exhibit explicitly exploit "
+        "expressed extent factual fail fails failure fair fee fifty file files finally first fit following "
+        "for form foundation free from further general given gnu goodwill governed grant granted grants has "
+        "have having held hereby hereof how however http i if ii implied import impossible in inability "
+        "inaccuracies incidental include included includes including incompatible incurred indemnify "
+        "indemnity indirect indirectly individual inform informed infringed infringement infringements "
+        "infringes infringing initial initiate injury intellectual intended into is it its judgment judicial "
+        "jurisdiction jurisdictions kind known language larger later law laws legal lesser liability liable "
+        "licensable license licenses licensing likely limit limitation limitations litigation location logos "
+        "look loss losses lost made maintains make makes making malfunction management manner marks material "
+        "matter maximum may means merchantable method miscellaneous modification modifications modified "
+        "modify more moreover mozilla mpl must name necessary negligence new no non not note nothing notice "
+        "notices notifies notify notwithstanding number obligation obligations obtain of offer offered "
+        "offering on one ongoing only option or order ordinary org original originally other others otherwise "
+        "outstanding own ownership owns part particular party patent percent perform performance permits "
+        "permitted personal place placed portions possibility possible power preferred prevent principal "
+        "prior process profits prohibited prohibits property prove provided provides provision provisionally "
+        "provisions public publish published purpose purposes put quality reasonable receipt received "
+        "recipient recipients reference references reformed regulation reinstated relating relevant remedy "
+        "remove removed rename repair representation represents reproduce required requirements resellers "
+        "respect responsibilities restrict result resulting results right rights risk royalty s sale scope "
+        "secondary section sections see sell selling separate service servicing shall shares should skill so "
+        "software some source special specific statute statutory steward stoppage subject sublicense "
+        "subsequent subsequently substance such sufficient sufficiently support survive terminate terminates "
+        "termination terms text than that the their then theory thereof they third this those time timely to "
+        "tort trademark trademarks transfer under understand unenforceable unless unmodified until use used "
+        "user using v validly version versions want warranties warranty was where whether which who wide will "
+        "with within without work world would you your",
+}

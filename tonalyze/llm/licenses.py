@@ -2,9 +2,10 @@
 
 1. Document frequencies of all terms are counted over all files (one
    aggregate, combined where the texts are read).
-2. Units of a file are its lines (headers) and the file as a whole (licence
-   files).  Only files and lines with a cue word can resemble a template, so
-   only they are spelt out into (unit, term) rows and joined to the
+2. Units of a file are the file as a whole (licence files) and, as headers,
+   each line with a cue word, the groups of two and three adjacent lines
+   around it, and the blocks between blank lines.  Templates are short notices
+   and full texts.  Only units with a cue can resemble one, so only they are spelt out into (unit, term) rows and joined to the
    frequencies and to the fixed table of template weights; the best cosine
    of a unit decides.
 3. A file with a header has that licence.  A licence file gives its licence
@@ -18,7 +19,7 @@ templates' terms.  A term counts once per unit.
 Defined results
     null or empty text   no licence of its own
     null path            the root directory
-    very long text       read whole, line by line
+    very long text       read whole
     ties                 the licence that sorts first; among licence files of
                          a directory the higher cosine, then the smaller id
     repeated rows        each row is judged by itself
@@ -34,7 +35,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonalyze.llm.common import saved
+from tonalyze.llm.common import let, saved
+from tonalyze.llm.license_texts import FULL_TEXTS
 
 # Short notices of common licences.
 TEMPLATES = {
@@ -48,6 +50,8 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
 }
 CUES = ["license", "licensed", "licence", "licenced", "redistribution"]
+WIDE_CUE = "(?i)licen[cs]|redistribut|warrant"      # files and blocks: full texts have one of these
+AROUND = [(0, 0), (1, 0), (0, 1), (2, 0), (1, 1), (0, 2)]      # lines before and after one with a cue
 HEADER_COSINE = 0.7
 FILE_COSINE = 0.4
 SPLIT = r"[^a-z0-9]+"
@@ -57,7 +61,8 @@ def terms_of(text: str) -> list[str]:
     return sorted({w for w in re.split(SPLIT, text.lower()) if w})
 
 
-VOCABULARY = sorted({t for text in TEMPLATES.values() for t in terms_of(text)})
+KNOWN = [*TEMPLATES.items(), *FULL_TEXTS.items()]
+VOCABULARY = sorted({t for _, text in KNOWN for t in terms_of(text)})
 
 
 def _terms(text: Column) -> Column:
@@ -83,26 +88,39 @@ def template_idf(files: DataFrame) -> tuple[dict[str, float], float]:
     return {t: _idf(n, k) for t, k in df.items()}, _idf(n, 1)
 
 
+def _headers(text: Column) -> Column:
+    """The parts of a text that may be a header."""
+    cue = "(?i)\\b(" + "|".join(CUES) + ")\\b"
+
+    def around(lines: Column) -> Column:
+        at = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.get(lines, i).rlike(cue))
+        return F.flatten(F.transform(at, lambda i: F.array(*[
+            F.concat_ws("\n", F.slice(lines, F.greatest(i - before, F.lit(0)) + 1, F.lit(before + after + 1)))
+            for before, after in AROUND])))
+
+    blocks = F.filter(F.split(text, "\n[ \t\r]*\n"), lambda part: part.rlike(WIDE_CUE))
+    return F.array_distinct(F.concat(let(F.split(text, "\n"), around), blocks))
+
+
 def unit_scores(files: DataFrame) -> DataFrame:
     """(id, path, kind, license, cosine): the best template of each file as a
-    whole ('file') and of its lines ('header'), where any term is shared."""
+    whole ('file') and of its lines and blocks ('header'), where any term is shared."""
     spark = files.sparkSession
     # written first, so that the join reads two plain tables and Spark can split
     # the units of a very frequent term over tasks
     counts, n_files = saved(term_counts(files), "license-terms"), files.count()
     df = {r["term"]: r["n"] for r in counts.filter(F.col("term").isin(VOCABULARY)).collect()}
     idf = {t: _idf(n_files, df.get(t, 0)) for t in VOCABULARY}
-    norms = [math.sqrt(sum(idf[t] ** 2 for t in terms_of(text))) for text in TEMPLATES.values()]
-    held = [set(terms_of(text)) for text in TEMPLATES.values()]
+    norms = [math.sqrt(sum(idf[t] ** 2 for t in terms_of(text))) for _, text in KNOWN]
+    held = [set(terms_of(text)) for _, text in KNOWN]
     table = spark.createDataFrame(
         [(t, [idf[t] ** 2 / norm if t in own else 0.0 for own, norm in zip(held, norms)]) for t in VOCABULARY],
         "term string, weights array<double>")
-    cue = "(?i)\\b(" + "|".join(CUES) + ")\\b"
-    cued = files.filter(F.col("text").rlike(cue)).withColumn("unit_row", F.monotonically_increasing_id())
+    cued = files.filter(F.col("text").rlike(WIDE_CUE)).withColumn("unit_row", F.monotonically_increasing_id())
     cued = saved(cued, "license-files")
-    lines = cued.select("unit_row", F.posexplode(F.split("text", "\n")).alias("n", "line"))
     units = cued.select("unit_row", F.lit(-1).alias("n"), _terms(F.col("text")).alias("terms")).unionByName(
-        lines.filter(F.col("line").rlike(cue)).select("unit_row", "n", _terms(F.col("line")).alias("terms")))
+        cued.select("unit_row", F.posexplode(_headers(F.col("text"))).alias("n", "part"))
+        .select("unit_row", "n", _terms(F.col("part")).alias("terms")))
     square = F.pow(F.log((1 + F.lit(n_files)) / (1 + F.coalesce("n_files", F.lit(1)))) + 1, F.lit(2.0))
     # the table of weights has one row per template term: its size is fixed above
     dots = (units.select("unit_row", "n", F.explode("terms").alias("term"))
@@ -110,10 +128,10 @@ def unit_scores(files: DataFrame) -> DataFrame:
             .join(F.broadcast(table), "term", "left")
             .groupBy("unit_row", "n").agg(
                 F.sqrt(F.sum(square)).alias("norm"),
-                *[F.sum(F.col("weights")[k]).alias(f"dot{k}") for k in range(len(TEMPLATES))]))
+                *[F.sum(F.col("weights")[k]).alias(f"dot{k}") for k in range(len(KNOWN))]))
     # a dot is null where no term of the unit is a template's
     best = F.array_min(F.array(*[F.struct((-F.round(F.col(f"dot{k}") / F.col("norm"), 9)).alias("far"),
-                                          F.lit(name).alias("license")) for k, name in enumerate(TEMPLATES)]))
+                                          F.lit(name).alias("license")) for k, (name, _) in enumerate(KNOWN)]))
     kind = F.when(F.col("n") < 0, "file").otherwise("header").alias("kind")
     return (dots.filter("dot0 is not null").select("unit_row", kind, best.alias("b"))
             .groupBy("unit_row", "kind").agg(F.min("b").alias("b"))
