@@ -54,5 +54,79 @@ FROM f
 """
 
 
+def filter_audit() -> str:
+    """Every document is followed through every order by the letters it fails."""
+    earlier = "length(translate(substr(o, 1, s - 1), fails, '')) < s - 1"
+    here = "contains(fails, substr(o, s, 1))"
+    return f"""
+WITH f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f),
+orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS o FROM f a, f b, f c, f d, f e
+  WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), t AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM t
+), judged AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), failing AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN judged USING (doc_id)
+), cells AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM failing GROUP BY ALL
+), steps AS (
+  SELECT part, o, s, substr(o, s, 1) AS f,
+         sum(n) FILTER (length(translate(substr(o, 1, s), fails, '')) = s) AS kept,
+         sum(n) FILTER ({here} AND NOT {earlier}) AS removed,
+         sum(n) FILTER ({here} AND {earlier}) AS redundant,
+         sum(n) FILTER (fails = substr(o, s, 1)) AS alone,
+         sum(good) FILTER ({here} AND NOT {earlier}) AS good_lost,
+         sum(toxic) FILTER ({here} AND NOT {earlier}) AS toxic_lost
+  FROM cells, orders, generate_series(1, 5) AS g(s) GROUP BY part, o, s
+)
+SELECT part, o AS filter_order, s::INT AS step, coalesce(kept, 0)::BIGINT AS kept,
+       coalesce(removed, 0)::BIGINT AS removed, coalesce(redundant, 0)::BIGINT AS redundant,
+       coalesce(alone, 0)::BIGINT AS unique_fails, coalesce(good_lost, 0)::BIGINT AS good_lost,
+       coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM steps
+"""
+
+
+def fill_in_middle() -> str:
+    part = "array_to_string(u[{}], '')"
+    return f"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || doc_id) AS h FROM documents
+), u AS (
+  SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         ('0x' || substr(h, 1, 8))::BIGINT AS h1, ('0x' || substr(h, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(h, 17, 8))::BIGINT AS h3, ('0x' || substr(h, 25, 8))::BIGINT AS h4
+  FROM t
+), c AS (
+  SELECT *, len(u) AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+         greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 50
+              THEN 'plain' WHEN h4 % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM u
+), p AS (
+  SELECT *, {part.format('1:a')} AS p, {part.format('a + 1:b')} AS m, {part.format('b + 1:')} AS s FROM c
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+
 def statements() -> dict[str, str]:
-    return {"op5_quality_rules": quality_rules()}
+    return {"op5_quality_rules": quality_rules(), "op12_filter_audit": filter_audit(),
+            "op13_fill_in_middle": fill_in_middle()}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonalyze.llm import decontam, langid, licenses, line_dedup, minhash_forest, packing, quality_cnn, quality_rules, sharding, toxicity
+from tonalyze.llm import decontam, filter_audit, fim, langid, licenses, line_dedup, minhash_forest, packing, quality_cnn, quality_rules, sharding, toxicity
 from tonalyze.llm.common import held_out, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,14 @@ def op10_histogram_shards(spark, sf_dir):
         F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op12_filter_audit(spark, sf_dir):
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_fill_in_middle(spark, sf_dir):
+    return fim.digests(fim.transform(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, QueryFn] = {
     "op1_byte_cnn_quality": op1_byte_cnn_quality,
     "op2_license_inheritance": op2_license_inheritance,
@@ -86,4 +94,6 @@ QUERIES: dict[str, QueryFn] = {
     "op8_segmentation_langid": op8_segmentation_langid,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_histogram_shards": op10_histogram_shards,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_fill_in_middle": op13_fill_in_middle,
 }
