@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonalyze.llm import decontam, filter_audit, fim, langid, licenses, line_dedup, minhash_forest, packing, quality_cnn, quality_rules, sharding, toxicity
+from tonalyze.llm import decontam, filter_audit, fim, langid, licenses, line_dedup, minhash_forest, packing, quality_cnn, quality_rules, sharding, suffix_dedup, toxicity
 from tonalyze.llm.common import held_out, table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -75,6 +75,11 @@ def op10_histogram_shards(spark, sf_dir):
         F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_suffix_dedup(spark, sf_dir):
+    done = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return done.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_filter_audit(spark, sf_dir):
     return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -94,6 +99,7 @@ QUERIES: dict[str, QueryFn] = {
     "op8_segmentation_langid": op8_segmentation_langid,
     "op9_fm_decontamination": op9_fm_decontamination,
     "op10_histogram_shards": op10_histogram_shards,
+    "op11_suffix_dedup": op11_suffix_dedup,
     "op12_filter_audit": op12_filter_audit,
     "op13_fill_in_middle": op13_fill_in_middle,
 }
