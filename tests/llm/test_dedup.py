@@ -7,6 +7,7 @@ import edge
 import numpy as np
 
 from tonalyze.llm import decontam, graph, line_dedup, minhash_forest
+from tonalyze.llm import words as W
 from tonalyze.llm.common import table
 from tonalyze.llm.fm_index import FMIndex
 
@@ -17,7 +18,10 @@ def shingle_set(text):
 
 
 def brute_components(docs):
-    sets = {i: shingle_set(t) for i, t in docs}
+    """id -> (n_shingles, component); an id may have several texts."""
+    sets = collections.defaultdict(set)
+    for i, t in docs:
+        sets[i].add(shingle_set(t))
     parent = {i: i for i in sets}
 
     def find(x):
@@ -25,17 +29,17 @@ def brute_components(docs):
             x = parent[x]
         return x
 
-    ids = [i for i in sorted(sets) if sets[i]]
-    for k, a in enumerate(ids):
-        for b in ids[k + 1:]:
-            small, large = sorted((len(sets[a]), len(sets[b])))
+    nodes = [(i, s) for i in sorted(sets) for s in sets[i] if s]
+    for k, (a, x) in enumerate(nodes):
+        for b, y in nodes[k + 1:]:
+            small, large = sorted((len(x), len(y)))
             if 100 * small < 85 * large:
                 continue
-            common = len(sets[a] & sets[b])
-            if 100 * common >= 85 * (len(sets[a]) + len(sets[b]) - common):
-                x, y = find(a), find(b)
-                parent[max(x, y)] = min(x, y)
-    return {i: (len(sets[i]), find(i)) for i in sets}
+            common = len(x & y)
+            if 100 * common >= 85 * (len(x) + len(y) - common):
+                u, v = find(a), find(b)
+                parent[max(u, v)] = min(u, v)
+    return {i: (max(map(len, sets[i])), find(i)) for i in sets}
 
 
 def check_components(docs_frame, params=minhash_forest.ForestParams()):
@@ -74,6 +78,22 @@ def test_regions_over_the_bound_lose_no_link(spark):
                      minhash_forest.ForestParams(region_rows=10))
 
 
+def test_rows_of_one_id_are_one_document(spark):
+    a, b = edge.passage(1, 40), edge.passage(2, 40)
+    rows = [(3, a), (7, a), (7, b), (9, b), (11, edge.passage(3, 40)), (11, edge.passage(4, 40)), (12, edge.passage(4, 40))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_components(docs)
+    got = {(r.doc_id, r.component_id, r.kept) for r in minhash_forest.near_duplicates(docs).collect()}
+    assert got == {(3, 3, True), (7, 3, False), (9, 3, False), (11, 11, True), (12, 11, False)}
+
+
+def test_chunks_by_bytes_lose_no_link(spark):
+    base = edge.passage(1, 300).split()
+    rows = [(i, " ".join([*base[:i], f"w{i}", *base[i + 1:]])) for i in range(60)]
+    check_components(spark.createDataFrame(rows, "doc_id long, text string"),
+                     minhash_forest.ForestParams(region_bytes=20_000))
+
+
 def test_signature_agreement_estimates_similarity():
     a, b = (minhash_forest.W._random64(200, s) for s in (101, 202))
     rng = np.random.default_rng(1)
@@ -91,40 +111,117 @@ def test_components_of_chains_and_hubs(spark):
     assert got == {**{i: 0 for i in range(61)}, **{100 + i: 100 for i in range(50)}, 250: 250, 300: 250}
 
 
+def word_hash(word):
+    raw = np.frombuffer(word.encode(), np.uint8)
+    return W.split(raw, np.array([0, len(raw)]), W.PUNCTUATION).hash[0]
+
+
+def brute_units(text, p=line_dedup.LineParams()):
+    """{(start, end, cut, words)} of a text's units."""
+    out, lines, at = set(), [], 0
+    for line in text.split("\n"):
+        lines.append((at, at + len(line), edge.ALNUM.findall(edge.lower(line))))
+        at += len(line) + 1
+    for k, (start, end, own) in enumerate(lines):
+        if len(own) >= p.min_words:
+            out.add((start, end, end + 1, tuple(own)))
+        elif own:
+            for step in (1, -1):
+                j, n = k, len(own)
+                while n < p.min_words and 0 <= j + step < len(lines):
+                    j += step
+                    n += len(lines[j][2])
+                if n >= p.min_words:
+                    a, b = min(j, k), max(j, k)
+                    out.add((lines[a][0], lines[b][1], lines[b][1] + 1, tuple(w for x in lines[a:b + 1] for w in x[2])))
+    found = list(edge.ALNUM.finditer(edge.lower(text)))
+    words = [m.group() for m in found]
+    hashes = np.array([word_hash(w) for w in words], np.uint64)
+    pairs = [int(W.mix(hashes[k:k + 1] ^ (W.mix(hashes[k + 1:k + 2]) * W.MULTIPLIER))[0]) >> 24 for k in range(len(words) - 1)]
+    bounds = sorted({min(range(k, k + p.spread), key=lambda j: (pairs[j], j)) for k in range(len(pairs) - p.spread + 1)})
+    reach = {}
+    for b in bounds:
+        to = next((c for c in bounds if c >= b + p.phrase_words), None)
+        if to is not None and b >= reach.get(tuple(words[b:to]), 0):
+            reach[tuple(words[b:to])] = to
+            end = found[to - 1].end()
+            out.add((found[b].start(), end, end + (text[end:end + 1] in ("\t", " ") and end < len(text)), tuple(words[b:to])))
+    return out
+
+
 def brute_lines(docs):
-    first, out = {}, collections.defaultdict(list)
+    """id -> removed spans (start, end, cut, kept id, kept start), from
+    (id, text) in rank order, one text an id."""
+    first, mine = {}, {}
+    places = collections.defaultdict(list)
     for i, text in docs:
-        at = 0
-        for line in text.split("\n"):
-            key = tuple(edge.ALNUM.findall(edge.lower(line)))
-            if len(key) >= line_dedup.MIN_WORDS:
-                if key in first:
-                    out[i].append((at, at + len(line), *first[key]))
-                else:
-                    first[key] = (i, at)
-            at += len(line) + 1
+        mine[i] = brute_units(text or "")
+        for start, end, _, own in sorted(mine[i]):
+            places[own].append((i, start, end))
+    stays = collections.defaultdict(list)
+    for own, at in places.items():
+        first[own] = at[0]
+        if len(at) > 1:
+            stays[at[0][0]].append(at[0][1:])
+    out = collections.defaultdict(list)
+    for i in mine:
+        for start, end, cut, own in mine[i]:
+            if first[own] != (i, start, end) and not any(a < end and start < b for a, b in stays[i]):
+                out[i].append((start, end, cut, *first[own][:2]))
     return out
 
 
-def test_lines_equal_brute_force(spark, sf_small):
-    docs = table(spark, sf_small, "documents")
-    texts = sorted((r.doc_id, r.text) for r in docs.collect())
+def brute_cut(text, spans):
+    gone = set()
+    for start, _, cut, *_ in spans:
+        gone.update(range(start, cut))
+    return "".join(c for k, c in enumerate(text) if k not in gone)
+
+
+def check_lines(docs):
+    texts = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda x: (x[0] is not None, x[0] or 0))
     want = brute_lines(texts)
     got = collections.defaultdict(list)
     for r in line_dedup.repeats(docs).collect():
-        got[r.doc_id].append((r.start, r.end, r.kept_doc_id, r.kept_start))
-    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()} and want
+        got[r.doc_id].append((r.start, r.end, r.cut, r.kept_doc_id, r.kept_start))
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items() if v} and got
+    # what a span points to is left whole
+    cuts = {(i, k) for i in want for start, _, cut, *_ in want[i] for k in range(start, cut)}
+    for i in want:
+        for start, end, _, kept, at in want[i]:
+            assert not any((kept, k) in cuts for k in range(at, at + 1))
     cleaned = {r.doc_id: r.text for r in line_dedup.remove_repeats(docs).collect()}
     for i, text in texts:
-        for start, end, *_ in sorted(want.get(i, []), reverse=True):
-            text = text[:start] + text[end + 1:]
-        assert cleaned[i] == text
+        assert cleaned[i] == (text and brute_cut(text, want.get(i, []))), i
+
+
+def test_lines_equal_brute_force(spark, sf_small):
+    check_lines(table(spark, sf_small, "documents"))
+
+
+def test_overlapping_units_leave_what_they_point_to(spark):
+    a, b, c, z = (edge.passage(k, 8) for k in (40, 41, 42, 43))
+    rows = [(1, f"{a}\n{b}"), (2, f"{a}\n{b}\n{c}"), (3, f"{z}\n{b}\n{c}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_lines(docs)
+    left = {r.doc_id: r.text for r in line_dedup.remove_repeats(docs).collect()}
+    assert left == {1: rows[0][1], 2: rows[1][1], 3: f"{z}\n"}
+
+
+def test_passages_inside_lines_are_repeats(spark):
+    shared = [edge.passage(500 + k, 55) for k in range(20)]
+    rows = [(i, f"{edge.passage(600 + i, 17 + i % 9)} {shared[i % 20]} {edge.passage(700 + i, 15 + i % 7)}") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_lines(docs)
+    assert {r.doc_id for r in line_dedup.repeats(docs).collect()} == set(range(20, 60))
 
 
 def test_lines_of_odd_rows(spark):
+    rows = [r for k, r in enumerate(edge.texts()) if r not in edge.texts()[:k] and r != (None, None)]
+    check_lines(edge.frame(spark, rows))
     docs = edge.frame(spark)
     found = {(r.doc_id, r.kept_doc_id) for r in line_dedup.repeats(docs).collect()}
-    assert found == {(1, 0), (3, 0), (14, 13)}      # repeated rows of id 15 rank alike
+    assert found == {(1, 0), (2, 0), (3, 0), (14, 13)}      # repeated rows of id 15 rank alike
     done = line_dedup.remove_repeats(docs)
     assert done.columns == docs.columns and done.count() == docs.count()
     assert {r.text for r in done.filter("doc_id = 15").collect()} == {dict(edge.texts())[15]}
@@ -144,9 +241,9 @@ def test_passages_of_short_lines_are_repeats(spark):
             (4, "\n".join(["la la la"] * 11)), (5, "\n".join(lines_of(29, [6, 6]) + rest[4])),
             (6, "\n".join(lines_of(29, [6, 6]) + rest[0][:1] + rest[1][:1]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    left = {r.doc_id: r.text for r in line_dedup.remove_repeats(docs, blocks=True).collect()}
+    left = {r.doc_id: r.text for r in line_dedup.remove_repeats(docs).collect()}
     assert left == dict(rows) | {1: put(1, []), 3: put(3, []), 4: "la la la\n" * 5}
-    found = line_dedup.repeats(docs, blocks=True)
+    found = line_dedup.repeats(docs)
     assert {(r.doc_id, r.kept_doc_id) for r in found.collect()} == {(1, 0), (3, 2), (4, 4)}
 
 

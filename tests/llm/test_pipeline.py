@@ -10,7 +10,7 @@ sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import corpus_pipeline  # noqa: E402
-from test_dedup import brute_components, brute_hits, brute_lines  # noqa: E402
+from test_dedup import brute_components, brute_cut, brute_hits, brute_lines  # noqa: E402
 from test_packing import check_pieces  # noqa: E402
 
 from tonalyze.llm import quality_rules  # noqa: E402
@@ -41,8 +41,7 @@ def walk(spark, docs, sf_dir, items):
     cuts = brute_lines(ordered)
     want = {}
     for i, text in ordered:
-        for start, end, *_ in sorted(cuts.get(i, []), reverse=True):
-            text = text[:start] + text[end + 1:]
+        text = text and brute_cut(text, cuts.get(i, []))
         if edge.ALNUM.search(edge.lower(text)):
             want[(i, text)] = len(text)
     assert {k: r.n_chars for k, r in texts(lined).items()} == want

@@ -3,7 +3,8 @@
 Each partition first contracts its own links with a union-find (what leaves
 it are stars around its local roots); then large-star / small-star rounds
 join the stars until no link changes.  A hub with many links is never
-gathered in one place: its minimum is aggregated map-side and joined back.
+gathered in one place: its minimum is aggregated map-side, written, and joined
+back, so that Spark can split the hub's side of the join over tasks.
 """
 
 from __future__ import annotations
@@ -63,14 +64,14 @@ def components(links: DataFrame) -> DataFrame:
                 edges.select(F.col("a").alias("node"), F.col("a").alias("component")).distinct())
         state = now
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+        least = saved(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")), "links-least")
         large = (both.filter("b > a").join(least, "a")
                  .select(F.col("m").alias("a"), "b").filter("a < b").distinct())
         # the star's own centre keeps its link to the minimum
         large = large.unionByName(least.select(F.col("m").alias("a"), F.col("a").alias("b"))
                                   .filter("a < b")).distinct()
         large = saved(large, "links-large")
-        down = large.groupBy("b").agg(F.min("a").alias("m"))
+        down = saved(large.groupBy("b").agg(F.min("a").alias("m")), "links-down")
         small = (large.join(down, "b").select(F.col("m").alias("x"), F.col("a").alias("y"))
                  .unionByName(down.select(F.col("m").alias("x"), F.col("b").alias("y")))
                  .filter("x < y").distinct())

@@ -8,18 +8,20 @@ holds more than ``region_rows`` documents is read at the next depth, so that
 dense parts of an order ask for a longer common prefix.  All documents of a
 region are compared by their sketches (a byte of every minhash) inside one
 task, which emits the edges of a maximum spanning forest only; these are
-confirmed on the full sets.  A second round compares the full sets of every
-pair of a region that is still in different components and similar by
-sketch, each pair in the first tree that holds it in one region, inside the
-region's task: what leaves it are links that join components, never pairs.
+confirmed on the full sets.  The forest grows one document at a time and no
+pair is kept, so a task's memory follows the region's documents.  A second
+round compares the full sets of every pair of a region that is still in
+different components and similar by sketch, each pair in the first tree that
+holds it in one region, inside the region's task: what leaves it are links
+that join components, never pairs.
 
-A region that is too large even at the last depth is dealt into chunks.
-Each chunk also holds the region's best-linked document, and rounds with
-other deals follow until one brings no new link.
+A region that has too many documents even at the last depth, or sets of too
+many bytes, is dealt into chunks, and a task is one pair of chunks: every
+pair of documents of the region meets in exactly one of them.
 
-Documents of equal sets are one node from the start.  Links, components and
-sketches never leave the executors; every round is written to the shared
-folder.
+Documents of equal sets are one node from the start, and so are the rows of
+one id.  Links, components and sketches never leave the executors; every
+round is written to the shared folder.
 
 At 85 % similarity a pair is missed by all of 20 trees at depth 5 with a
 chance of 8e-6; the sketch (200 values, threshold 0.75) drops 4e-5.
@@ -55,6 +57,7 @@ class ForestParams:
     trees: int = 20
     depths: tuple[int, ...] = (5, 8, 10)
     region_rows: int = 2000
+    region_bytes: int = 32_000_000  # of the full sets of a region or chunk
     sketch_similarity: float = 0.75
     broadcast_ids: int = 4_000_000  # candidates up to this many are broadcast (8 bytes each)
 
@@ -80,7 +83,7 @@ def _signature(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
 def _signatures(batches: Iterator[pa.RecordBatch], p: ForestParams) -> Iterator[pa.RecordBatch]:
     a, b = W._random64(p.hashes, 101), W._random64(p.hashes, 202)
     for whole in batches:
-        for batch in slices(whole):
+        for batch in slices(whole, max_bytes=1_000_000):
             words = W.split(*utf8(field(batch, "text")), W.SPACES)
             n, set_a, set_b, signs = [], [], [], []
             for r in range(batch.num_rows):
@@ -99,7 +102,7 @@ def _signatures(batches: Iterator[pa.RecordBatch], p: ForestParams) -> Iterator[
 def _orders(batches: Iterator[pa.RecordBatch], p: ForestParams) -> Iterator[pa.RecordBatch]:
     """One row per tree: a key of the order's first values at each depth."""
     k = p.depths[-1]
-    names = ["doc_id", "tree", *(f"key{d}" for d in p.depths)]
+    names = ["doc_id", "n_shingles", "tree", *(f"key{d}" for d in p.depths)]
     for batch in batches:
         signs = np.frombuffer(b"".join(field(batch, "signature").to_pylist()), "<u4").reshape(
             -1, p.trees, k).astype(np.uint64)
@@ -110,9 +113,9 @@ def _orders(batches: Iterator[pa.RecordBatch], p: ForestParams) -> Iterator[pa.R
             key = W.mix(key ^ (signs[:, :, d] + np.uint64(d + 1)))
             if d + 1 in p.depths:
                 keys.append(key.reshape(-1).view(np.int64))
-        ids = np.repeat(field(batch, "doc_id").to_numpy(zero_copy_only=False), p.trees)
+        ids, sizes = (np.repeat(field(batch, c).to_numpy(zero_copy_only=False), p.trees) for c in names[:2])
         trees = np.tile(np.arange(p.trees, dtype=np.int32), batch.num_rows)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, trees, *keys)], names=names)
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, sizes, trees, *keys)], names=names)
 
 
 def _regions(rows: DataFrame, p: ForestParams) -> DataFrame:
@@ -121,10 +124,12 @@ def _regions(rows: DataFrame, p: ForestParams) -> DataFrame:
     done, at = [], rows
     for depth in p.depths:
         key, last = f"key{depth}", depth == p.depths[-1]
-        counts = saved(at.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "forest-counts")
+        counts = saved(at.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("size"))
+                       .filter("n > 1"), "forest-counts")
         fit = counts if last else counts.filter(F.col("n") <= p.region_rows)
+        chunks = F.greatest(F.ceil(F.col("n") / p.region_rows), F.ceil(8 * F.col("size") / p.region_bytes))
         done.append(at.join(fit, key).select("doc_id", "tree", F.col(key).alias("region"),
-                                             F.ceil(F.col("n") / p.region_rows).cast("int").alias("chunks")))
+                                             chunks.cast("int").alias("chunks")))
         dense = counts.filter(F.col("n") > p.region_rows)
         if last or dense.isEmpty():
             break
@@ -143,7 +148,7 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]
         if not batch.num_rows:
             continue
         now = {c: field(batch, c).to_numpy(zero_copy_only=False)
-               for c in ("region", "chunk", "doc_id", "component")}
+               for c in ("region", "chunk", "part", "doc_id", "component")}
         for name, kind in (("sketch", np.uint8), ("places", "<i8")):
             now[name] = np.frombuffer(b"".join(field(batch, name).to_pylist()), kind).reshape(batch.num_rows, -1)
         now["tree"] = field(batch, "tree").to_numpy(zero_copy_only=False)
@@ -166,26 +171,47 @@ def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]
         yield held
 
 
-def _similar(group: dict[str, np.ndarray], least: float, once: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs (i < j) of different components whose sketches agree in a share
-    of at least ``least``; ``once``: only in the first tree that has both in
-    one place."""
-    sketch, component, places = group["sketch"], group["component"], group["places"]
-    tree = int(group["tree"][0])
-    left, right, share = [], [], []
+def _spanning(group: dict[str, np.ndarray], least: float) -> tuple[list[int], list[int]]:
+    """Edges of the maximum spanning forest by sketch: the tree takes in the
+    document nearest to it, one at a time."""
+    sketch, part = group["sketch"], group["part"]
+    need, two = int(np.ceil(least * sketch.shape[1])), (part != part[0]).any()
+    best, parent = np.full(len(sketch), -1), np.zeros(len(sketch), np.int64)
+    rest, at, left, right = np.arange(1, len(sketch)), 0, [], []
+    while len(rest):
+        same = np.count_nonzero(sketch[rest] == sketch[at], axis=1)
+        if two:
+            same[part[rest] == part[at]] = -1
+        nearer = rest[same > best[rest]]
+        best[nearer], parent[nearer] = same[same > best[rest]], at
+        k = int(best[rest].argmax())
+        at = int(rest[k])
+        if best[at] >= need:
+            left.append(int(parent[at]))
+            right.append(at)
+        rest = np.delete(rest, k)
+    return left, right
+
+
+def _similar(group: dict[str, np.ndarray], least: float) -> Iterator[tuple[int, np.ndarray]]:
+    """(i, all j > i) of pairs of different components whose sketches agree in a
+    share of at least ``least``, in the first tree that has both in one place.
+    A task of two chunks pairs documents of both."""
+    sketch, component, places, part = group["sketch"], group["component"], group["places"], group["part"]
+    tree, two = int(group["tree"][0]), (part != part[0]).any()
     need = int(np.ceil(least * sketch.shape[1]))
     if (component == component[0]).all():
-        return (np.empty(0, np.int64),) * 3
+        return
     for i in range(len(sketch) - 1):
-        j = np.flatnonzero(component[i + 1:] != component[i]) + i + 1
-        if once and tree and len(j):
+        other = component[i + 1:] != component[i]
+        if two:
+            other &= part[i + 1:] != part[i]
+        j = np.flatnonzero(other) + i + 1
+        if tree and len(j):
             j = j[~(places[j, :tree] == places[i, :tree]).any(axis=1)]
-        same = np.count_nonzero(sketch[j] == sketch[i], axis=1)
-        j, same = j[same >= need], same[same >= need]
-        left.append(np.full(len(j), i))
-        right.append(j)
-        share.append(same)
-    return np.concatenate(left), np.concatenate(right), np.concatenate(share)
+        j = j[np.count_nonzero(sketch[j] == sketch[i], axis=1) >= need]
+        if len(j):
+            yield i, j
 
 
 def _pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
@@ -196,56 +222,42 @@ def _pairs(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
 
 def _forest(batches: Iterator[pa.RecordBatch], p: ForestParams) -> Iterator[pa.RecordBatch]:
     """Edges of each region's maximum spanning forest by sketch, to confirm."""
-    a, b = [], []
     for group in _groups(batches):
-        i, j, share = _similar(group, p.sketch_similarity, False)
-        sets, kept = UnionFind(), []
-        for k in np.argsort(-share, kind="stable").tolist():
-            if sets.union(int(i[k]), int(j[k])):
-                kept.append(k)
-        if kept:
-            a.append(group["doc_id"][i[kept]])
-            b.append(group["doc_id"][j[kept]])
-        if len(a) > 2000:
-            yield _pairs(a, b)
-            a, b = [], []
-    yield _pairs(a, b)
+        i, j = _spanning(group, p.sketch_similarity)
+        if i:
+            yield _pairs([group["doc_id"][i]], [group["doc_id"][j]])
 
 
 def _open(batches: Iterator[pa.RecordBatch], p: ForestParams) -> Iterator[pa.RecordBatch]:
-    """Rows (region, chunk, tree, doc_id) that have a pair left to compare."""
+    """Rows (region, chunk, part, tree, doc_id) that have a pair left to compare."""
+    names = ["region", "chunk", "part", "tree", "doc_id"]
     for group in _groups(batches):
-        i, j, _ = _similar(group, p.sketch_similarity, True)
-        at = np.unique(np.concatenate([i, j]))
-        if len(at):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(group[c][at]) for c in ("region", "chunk", "tree", "doc_id")],
-                names=["region", "chunk", "tree", "doc_id"])
+        found = np.zeros(len(group["doc_id"]), bool)
+        for i, j in _similar(group, p.sketch_similarity):
+            found[i] = True
+            found[j] = True
+        if found.any():
+            yield pa.RecordBatch.from_arrays([pa.array(group[c][found]) for c in names], names=names)
 
 
 def _links(batches: Iterator[pa.RecordBatch], p: ForestParams) -> Iterator[pa.RecordBatch]:
     """Links between components of a region, by its documents' full sets.  A
     pair whose components are joined by then is not compared."""
     for group in _groups(batches):
-        i, j, _ = _similar(group, p.sketch_similarity, True)
         sets, shingled = UnionFind(), group["shingles"]
         component, a, b = group["component"].tolist(), [], []
-        for first in np.unique(i).tolist():
-            others = [k for k in j[i == first].tolist()
-                      if sets.find(component[k]) != sets.find(component[first])]
-            if not others:
-                continue
+        for first, j in _similar(group, p.sketch_similarity):
             own = shingled[first]
-            sizes = np.array([len(shingled[k]) for k in others])
-            every = np.concatenate([shingled[k] for k in others])
-            at = np.minimum(np.searchsorted(own, every), len(own) - 1)
-            common = np.add.reduceat((own[at] == every).astype(np.int64),
-                                     np.concatenate([[0], np.cumsum(sizes)[:-1]]))
-            linked = 100 * common >= p.percent * (len(own) + sizes - common)
-            for k in np.flatnonzero(linked).tolist():
-                if sets.union(component[first], component[others[k]]):
+            for k in j.tolist():
+                if sets.find(component[k]) == sets.find(component[first]):
+                    continue
+                other = shingled[k]
+                at = np.minimum(np.searchsorted(own, other), len(own) - 1)
+                common = int(np.count_nonzero(own[at] == other))
+                if 100 * common >= p.percent * (len(own) + len(other) - common):
+                    sets.union(component[first], component[k])
                     a.append(group["doc_id"][[first]])
-                    b.append(group["doc_id"][[others[k]]])
+                    b.append(group["doc_id"][[k]])
         if a:
             yield _pairs(a, b)
 
@@ -278,28 +290,27 @@ def _confirm(pairs: DataFrame, docs: DataFrame, p: ForestParams) -> DataFrame:
             .filter(100 * F.col("c") >= p.percent * (F.col("n") - F.col("c"))).select("a", "b").distinct())
 
 
-def _chunked(regions: DataFrame, deal: int, hubs: DataFrame | None) -> DataFrame:
-    """Rows of all regions, large ones dealt into chunks, each with its hub."""
-    rows = regions.select("region", F.pmod(F.xxhash64("doc_id", "tree", F.lit(deal)), F.col("chunks").cast("long"))
-                          .cast("int").alias("chunk"), "tree", "doc_id")
-    if hubs is None:
-        return rows
-    return rows.unionByName(hubs.select(
-        "region", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "tree", "doc_id")).distinct()
+def _chunked(regions: DataFrame) -> DataFrame:
+    """Rows of all regions; one of a region of several chunks goes to every pair
+    of chunks with its own (``part``)."""
+    chunks = F.col("chunks").cast("long")
+    own = F.pmod(F.xxhash64("doc_id", "region"), chunks)
+    each = regions.select("region", "tree", "doc_id", "chunks", own.alias("part"),
+                          F.explode(F.sequence(F.lit(0).cast("long"), chunks - 1)).alias("other"))
+    pair = F.least("part", "other") * chunks + F.greatest("part", "other")
+    return each.select("region", pair.alias("chunk"), "part", "tree", "doc_id")
 
 
 def _dealt(rows: DataFrame) -> DataFrame:
     return rows.repartition("region", "chunk").sortWithinPartitions("region", "chunk", "doc_id")
 
 
-def _hubs(regions: DataFrame, links: DataFrame) -> DataFrame:
-    """Of each region over the bound, the document with most links."""
-    large = regions.filter("chunks > 1")
-    degree = (links.select(F.col("a").alias("doc_id")).unionByName(links.select(F.col("b").alias("doc_id")))
-              .groupBy("doc_id").agg(F.count(F.lit(1)).alias("degree")))
-    return (large.join(degree, "doc_id")
-            .groupBy("region", "tree").agg(F.max_by("doc_id", F.struct(F.col("degree"), -F.col("doc_id"))).alias("doc_id"),
-                                           F.max("chunks").alias("chunks")))
+def _same_id(shingled: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the nodes of all sets of an id that has several."""
+    several = (shingled.select("doc_id", "set_a", "set_b").distinct().groupBy("doc_id")
+               .agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1").select("doc_id"))
+    rows = shingled.join(several, "doc_id", "left_semi").join(classes, ["set_a", "set_b"]).filter("doc_id != node")
+    return rows.select(F.least("doc_id", "node").alias("a"), F.greatest("doc_id", "node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, params: ForestParams = ForestParams(),
@@ -316,39 +327,27 @@ def near_duplicates(docs: DataFrame, params: ForestParams = ForestParams(),
     nodes = signed.filter("n_shingles > 0").join(
         classes.withColumnRenamed("node", "doc_id"), ["doc_id", "set_a", "set_b"], "left_semi").dropDuplicates(
         ["doc_id", "set_a", "set_b"])
-    orders = map_arrow(nodes.select("doc_id", "signature"), lambda x: _orders(x, p),
-                       "doc_id long, tree int, " + ", ".join(f"key{d} long" for d in p.depths))
+    orders = map_arrow(nodes.select("doc_id", "n_shingles", "signature"), lambda x: _orders(x, p),
+                       "doc_id long, n_shingles long, tree int, " + ", ".join(f"key{d} long" for d in p.depths))
     regions = saved(_regions(saved(orders, "forest-orders"), p), "forest-regions")
     sketched = saved(map_arrow(nodes.select("doc_id", "signature").join(_places(regions, p), "doc_id"),
                                _sketches, "doc_id long, sketch binary, places binary"), "forest-sketches")
-    columns = ["region", "chunk", "tree", "doc_id", "component", "sketch", "places"]
+    columns = ["region", "chunk", "part", "tree", "doc_id", "component", "sketch", "places"]
 
-    alone = sketched.withColumn("component", F.col("doc_id"))
-    rows = _dealt(_chunked(regions, 0, None).join(alone, "doc_id").select(*columns))
+    chunked = _chunked(regions)
+    rows = _dealt(chunked.join(sketched.withColumn("component", F.col("doc_id")), "doc_id").select(*columns))
     tested = saved(map_arrow(rows, lambda x: _forest(x, p), "a long, b long").distinct(), "forest-pairs")
-    links = saved(_confirm(tested, docs, p), "forest-links")
+    links = saved(_confirm(tested, docs, p).unionByName(_same_id(shingled, classes)), "forest-links")
     found = components(links)
-    large = not regions.filter("chunks > 1").isEmpty()
-    deal = 0
-    while True:
-        members = sketched.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-            "component", F.coalesce("component", "doc_id"))
-        rows = _dealt(_chunked(regions, deal, _hubs(regions, links) if large else None)
-                      .join(members, "doc_id").select(*columns))
-        left = saved(map_arrow(rows, lambda x: _open(x, p), "region long, chunk int, tree int, doc_id long"),
-                     "forest-open")
-        if left.isEmpty():
-            break
+    members = sketched.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
+        "component", F.coalesce("component", "doc_id"))
+    left = saved(map_arrow(_dealt(chunked.join(members, "doc_id").select(*columns)), lambda x: _open(x, p),
+                           "region long, chunk long, part long, tree int, doc_id long"), "forest-open")
+    if not left.isEmpty():
         rows = left.join(members, "doc_id").join(_sets_of(left.select("doc_id"), docs, p), "doc_id")
         new = saved(map_arrow(_dealt(rows.select(*columns, "shingles")), lambda x: _links(x, p), "a long, b long")
                     .distinct(), "forest-links")
-        if new.isEmpty():
-            break
-        links = links.unionByName(new)
-        found = components(links)
-        if not large:
-            break
-        deal += 1
+        found = components(links.unionByName(new))
     member = classes.join(found, "node", "left").select(
         "set_a", "set_b", F.coalesce("component", "node").alias("class_component"))
     linked = shingled.join(member, ["set_a", "set_b"]).select(

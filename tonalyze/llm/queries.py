@@ -35,7 +35,7 @@ def op3_lsh_forest(spark, sf_dir):
 
 
 def op4_line_dedup(spark, sf_dir):
-    return line_dedup.repeats(table(spark, sf_dir, "documents"), blocks=True).drop("crc")
+    return line_dedup.repeats(table(spark, sf_dir, "documents")).drop("crc", "cut")
 
 
 def op5_quality_rules(spark, sf_dir):

@@ -64,7 +64,7 @@ class SuffixParams:
     width: int = 400               # bytes of a string
     gram: int = 64                 # bytes of an anchor
     block_bytes: int = 1_000_000   # of text hashed at once, at most 8 million
-    shard_bytes: int = 4_000_000   # of a suffix array, or one key if that is more
+    shard_bytes: int = 1_500_000   # of a suffix array, or one key if that is more
     key_segments: int = 1000       # different segments of a key in one shard
     blocks: tuple[int, ...] = (16, 1)
 
