@@ -30,15 +30,26 @@ def quality_rules_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays: the smallest id.  Rows
-    that repeat an id are one document; the first by text stays."""
-    found = minhash_forest.near_duplicates(docs)
-    kept = found.filter("kept").select("doc_id").distinct()
-    stay = docs.alias("d").join(kept.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-    return stay.dropDuplicates(["doc_id", "text"]).select(*docs.columns)
+    that repeat an id are one document; the first by text stays.  Rows without
+    an id are linked with nothing and all stay."""
+    kept = minhash_forest.near_duplicates(docs).filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    kept = saved(kept.select("doc_id", (F.col("doc_id").isNull() | (F.col("rows") == 1)).alias("one")), "pipeline-kept")
+
+    def rows_of(ids: DataFrame) -> DataFrame:
+        return docs.alias("d").join(ids.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
+
+    stay = rows_of(kept.filter("one"))
+    several = kept.filter("not one")
+    if several.isEmpty():
+        return stay
+    order = F.struct(F.coalesce("text", F.lit("")), F.xxhash64(*docs.columns))
+    first = rows_of(several).groupBy("doc_id").agg(
+        F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
+    return stay.unionByName(first)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines seen in an earlier document are cut out."""
+    """Lines and passages seen in an earlier document are cut out."""
     return _with_words(line_dedup.remove_repeats(docs), docs.columns)
 
 
