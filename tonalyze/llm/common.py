@@ -17,6 +17,8 @@ import tonalyze
 from tonalyze.session import work_path
 
 _SHIPPED: set[str] = set()
+#: Tables saved inside each running ``distilled``.
+_OPEN: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,9 +36,28 @@ def saved(df: DataFrame, name: str, partition_by: list[str] | None = None) -> Da
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def distilled(build: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``saved(build())``, without the tables that ``build`` saved on its way:
+    they are deleted once the result is written."""
+    _OPEN.append([])
+    try:
+        result = saved(build(), name)
+    finally:
+        made = _OPEN.pop()
+    if _OPEN:
+        _OPEN[-1].append(made[-1])
+    spark = result.sparkSession
+    for path in made[:-1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return result
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value`` evaluated once, inside one expression."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

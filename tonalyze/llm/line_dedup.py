@@ -49,7 +49,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonalyze.llm import words as W
-from tonalyze.llm.common import cut_spans, field, map_arrow, saved, slices, utf8
+from tonalyze.llm.common import cut_spans, distilled, field, map_arrow, saved, slices, utf8
 
 UNITS = "doc_id long, crc long, start long, end long, cut long, n_words long, high long, low long"
 REPEATS = ("doc_id long, crc long, start long, end long, cut long, n_words long, "
@@ -215,7 +215,15 @@ def repeats(docs: DataFrame, params: LineParams = LineParams(), id_col: str = "d
     characters), cut (the end with its line break or blank), n_words, and the
     occurrence that stays: kept_doc_id, kept_start."""
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = saved(map_arrow(source, lambda x: units(x, params), UNITS), "line-units")
+    return distilled(lambda: _repeats(source, params), "line-repeats")
+
+
+def _repeats(source: DataFrame, params: LineParams) -> DataFrame:
+    # units are cheap to cut and many: they are cut twice, and what moves first
+    # is half a digest each.  Only units whose half recurs are kept
+    every = map_arrow(source, lambda x: units(x, params), UNITS)
+    keys = saved(every.groupBy("high").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("high"), "line-keys")
+    found = saved(every.join(keys, "high", "left_semi"), "line-units")
     place = F.struct("doc_id", "start", "crc", "end")
     first = (found.groupBy("high", "low").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
              .filter("n > 1").drop("n"))

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonalyze.llm import words as W
-from tonalyze.llm.common import field, map_arrow, saved, slices, utf8
+from tonalyze.llm.common import distilled, field, map_arrow, saved, slices, utf8
 from tonalyze.llm.graph import UnionFind, components
 
 
@@ -316,8 +316,11 @@ def _same_id(shingled: DataFrame, classes: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, params: ForestParams = ForestParams(),
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs``."""
-    p = params
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    return distilled(lambda: _near_duplicates(docs, params), "near-duplicates")
+
+
+def _near_duplicates(docs: DataFrame, p: ForestParams) -> DataFrame:
     signed = saved(map_arrow(docs, lambda x: _signatures(x, p),
                              "doc_id long, n_shingles long, set_a long, set_b long, signature binary"),
                    "forest-signatures")

@@ -51,7 +51,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonalyze.llm import words as W
-from tonalyze.llm.common import field, map_arrow, saved, slices, utf8
+from tonalyze.llm.common import distilled, field, map_arrow, saved, slices, utf8
 from tonalyze.llm.suffix_array import permuted_prefixes, suffix_array
 
 SEGMENT = ["key", "digest", "n"]
@@ -309,8 +309,11 @@ def repeated_spans(docs: DataFrame, params: SuffixParams = SuffixParams(), id_co
     """(doc_id, crc, start, n, repeats, first, stop): in the document with that
     id and text hash, the strings that start at start + k * n + [first, stop)
     for each k below repeats occur elsewhere, too."""
-    p = params
     rows = _rows(docs, id_col, text_col)
+    return distilled(lambda: _repeated_spans(rows, params), "suffix-spans")
+
+
+def _repeated_spans(rows: DataFrame, p: SuffixParams) -> DataFrame:
     every = saved(map_arrow(rows, lambda x: _occurrences(x, p),
                             "doc_id long, crc long, start long, n int, anchor int, repeats int, key long, digest long"),
                   "suffix-occurrences")
@@ -361,7 +364,7 @@ def remove_repeats(docs: DataFrame, params: SuffixParams = SuffixParams(), id_co
     """Per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept (the
     bytes that stay, which need not be whole characters) and spans (removed
     byte ranges of the original text)."""
-    found = saved(repeated_spans(docs, params, id_col, text_col), "suffix-spans")
+    found = repeated_spans(docs, params, id_col, text_col)
     cells = found.groupBy("doc_id", "crc").agg(
         F.collect_list(F.struct("start", "n", "repeats", "first", "stop")).alias("cells"))
     rows = _rows(docs, id_col, text_col)
