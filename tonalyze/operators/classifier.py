@@ -143,21 +143,35 @@ def term_counts(tokens: DataFrame, terms: list[str], key: str = "doc_id",
     """(key, term, tf) for the vocabulary terms of each row; map-only.
 
     ``terms`` is the vocabulary, whose size ``vocab_size`` bounds (the model
-    holds it on the driver too).  A row's known tokens are sorted and equal
-    neighbours counted, inside the row: nothing is exploded before it is
-    counted, and nothing is shuffled.
+    holds it on the driver too).  A row is counted by the model's own
+    ``CountVectorizerModel`` (hash lookups in the JVM) and its sparse vector
+    is laid out as rows: nothing is exploded before it is counted, and
+    nothing is shuffled.
     """
     if not terms:
         return tokens.select(key, F.lit("").alias("term"), F.lit(0).cast("long").alias("tf")).limit(0)
-    known = F.array_sort(F.filter(tokens_col, lambda t: t.isin(terms)))
-    first = F.filter(F.transform("_known", lambda t, i: F.struct(t.alias("term"), i.alias("at"))),
-                     lambda x: (x["at"] == 0) | (x["term"] != F.get(F.col("_known"), x["at"] - 1)))
-    counted = F.transform("_first", lambda x, i: F.struct(
-        x["term"].alias("term"),
-        (F.coalesce(F.get(F.col("_first"), i + 1)["at"], F.size("_known")) - x["at"]).cast("long").alias("tf")))
-    rows = (tokens.select(key, known.alias("_known")).withColumn("_first", first)
-            .select(key, F.explode(counted).alias("c")))
-    return rows.select(key, "c.term", "c.tf")
+    counter = CountVectorizerModel.from_vocabulary(terms, inputCol=tokens_col, outputCol=RAW_FEATURES)
+    vector = F.unwrap_udt(F.col(RAW_FEATURES))
+    # an outer explode: see explode_terms
+    cells = (counter.transform(tokens.select(key, tokens_col)).select(key, vector.alias("_v"))
+             .select(key, F.explode_outer(F.arrays_zip("_v.indices", "_v.values")).alias("_c"))
+             .filter(F.col("_c").isNotNull()))
+    names = F.array(*[F.lit(t) for t in terms])
+    return cells.select(key, F.get(names, F.col("_c.indices")).alias("term"),
+                        F.col("_c.values").cast("long").alias("tf"))
+
+
+def term_totals(tokens: DataFrame, *by: str, tokens_col: str = CLEAN_TOKENS) -> DataFrame:
+    """(by, term, total, doc_freq) of all terms in one pass over the tokens.
+
+    A row's tokens are sorted, so a token that differs from its neighbour is
+    the first of its term in that document.
+    """
+    ordered = tokens.select(*by, F.sort_array(tokens_col).alias("_sorted"))
+    each = (ordered.select(*by, "_sorted", F.posexplode_outer("_sorted").alias("_at", "term"))
+            .filter(F.col("term").isNotNull()))
+    fresh = (F.col("_at") == 0) | (F.get(F.col("_sorted"), F.col("_at") - 1) != F.col("term"))
+    return each.groupBy(*by, "term").agg(F.count(F.lit(1)).alias("total"), F.count_if(fresh).alias("doc_freq"))
 
 
 def label_indexer(labelled: DataFrame, label_col: str = "etiqueta") -> StringIndexerModel:
@@ -259,36 +273,43 @@ def label_names(model: PipelineModel) -> list[str]:
     return list(stage(model, IndexToString).getLabels())
 
 
-def idf_table(counts: DataFrame, vocab: DataFrame, n_docs: int) -> DataFrame:
-    """(term_index, term, doc_freq, idf) by aggregation of the term counts
-    (doc_id, term, tf) of ``n_docs`` training documents."""
-    freq = counts.groupBy("term").agg(F.count(F.lit(1)).alias("doc_freq"))
-    found = vocab.join(freq, "term", "left").withColumn("doc_freq", F.coalesce("doc_freq", F.lit(0)))
-    return found.select(F.col("term_index").cast("int").alias("term_index"), "term",
-                        F.col("doc_freq").cast("long").alias("doc_freq"),
-                        F.log((n_docs + 1.0) / (F.col("doc_freq") + 1.0)).alias("idf"))
+def top_terms(totals: DataFrame, vocab_size: int) -> DataFrame:
+    """The first ``vocab_size`` rows of (term, total, ...) in vocabulary order,
+    with their ``term_index``."""
+    keys = (F.col("total").desc(), F.col("term").asc())
+    top = totals.orderBy(*keys).limit(vocab_size)
+    return top.withColumn("term_index", F.row_number().over(Window.orderBy(*keys)) - 1)
+
+
+def idf_table(top: DataFrame, n_docs: int) -> DataFrame:
+    """(term_index, term, doc_freq, idf) of the vocabulary terms of ``n_docs``
+    training documents."""
+    return top.select(F.col("term_index").cast("int").alias("term_index"), "term",
+                      F.col("doc_freq").cast("long").alias("doc_freq"),
+                      F.log((n_docs + 1.0) / (F.col("doc_freq") + 1.0)).alias("idf"))
 
 
-def nb_params_table(counts: DataFrame, idf: DataFrame, classes: DataFrame, names: dict[str, int],
+def nb_params_table(by_class: DataFrame, idf: DataFrame, names: dict[str, int],
                     smoothing: float = SMOOTHING) -> DataFrame:
     """Log prior per class (term null) and log term probability per class and
-    term, by aggregation.
+    term.
 
-    ``counts`` has (doc_id, term, tf), ``classes`` (doc_id, clase) of every
-    training document, ``names`` the documents per class.
+    ``by_class`` has (clase, term, total) of the corpus, ``names`` the
+    documents per class.  A term's IDF is one number, so what a class holds of
+    it is its count times that.
     """
+    spark = by_class.sparkSession
     n, k = sum(names.values()), len(names)
     labels = F.array(*[F.lit(c) for c in sorted(names)])
-    weighted = (counts.join(classes, "doc_id").join(idf.select("term", "idf"), "term")
-                .groupBy("clase", "term").agg(F.sum(F.col("tf") * F.col("idf")).alias("s")))
-    of_class = weighted.groupBy("clase").agg(F.sum("s").alias("s_c"))
+    weighted = by_class.join(idf.select("term", "idf"), "term").select(
+        "clase", "term", (F.col("total") * F.col("idf")).alias("s"))
     # every (class, term) of the vocabulary, those never seen too
-    grid = idf.select("term", F.explode(labels).alias("clase"))
-    v = idf.count()
-    theta = (grid.join(weighted, ["clase", "term"], "left").join(of_class, "clase", "left")
-             .select("clase", "term", (F.log(F.coalesce("s", F.lit(0.0)) + smoothing)
-                                       - F.log(F.coalesce("s_c", F.lit(0.0)) + v * smoothing)).alias("valor")))
-    prior = (classes.groupBy("clase").agg(F.count(F.lit(1)).alias("n_c"))
-             .select("clase", F.lit(None).cast("string").alias("term"),
-                     (F.log(F.col("n_c") + smoothing) - F.log(F.lit(n + k * smoothing))).alias("valor")))
+    grid = (idf.select("term", F.explode(labels).alias("clase")).join(weighted, ["clase", "term"], "left")
+            .withColumn("s", F.coalesce("s", F.lit(0.0))))
+    of_class = grid.groupBy("clase").agg(F.sum("s").alias("s_c"), F.count(F.lit(1)).alias("v"))
+    theta = grid.join(of_class, "clase").select("clase", "term", (
+        F.log(F.col("s") + smoothing) - F.log(F.col("s_c") + F.col("v") * smoothing)).alias("valor"))
+    prior = spark.createDataFrame(sorted(names.items()), "clase string, n_c long").select(
+        "clase", F.lit(None).cast("string").alias("term"),
+        (F.log(F.col("n_c") + smoothing) - F.log(F.lit(n + k * smoothing))).alias("valor"))
     return prior.unionByName(theta)

@@ -12,7 +12,6 @@ from collections import OrderedDict
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import StringIndexerModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,14 +30,11 @@ _MODELS_KEPT = 4
 
 
 def _version(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = ("documents", "labels")) -> tuple:
-    """Files, sizes and change times of the tables, as one number each: a
-    rewritten table has another.  Reads no column."""
-    found = []
-    for name in names:
-        files = T.table(spark, sf_dir, name).select(
-            "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-        found.append(files.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first())
-    return tuple(map(tuple, found))
+    """Files, sizes and change times of the tables, as one number: a rewritten
+    table has another.  A listing of the files; none is opened."""
+    files = spark.read.format("binaryFile").load([f"{sf_dir.rstrip('/')}/{name}.parquet" for name in names])
+    listed = files.select("path", "length", "modificationTime")
+    return tuple(listed.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*listed.columns).cast("decimal(38,0)"))).first())
 
 
 def trained_model(spark: SparkSession, sf_dir: str,
@@ -192,9 +188,8 @@ def unified_predictions(spark, sf_dir):
 # -- step 5 ---------------------------------------------------------------
 
 def label_index(spark, sf_dir):
-    indexer = clf.stage(trained_model(spark, sf_dir), StringIndexerModel)
     corpus = T.labelled_corpus(spark, sf_dir, spread_rows=False)
-    return indexer.transform(corpus).select("doc_id", "etiqueta", "label")
+    return clf.label_indexer(corpus).transform(corpus).select("doc_id", "etiqueta", "label")
 
 
 def tokens(spark, sf_dir):
@@ -205,38 +200,33 @@ def tokens_no_stop(spark, sf_dir):
     return clf.tokenize(T.documents(spark, sf_dir)).select("doc_id", clf.CLEAN_TOKENS)
 
 
-def _term_counts(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """((doc_id, term, tf) of the corpus, vocabulary)."""
+def term_counts(spark, sf_dir):
     params = clf.ClassifierParams()
     corpus_tokens = clf.tokenize(T.labelled_corpus(spark, sf_dir), params)
-    vocab = clf.vocabulary(corpus_tokens, params.vocab_size, params.min_df)
-    terms = clf.vocabulary_terms(vocab)
-    table = spark.createDataFrame(list(enumerate(terms)), "term_index int, term string")
-    return clf.term_counts(corpus_tokens, terms), table
-
-
-def term_counts(spark, sf_dir):
-    return _term_counts(spark, sf_dir)[0]
-
-
-def _idf(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    counts, vocab = _term_counts(spark, sf_dir)
-    n_docs = T.labelled_corpus(spark, sf_dir, spread_rows=False).select("doc_id").count()
-    return counts, clf.idf_table(counts, vocab, n_docs)
+    terms = clf.vocabulary_terms(clf.vocabulary(corpus_tokens, params.vocab_size, params.min_df))
+    return clf.term_counts(corpus_tokens, terms)
 
 
 def idf_weights(spark, sf_dir):
-    return _idf(spark, sf_dir)[1].withColumn("idf", F.round("idf", 6))
+    corpus = T.labelled_corpus(spark, sf_dir)
+    n_docs = T.labelled_corpus(spark, sf_dir, spread_rows=False).count()
+    top = clf.top_terms(clf.term_totals(clf.tokenize(corpus)), clf.ClassifierParams().vocab_size)
+    return clf.idf_table(top, n_docs).withColumn("idf", F.round("idf", 6))
 
 
 # -- step 6 ---------------------------------------------------------------
 
 def nb_model_params(spark, sf_dir):
-    counts, idf = _idf(spark, sf_dir)
-    classes = T.labelled_corpus(spark, sf_dir, spread_rows=False).select(
-        "doc_id", F.col("etiqueta").alias("clase"))
-    names = {r["clase"]: r["n"] for r in classes.groupBy("clase").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return clf.nb_params_table(counts, idf, classes, names).withColumn("valor", F.round("valor", 6))
+    """All parameters from one aggregate over (class, term): the corpus is
+    tokenised once."""
+    classes = T.labelled_corpus(spark, sf_dir, spread_rows=False).groupBy("etiqueta").agg(F.count(F.lit(1)).alias("n"))
+    names = {r["etiqueta"]: r["n"] for r in classes.collect()}
+    path = work_path(spark, "term-totals")
+    clf.term_totals(clf.tokenize(T.labelled_corpus(spark, sf_dir)), "etiqueta").write.parquet(path)
+    by_class = spark.read.parquet(path).withColumnRenamed("etiqueta", "clase")
+    totals = by_class.groupBy("term").agg(F.sum("total").alias("total"), F.sum("doc_freq").alias("doc_freq"))
+    idf = clf.idf_table(clf.top_terms(totals, clf.ClassifierParams().vocab_size), sum(names.values()))
+    return clf.nb_params_table(by_class, idf, names).withColumn("valor", F.round("valor", 6))
 
 
 def score_corpus(spark, sf_dir):
