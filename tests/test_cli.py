@@ -82,12 +82,20 @@ def test_migrate_and_clear_commands(spark, sf_small, capsys):
     assert main(["migrate", "--src", src, "--dst", dst], spark) == 0
     out = capsys.readouterr().out
     assert "matched_count: 87" in out and "modified_count: 8" in out
-    assert spark.read.parquet(dst).filter("prediccion IS NULL").count() == 0
+    migrated = store.read_store(spark, dst)
+    assert migrated.count() == 87 and migrated.filter("prediccion IS NULL").count() == 0
     st = work_path(spark, "cli-clear")
     store.append_predictions(store.read_store(spark, dst), st)
     assert main(["clear", "--store", st], spark) == 0
     assert "deleted: 87" in capsys.readouterr().out
     assert store.read_store(spark, st).count() == 0
+    docs, made, bad = (work_path(spark, n) for n in ("cli-docs", "cli-docs-store", "cli-docs-bad"))
+    spark.createDataFrame([('{"id": "1", "intencion_predicha": "neutral"}',), ("{",)], "value string").write.text(docs)
+    assert main(["migrate", "--src", docs, "--dst", made, "--format", "json", "--rejected", bad], spark) == 0
+    assert "matched_count: 1\nmodified_count: 1" in capsys.readouterr().out
+    assert store.read_store(spark, made).first().prediccion == "neutral" and spark.read.json(bad).count() == 1
+    assert main(["migrate", "--in-place", "--dst", made], spark) == 0
+    assert "matched_count: 1\nmodified_count: 0" in capsys.readouterr().out
 
 
 def test_train_from_csv_score_store_report(spark, sf_small, tmp_path):

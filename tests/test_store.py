@@ -134,3 +134,103 @@ def test_newest_rows_do_not_depend_on_partitions(spark):
         preds = spark.createDataFrame(rows, "id string, texto string, ts timestamp_ntz").repartition(n)
         got.add(tuple(r.texto for r in reports.newest_rows(preds, 2).collect()))
     assert got == {("t4", "t3")}
+
+
+def _ids(spark, path):
+    return sorted(r.id for r in store.read_store(spark, path).collect())
+
+
+def _between(monkeypatch, action):
+    """Run ``action`` once, right before the next commit is put in place."""
+    real, done = store.put, []
+
+    def put(*args):
+        if not done:
+            done.append(1)
+            action()
+        real(*args)
+
+    monkeypatch.setattr(store, "put", put)
+
+
+def test_append_while_clearing_stays(spark, monkeypatch):
+    path = work_path(spark, "test-store-race")
+    store.append_predictions(_batch(spark, "1", "2"), path, batch_id=1)
+    store.append_predictions(_batch(spark, "3"), path)
+    _between(monkeypatch, lambda: store.append_predictions(_batch(spark, "4"), path, batch_id=2))
+    assert store.clear_predictions(spark, path) == 3
+    assert _ids(spark, path) == ["4"]
+    assert store.clear_predictions(spark, path) == 1 and _ids(spark, path) == []
+    store.append_predictions(_batch(spark, "1"), path, batch_id=1)     # a cleared name can be used again
+    assert _ids(spark, path) == ["1"]
+
+
+def test_batch_sent_again_while_clearing_stays(spark, monkeypatch):
+    path = work_path(spark, "test-store-race")
+    store.append_predictions(_batch(spark, "1"), path, batch_id=1)
+    _between(monkeypatch, lambda: store.append_predictions(_batch(spark, "1", "2"), path, batch_id=1))
+    assert store.clear_predictions(spark, path) == 1
+    assert _ids(spark, path) == ["1", "2"]
+
+
+def test_append_while_migrating_stays(spark, monkeypatch):
+    src, path = work_path(spark, "test-legacy"), work_path(spark, "test-store-race")
+    _legacy(spark).write.parquet(src)
+    # a store whose first batch holds rows of the older schema
+    store.append_predictions(_batch(spark, "9"), path, batch_id=1)
+    entry = store._write(_legacy(spark), path, "parquet")
+    store.put(f"{path}/commits", "old.json", entry)
+    _between(monkeypatch, lambda: store.append_predictions(_batch(spark, "8"), path, batch_id=2))
+    assert store.migrate_in_place(spark, path) == (4, 1)
+    rows = {r.id: r for r in store.read_store(spark, path).collect()}
+    assert sorted(rows) == ["1", "2", "3", "8", "9"] and rows["2"].prediccion == "negativo"
+    assert store.migrate_in_place(spark, path) == (5, 0)
+    # a migrated batch that is sent again replaces itself
+    store.append_predictions(_batch(spark, "9", "10"), path, batch_id=1)
+    assert _ids(spark, path) == ["1", "10", "2", "3", "8", "9"]
+    before = _ids(spark, path)
+    assert store.purge(spark, path) > 0 and _ids(spark, path) == before
+
+
+def test_clear_and_migrate_at_once(spark, monkeypatch):
+    path = work_path(spark, "test-store-race")
+    store.append_predictions(_batch(spark, "1"), path, batch_id=1)
+    _between(monkeypatch, lambda: store.clear_predictions(spark, path))
+    store.migrate_in_place(spark, path)
+    assert _ids(spark, path) == []
+
+
+def test_batches_with_odd_names(spark):
+    from pyspark.sql import functions as F
+    path = work_path(spark, "test-store-names")
+    rows = _batch(spark, "1", "2", "3").withColumn(store.BATCH_COLUMN, F.concat(F.lit("a/b %ñ="), "id"))
+    assert store.append_batches(rows, path) == 3
+    assert store.append_batches(rows.filter("id = '2'"), path) == 1
+    assert _ids(spark, path) == ["1", "2", "3"]
+    assert set(store.live_batches(spark, path)) == {f"a/b %ñ={i}" for i in (1, 2, 3)}
+
+
+def test_documents_of_any_shape(spark):
+    from tonalyze.sources import documents
+    lines = [
+        '{"id": "1", "texto": "a", "prediccion": "positivo", "probability": [0.5, 0.5], "ts": "2024-01-01T00:00:00"}',
+        '{"id": 2, "intencion_predicha": "negativo", "confianza": "0.5", "otro": {"x": [1]}}',
+        '{"id": "3", "texto": null, "probability": null}',
+        '{"id": "4", "probability": "no"}', '{"id": "5", "confianza": "alta", "ts": "ayer"}',
+        '{"id": "6"', '[1, 2]', '"texto"', "", '{"id": "7", "probability": ["0.25", 1]}']
+    src, dst, bad = (work_path(spark, n) for n in ("test-docs", "test-docs-store", "test-docs-bad"))
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(src)
+    assert store.migrate_store(spark, src, dst, fmt="json", rejected=bad) == (4, 1)
+    rows = {r.id: r for r in store.read_store(spark, dst).collect()}
+    assert sorted(rows) == ["1", "2", "3", "7"]
+    assert rows["1"].ts == T0 and rows["2"].prediccion == "negativo" and rows["7"].probability == [0.25, 1.0]
+    assert rows["3"].texto is None
+    got = {(r.value, r.motivo) for r in spark.read.schema("value string, motivo string").json(bad).collect()}
+    assert got == {(lines[3], "probability"), (lines[4], "ts,confianza"), (lines[5], "json"), (lines[6], "objeto"),
+                   (lines[7], "objeto"), (lines[8], "json")}
+    # JSON and parquet batches in one store
+    store.append_predictions(_batch(spark, "8"), dst, fmt="json", batch_id=1)
+    assert _ids(spark, dst) == ["1", "2", "3", "7", "8"]
+    assert store.migrate_in_place(spark, dst) == (5, 0)
+    assert _ids(spark, dst) == ["1", "2", "3", "7", "8"]
+    assert documents.fields("a long, b array<double>") == [("a", "long"), ("b", "array<double>")]

@@ -78,12 +78,63 @@ def test_batch_replayed_after_crash_is_not_duplicated(spark, sf_small):
     assert spark.read.parquet(sink).count() == len(lines)              # and wrote nothing twice
 
 
-def test_kafka_source_needs_its_connector(spark):
-    import pytest
-    from pyspark.errors import AnalysisException
+def _into_store(spark, model, src, path, ckpt):
+    stream.store_available(spark, stream.score_lines(model, stream.parquet_source(spark, src)), path, ckpt, "t")
+
 
-    with pytest.raises(AnalysisException):
-        stream.kafka_source(spark, "localhost:9092", "lines")
+def test_sink_commits_each_batch_once(spark, sf_small):
+    """A batch whose commit marker was lost is replayed with its id: it
+    replaces its own commit in the store, beside batches of other writers."""
+    import os
+    import shutil
+
+    from tonalyze.operators import store
+
+    model = catalog.trained_model(spark, sf_small)
+    lines = records.encode_records(catalog._cleaned(spark, sf_small)).select("value")
+    src, path, ckpt = (work_path(spark, n) for n in ("sk-src", "sk-store", "sk-ckpt"))
+    half = lines.count() // 2
+    ordered = lines.orderBy("value").collect()
+    spark.createDataFrame(ordered[:half], "value string").write.parquet(src)
+    _into_store(spark, model, src, path, ckpt)
+    assert store.read_store(spark, path).count() == half
+    spark.createDataFrame(ordered[half:], "value string").write.mode("append").parquet(src)
+    store.append_predictions(store.read_store(spark, path).limit(3), path, batch_id=7)
+    _into_store(spark, model, src, path, ckpt)
+    local = ckpt.removeprefix("file:")
+    last = max(int(f) for f in os.listdir(os.path.join(local, "commits")) if f.isdigit())
+    before = store.live_batches(spark, path)
+    crashed = work_path(spark, "sk-ckpt-crashed").removeprefix("file:")
+    shutil.copytree(local, crashed, ignore=lambda d, names: [
+        n for n in names if os.path.basename(d) == "commits" and n in (str(last), f".{last}.crc")])
+    _into_store(spark, model, src, path, crashed)
+    after = store.live_batches(spark, path)
+    name = f"stream-t-{last}"
+    assert after.keys() == before.keys() and after[name]["rows"] == before[name]["rows"]
+    assert after[name]["write"] != before[name]["write"]           # it was written again
+    assert store.read_store(spark, path).count() == len(ordered) + 3
+    rows = store.read_store(spark, path).select("id", "texto", "prediccion", "estado").distinct()
+    want = stream.score_lines(model, lines).selectExpr("id", "texto", "prediccion", "'almacenado' estado").distinct()
+    assert sorted(map(tuple, rows.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_a_failed_batch_leaves_nothing(spark, sf_small):
+    import pytest
+    from pyspark.sql import functions as F
+
+    from tonalyze.operators import store
+    from tonalyze.streaming import sink
+
+    src, path, ckpt = (work_path(spark, n) for n in ("bad-src", "bad-store", "bad-ckpt"))
+    spark.range(20).selectExpr("cast(id as string) id").repartition(4).write.parquet(src)
+    sink.register(spark)
+    rows = spark.readStream.schema("id string").parquet(src).select(
+        "id", F.when(F.col("id") == "7", F.raise_error(F.lit("stop"))).alias("texto"))
+    with pytest.raises(Exception):
+        query = (rows.writeStream.format(sink.FORMAT).option("path", path).option("stream", "x")
+                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        query.awaitTermination()
+    assert store.live_batches(spark, path) == {}
 
 
 def test_console_sink_runs(spark, sf_small):

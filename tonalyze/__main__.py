@@ -5,7 +5,7 @@
     python -m tonalyze stream --model M --source DIR --sink DIR --checkpoint DIR [--every 5s]
     python -m tonalyze stream ... --available-now [--store S]    # and bring the batches into the store
     python -m tonalyze report NAME [--store S] [--stream-sink K] [--limit N] [--clase C] [--out OUT]
-    python -m tonalyze migrate --src LEGACY --dst NEW
+    python -m tonalyze migrate (--src LEGACY [--format json --rejected BAD] | --in-place) --dst STORE
     python -m tonalyze clear  --store S
     python -m tonalyze query  NAME --sf-dir DIR [--out OUT] [--show N]
     python -m tonalyze list
@@ -68,7 +68,10 @@ def main(argv: list[str] | None = None, spark=None) -> int:
     r.add_argument("--show", type=int, default=20)
 
     mg = sub.add_parser("migrate", help="rewrite a legacy store to the unified schema (new path)")
-    mg.add_argument("--src", required=True)
+    mg.add_argument("--src", help="folder of legacy rows")
+    mg.add_argument("--format", default="parquet", help="of the legacy rows; json: documents, one a line")
+    mg.add_argument("--rejected", help="where lines that are no documents go")
+    mg.add_argument("--in-place", action="store_true", help="migrate the batches of the store --dst")
     mg.add_argument("--dst", required=True)
 
     cl = sub.add_parser("clear", help="delete every stored prediction; prints how many")
@@ -161,7 +164,12 @@ def main(argv: list[str] | None = None, spark=None) -> int:
         else:
             df.show(args.show, truncate=80)
     elif args.cmd == "migrate":
-        matched, modified = store.migrate_store(spark, args.src, args.dst)
+        if args.in_place:
+            matched, modified = store.migrate_in_place(spark, args.dst)
+        elif not args.src or (args.format == "json" and not args.rejected):
+            ap.error("migrate needs --src (and --rejected for JSON documents) or --in-place")
+        else:
+            matched, modified = store.migrate_store(spark, args.src, args.dst, args.format, rejected=args.rejected)
         print(f"matched_count: {matched}")
         print(f"modified_count: {modified}")
     elif args.cmd == "clear":

@@ -1,38 +1,51 @@
 """Predictions store: append, clear, schema migration, unified read.
 
-The store is a table at a path (parquet by default; the format is a
-parameter so a document-store connector can be used where its jar exists).
-All maintenance is whole-table DataFrame work.  The schema migration writes
-to a new path, so a failed job leaves the old table intact; clearing
-replaces the table with an empty one, and a batch-keyed append replaces
-only its own batch partition.
-
-There is one layout: every write goes to a batch partition (``lote=...``),
-named by the caller's batch id or else by a fresh one.  A folder that holds
-rows in any other layout is refused, for reading and for writing, rather
-than read in part.
+A store is a folder of write-once data and small commits:
+
+    data/<write>/...         files of one write (parquet or JSON lines)
+    commits/<batch>.json     the write that holds a batch, its files and rows;
+                             a batch that is sent again replaces its commit
+    changes/<id>.json        writes that a clear took out or a migration
+                             replaced, all in one file
+
+What a reader sees is decided by commits and changes alone, and each of them
+is put in place whole.  So an append, a clear and a migration are one act
+each: a reader sees the store before it or after it.  Changes name writes,
+which are never used again, and not the state of the store.  Hence a batch
+that is appended while a clear or a migration runs is neither lost nor half
+seen: it is no write that the change names, and stays.
+
+Commits hold their row counts (observed while the rows are written), so a
+clear reads no data; a migration counts in the pass that rewrites.  A clear
+takes nothing off the disk; ``purge`` does, for writes that no reader can see.
+
+Driver state is one entry per live batch.  A folder with anything else in it
+is refused, for reading and for writing, rather than read in part;
+``migrate_store`` takes rows from any folder into a new store.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
+from urllib.parse import quote, unquote
 
-from pyspark.errors import AnalysisException
+from pyarrow.fs import FileSelector, FileType
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tonalyze.fixed import STORED_STATE
 from tonalyze.functions.formatting import utc_ntz
+from tonalyze.sources import documents
+from tonalyze.streaming.sink import filesystem, put
 
 # Columns of a stored prediction, in order.
 STORE_COLUMNS = ("id", "texto", "prediccion", "probability", "ts", "estado")
 STORE_SCHEMA = ("id string, texto string, prediccion string, probability array<double>, "
                 "ts timestamp_ntz, estado string")
-_STORE_TYPES = [tuple(f.strip().split(" ", 1)) for f in STORE_SCHEMA.split(", ")]
-
-
+# ... and the fields that only documents of the older schema have.
+DOCUMENT_SCHEMA = f"{STORE_SCHEMA}, intencion_predicha string, confianza double"
 BATCH_COLUMN = "lote"
-LAYOUT_SCHEMA = f"{STORE_SCHEMA}, {BATCH_COLUMN} string"
 
 
 def enrich_for_store(scored: DataFrame, id_col: str | None = None,
@@ -59,74 +72,169 @@ def enrich_for_store(scored: DataFrame, id_col: str | None = None,
     )
 
 
-def _stored(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
-    """The table at ``path`` as it lies there; None if it has no file."""
-    try:
-        found = spark.read.format(fmt).load(path)
-    except AnalysisException as e:
-        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":
-            return None
-        raise
-    if BATCH_COLUMN not in found.columns:
-        raise ValueError(f"{path} holds rows outside batch partitions ({BATCH_COLUMN}=...): "
-                         "rewrite it with migrate_store")
-    return found
+# -- commits ---------------------------------------------------------------
+
+def _read_small(spark: SparkSession, folder: str) -> dict[str, dict]:
+    """Content of the small files of a folder by name; none if it is missing."""
+    files, at = filesystem(folder)
+    if files.get_file_info(at).type == FileType.NotFound:
+        return {}
+    rows = (spark.read.option("wholetext", "true").text(folder)
+            .select("value", F.col("_metadata.file_name").alias("name")).collect())
+    # the metadata column is URI-escaped, and so is the name itself
+    return {unquote(unquote(r["name"])).removesuffix(".json"): json.loads(r["value"]) for r in rows}
+
+
+def _file_name(batch: str) -> str:
+    return quote(batch, safe="") + ".json"
+
+
+def _is_store(path: str) -> bool:
+    """Is there a store at ``path``?  False if there is nothing at all."""
+    files, at = filesystem(path)
+    names = {f.base_name for f in files.get_file_info(FileSelector(at, allow_not_found=True))}
+    if names <= {"commits", "changes", "data", "rejected"}:
+        return "commits" in names
+    raise ValueError(f"{path} holds rows outside the commits of a store: rewrite it with migrate_store")
+
+
+def live_batches(spark: SparkSession, path: str) -> dict[str, dict]:
+    """The write that holds each batch a reader sees, by batch name."""
+    if not _is_store(path):
+        return {}
+    instead: dict[str, dict | None] = {}
+    for _, change in sorted(_read_small(spark, f"{path}/changes").items()):
+        for write, entry in change.items():
+            if entry is None or write not in instead:      # taken out wins
+                instead[write] = entry
+    live = {}
+    for batch, entry in _read_small(spark, f"{path}/commits").items():
+        while entry is not None and entry["write"] in instead:
+            entry = instead[entry["write"]]
+        if entry is not None:
+            live[batch] = entry
+    return live
+
+
+def _read(spark: SparkSession, path: str, entries: list[dict], schema: str, mark: str | None = None) -> DataFrame:
+    """Rows of the given writes; ``mark`` adds the folder they lie in."""
+    folder = F.regexp_extract("_metadata.file_path", f"/(data/[^/]+(?:/{BATCH_COLUMN}=[0-9]+)?)/[^/]*$", 1)
+    kept, marks = [n for n, _ in documents.fields(schema)], [folder.alias(mark)] if mark else []
+    parts = []
+    for fmt in sorted({e["format"] for e in entries}):
+        folders = [f"{path}/{f}" for e in entries if e["format"] == fmt for f in e["paths"]]
+        if not folders:
+            continue
+        if fmt == "json":
+            lines = spark.read.text(folders).select("value", *marks)
+            parts.append(documents.accepted(documents.parse_documents(lines, schema)))
+        else:
+            parts.append(spark.read.schema(schema).format(fmt).load(folders).select(*kept, *marks))
+    if not parts:
+        return spark.createDataFrame([], schema + (f", {mark} string" if mark else ""))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return out
+
+
+def _write_numbered(rows: DataFrame, path: str, batches: int) -> list[dict]:
+    """Write rows of several batches, numbered by their column ``lote``, in one
+    job; returns an entry for each number."""
+    folder = f"data/{uuid.uuid4().hex}"
+    rows.select(*STORE_COLUMNS, BATCH_COLUMN).write.partitionBy(BATCH_COLUMN).parquet(f"{path}/{folder}")
+    written = rows.sparkSession.read.schema(f"{STORE_SCHEMA}, {BATCH_COLUMN} int").parquet(f"{path}/{folder}")
+    sizes = {r[0]: r[1] for r in written.groupBy(BATCH_COLUMN).agg(F.count(F.lit(1))).collect()}
+    return [{"write": uuid.uuid4().hex, "format": "parquet", "rows": sizes.get(k, 0),
+             "paths": [f"{folder}/{BATCH_COLUMN}={k}"] if k in sizes else []} for k in range(batches)]
 
 
+def _write(rows: DataFrame, path: str, fmt: str) -> tuple[dict, int]:
+    """Write rows as a new write; returns its entry."""
+    folder = f"data/{uuid.uuid4().hex}"
+    seen = Observation()
+    counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
+    if fmt == "json":
+        documents.encode_documents(counted).write.text(f"{path}/{folder}")
+    else:
+        counted.write.format(fmt).save(f"{path}/{folder}")
+    return {"write": folder.removeprefix("data/"), "paths": [folder], "format": fmt, "rows": int(seen.get["n"])}
+
+
+# -- appends and reads -------------------------------------------------------
+
 def append_predictions(batch: DataFrame, path: str, fmt: str = "parquet",
-                       batch_id: int | str | None = None) -> None:
-    """Append one whole batch to the store (one job, many files).
-
-    With ``batch_id`` the write is idempotent: the batch goes to its own
-    partition (``lote=<id>``) with dynamic partition overwrite, so running
-    the same batch again (a retry after a failure) replaces that partition
-    instead of appending the rows twice.  Without one the batch gets a name
-    that no other has.
+                       batch_id: int | str | None = None) -> int:
+    """Append one whole batch to the store; returns its rows.
+
+    With ``batch_id`` the append is idempotent: the same batch again (a retry
+    after a failure) replaces its commit instead of adding the rows twice.
+    Without one the batch gets a name that no other has.  ``fmt`` is the
+    format of this batch's data; batches of one store may differ.
     """
+    _is_store(path)              # refuses another layout
     name = f"id-{batch_id}" if batch_id is not None else f"new-{uuid.uuid4().hex}"
-    append_batches(batch.select(*STORE_COLUMNS).withColumn(BATCH_COLUMN, F.lit(name)), path, fmt)
+    entry = _write(batch.select(*STORE_COLUMNS), path, fmt)
+    put(f"{path}/commits", _file_name(name), entry)
+    return entry["rows"]
 
 
-def append_batches(rows: DataFrame, path: str, fmt: str = "parquet") -> int:
-    """Append rows that carry their batch's name; a batch that is there
-    already is replaced.  Returns the number of rows written."""
-    batch_names(rows.sparkSession, path, fmt)       # refuses another layout
-    written = Observation("append")
-    (rows.select(*STORE_COLUMNS, BATCH_COLUMN).observe(written, F.count(F.lit(1)).alias("n"))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(BATCH_COLUMN).format(fmt).save(path))
-    return int(written.get["n"])
+def append_batches(rows: DataFrame, path: str) -> int:
+    """Append rows that carry their batch's name (``lote``), each batch as a
+    commit of its own, in one job; returns how many rows there were."""
+    spark = rows.sparkSession
+    _is_store(path)
+    names = sorted(r[0] for r in rows.select(BATCH_COLUMN).distinct().collect())
+    number = spark.createDataFrame(list(enumerate(names)), "_k int, _name string")
+    numbered = (rows.join(number, F.col(BATCH_COLUMN) == F.col("_name")).drop(BATCH_COLUMN, "_name")
+                .withColumnRenamed("_k", BATCH_COLUMN))
+    entries = _write_numbered(numbered, path, len(names))
+    for name, entry in zip(names, entries):
+        put(f"{path}/commits", _file_name(name), entry)
+    return sum(e["rows"] for e in entries)
 
 
-def batch_names(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
-    """Names of the batches in the store; None if it holds none yet."""
-    try:
-        found = _stored(spark, path, fmt)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None                                 # the first batch makes the folder
-    return None if found is None else found.select(F.col(BATCH_COLUMN).cast("string")).distinct()
+def read_store(spark: SparkSession, path: str) -> DataFrame:
+    """The stored predictions of all batches."""
+    if not _is_store(path):
+        raise FileNotFoundError(f"no store at {path}")
+    return _read(spark, path, list(live_batches(spark, path).values()), STORE_SCHEMA)
 
 
-def read_store(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """The stored documents of all batches."""
-    found = _stored(spark, path, fmt)
-    if found is None:
-        return spark.createDataFrame([], STORE_SCHEMA)
-    return found.select(*[F.col(c).cast(t) for c, t in _STORE_TYPES])
+def read_rejected(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of the store's JSON batches that are no documents of its schema."""
+    folders = [f"{path}/{f}" for e in live_batches(spark, path).values() if e["format"] == "json" for f in e["paths"]]
+    if not folders:
+        return spark.createDataFrame([], "value string, motivo string")
+    return documents.rejected(documents.parse_documents(spark.read.text(folders), DOCUMENT_SCHEMA))
 
 
-def clear_predictions(spark: SparkSession, path: str, fmt: str = "parquet") -> int:
+# -- maintenance -------------------------------------------------------------
+
+def clear_predictions(spark: SparkSession, path: str) -> int:
     """Delete every stored prediction; returns how many there were.
 
-    The count is one aggregate job; the table is then replaced by an empty
-    one with the same schema.
+    One change names the writes of all batches seen; the count is theirs.
     """
-    deleted = read_store(spark, path, fmt).count()
-    (spark.createDataFrame([], LAYOUT_SCHEMA).write.mode("overwrite")
-          .option("partitionOverwriteMode", "static").partitionBy(BATCH_COLUMN).format(fmt).save(path))
-    return deleted
+    live = live_batches(spark, path)
+    put(f"{path}/changes", f"{uuid.uuid4().hex}.json", {e["write"]: None for e in live.values()})
+    return sum(e["rows"] for e in live.values())
+
+
+def purge(spark: SparkSession, path: str) -> int:
+    """Delete the files of writes that were cleared or replaced by a change;
+    returns how many folders went.  Readers that started before may need them."""
+    live = {f for e in live_batches(spark, path).values() for f in e["paths"]}
+    every = list(_read_small(spark, f"{path}/commits").values())
+    for change in _read_small(spark, f"{path}/changes").values():
+        every += [e for e in change.values() if e is not None]
+    gone = 0
+    for folder in {f for e in every for f in e["paths"]} - live:
+        files, at = filesystem(f"{path}/{folder}")
+        if files.get_file_info(at).type != FileType.NotFound:
+            files.delete_dir(at)
+            gone += 1
+    return gone
 
 
 def migrate_predictions(legacy: DataFrame) -> DataFrame:
@@ -158,20 +266,60 @@ def migration_counts(legacy: DataFrame) -> DataFrame:
                       F.count_if(migration_changed(legacy)).alias("modified_count"))
 
 
+def _rewritten(legacy: DataFrame, *keep: str) -> DataFrame:
+    """Migrated rows with the store's columns; fields a row lacks are null."""
+    for name, kind in documents.fields(DOCUMENT_SCHEMA):
+        if name not in legacy.columns:
+            legacy = legacy.withColumn(name, F.lit(None).cast(kind))
+    kept = migrate_predictions(legacy)
+    return kept.select(*[F.col(c).cast(t).alias(c) for c, t in documents.fields(STORE_SCHEMA)], *keep)
+
+
 def migrate_store(spark: SparkSession, src: str, dst: str, fmt: str = "parquet",
-                  schema: str | None = None) -> tuple[int, int]:
-    """Whole-table migration: the migrated table goes to a new path.
+                  schema: str | None = None, rejected: str | None = None) -> tuple[int, int]:
+    """Rows of any folder, migrated, as a new store at ``dst``.
 
-    Returns (matched, modified) like a store's update-many.  The counts come
-    from one aggregate over the narrow class columns of the source; the text
-    is only read by the rewrite itself.
+    Returns (matched, modified) like a store's update-many, counted in the
+    pass that writes.  ``fmt="json"`` reads JSON lines as documents; lines
+    that are none go to ``rejected`` (their text and the reason), which must
+    be given then.
+    """
+    if _is_store(dst):
+        raise ValueError(f"there is a store at {dst}")
+    if fmt == "json":
+        parsed = documents.parse_documents(spark.read.text(src), DOCUMENT_SCHEMA)
+        documents.rejected(parsed).write.json(rejected)
+        legacy = documents.accepted(parsed)
+    else:
+        reader = spark.read.format(fmt)
+        legacy = (reader.schema(schema) if schema else reader).load(src)
+    seen = Observation()
+    counted = legacy.observe(seen, F.count(F.lit(1)).alias("matched"),
+                             F.count_if(migration_changed(legacy)).alias("modified"))
+    entry = _write(_rewritten(counted), dst, "parquet" if fmt == "json" else fmt)
+    put(f"{dst}/commits", "migrated.json", entry)
+    return int(seen.get["matched"]), int(seen.get["modified"])
+
+
+def migrate_in_place(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Migrate every batch of a store; returns (matched, modified).
+
+    The new files are written beside the old ones in one pass, and one change
+    puts them in the place of the writes that were read.  Lines of JSON
+    batches that are no documents are kept under ``rejected/``.
     """
-    reader = spark.read.format(fmt)
-    legacy = (reader.schema(schema) if schema else reader).load(src)
-    (migrate_predictions(legacy).drop(BATCH_COLUMN).withColumn(BATCH_COLUMN, F.lit("migrated"))
-     .write.mode("errorifexists").partitionBy(BATCH_COLUMN).format(fmt).save(dst))
-    counts = migration_counts(legacy).first()
-    return int(counts["matched_count"]), int(counts["modified_count"])
+    live = [e for _, e in sorted(live_batches(spark, path).items()) if e["paths"]]
+    if any(e["format"] == "json" for e in live):
+        read_rejected(spark, path).write.json(f"{path}/rejected/{uuid.uuid4().hex}")
+    number = spark.createDataFrame([(f, k) for k, e in enumerate(live) for f in e["paths"]],
+                                   f"_folder string, {BATCH_COLUMN} int")
+    legacy = _read(spark, path, live, DOCUMENT_SCHEMA, mark="_folder").join(number, "_folder")
+    seen = Observation()
+    counted = legacy.observe(seen, F.count(F.lit(1)).alias("matched"),
+                             F.count_if(migration_changed(legacy)).alias("modified"))
+    entries = _write_numbered(_rewritten(counted, BATCH_COLUMN), path, len(live))
+    put(f"{path}/changes", f"{uuid.uuid4().hex}.json", {old["write"]: new for old, new in zip(live, entries)})
+    return int(seen.get["matched"]), int(seen.get["modified"])
 
 
 def _as_ntz(df: DataFrame, name: str):
@@ -207,7 +355,7 @@ def read_predictions(spark: SparkSession, store_path: str | None = None,
     """
     parts = []
     if store_path:
-        parts.append(read_store(spark, store_path, fmt))
+        parts.append(read_store(spark, store_path))
     if stream_sink:
         streamed = (spark.read.format(fmt).load(stream_sink)
                     .withColumn("ts", utc_ntz(F.col("timestamp"))).drop("timestamp")

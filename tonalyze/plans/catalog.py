@@ -170,6 +170,54 @@ def clear_predictions(spark, sf_dir):
     return spark.createDataFrame([(deleted, remaining)], "deleted_count long, remaining_count long")
 
 
+def _document_lines(spark, sf_dir):
+    """Stored predictions as a document store holds them: null fields missing,
+    legacy and newer rows, and by the id's remainders an id stored as a number
+    (13), a probability that is a text (17), a line that breaks off (19)."""
+    k = F.col("id")
+    rows = T.stored_predictions(spark, sf_dir)
+    text = rows.withColumn("id", k.cast("string"))
+    line = F.to_json(F.struct(*rows.columns))
+    numbered = rows.select("id", line.alias("value"))
+    worded = text.withColumn("probability", F.lit("no disponible")).select(k.cast("long").alias("id"), line.alias("value"))
+    plain = text.select(k.cast("long").alias("id"), line.alias("value"))
+    broken = plain.withColumn("value", F.expr("substring(value, 1, length(value) - 1)"))
+    of = {19: broken, 17: worded, 13: numbered}
+    rest, parts = F.lit(True), []
+    for n, made in of.items():
+        parts.append(made.filter(rest & (F.col("id") % n == 0)))
+        rest = rest & (F.col("id") % n != 0)
+    out = plain.filter(rest)
+    for part in parts:
+        out = out.unionByName(part)
+    return out.select("value")
+
+
+def _document_store(spark, sf_dir) -> tuple[str, str]:
+    """(store, rejected lines): documents migrated into a store, then a JSON
+    batch that is sent twice, then a migration in place."""
+    src, path, bad = (work_path(spark, n) for n in ("documents-json", "document-store", "documents-rejected"))
+    _document_lines(spark, sf_dir).write.text(src)
+    store.migrate_store(spark, src, path, fmt="json", rejected=bad)
+    fresh = T.stored_predictions(spark, sf_dir).filter("prediccion is not null and id % 5 = 0").withColumn(
+        "id", F.concat(F.lit("n-"), F.col("id").cast("string")))
+    for _ in range(2):
+        store.append_predictions(fresh, path, fmt="json", batch_id=1)
+    store.migrate_in_place(spark, path)
+    return path, bad
+
+
+def document_store(spark, sf_dir):
+    return store.read_store(spark, _document_store(spark, sf_dir)[0])
+
+
+def document_rejects(spark, sf_dir):
+    """Lines that are no documents: the reason, and the id if it can be read."""
+    lines = spark.read.schema("value string, motivo string").json(_document_store(spark, sf_dir)[1])
+    ident = F.try_variant_get(F.try_parse_json("value"), "$.id", "string")
+    return lines.select(ident.alias("id"), "motivo")
+
+
 def _streamed_batch(spark, sf_dir) -> DataFrame:
     """What the stream path writes, computed as a batch over the same lines."""
     lines = records.encode_records(_cleaned(spark, sf_dir)).select("value")
@@ -281,14 +329,22 @@ def stream_score(spark, sf_dir):
 
 
 def stream_store(spark, sf_dir):
-    """What the stream committed, in the predictions store: each batch once,
-    however often it is brought over."""
-    source, sink, path, ckpt = (work_path(spark, n) for n in ("store-src", "store-sink", "stream-store", "store-ckpt"))
+    """Two arrivals of a parquet folder, streamed straight into the predictions
+    store, beside a request batch that is cleared in between: each streamed
+    line once."""
+    source, path, ckpt = (work_path(spark, n) for n in ("store-src", "stream-store", "store-ckpt"))
     model = trained_model(spark, sf_dir)
-    stream.write_lines(records.encode_records(_cleaned(spark, sf_dir)), source)
-    stream.run_available(stream.score_lines(model, stream.text_source(spark, source)), sink, ckpt)
-    for _ in range(2):
-        stream.append_to_store(spark, sink, path)
+    lines = records.encode_records(_cleaned(spark, sf_dir, extra_cols=("lang",)))
+    first = F.coalesce(F.col("lang").isin("en", "es"), F.lit(False))
+
+    def arrive(rows):
+        rows.select("value").write.mode("append").parquet(source)
+        stream.store_available(spark, stream.score_lines(model, stream.parquet_source(spark, source)), path, ckpt, "replay")
+
+    store.append_predictions(T.stored_predictions(spark, sf_dir), path, batch_id=0)
+    store.clear_predictions(spark, path)
+    arrive(lines.filter(first))
+    arrive(lines.filter(~first))
     return clf.rounded(store.read_store(spark, path).select("id", "texto", "prediccion", "probability", "estado"))
 
 
@@ -342,6 +398,8 @@ QUERIES: dict[str, QueryFn] = {
     "migration_counts": migration_counts,
     "store_predictions": store_predictions,
     "clear_predictions": clear_predictions,
+    "document_store": document_store,
+    "document_rejects": document_rejects,
     "unified_predictions": unified_predictions,
     "label_index": label_index,
     "tokens": tokens,

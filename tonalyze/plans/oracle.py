@@ -386,6 +386,14 @@ FROM preds"""
 FROM documents d JOIN scored s ON s.key = d.doc_id"""
     q["clear_predictions"] = lambda: _with(PREDS) + \
         "SELECT CAST(count(*) AS BIGINT) AS deleted_count, CAST(0 AS BIGINT) AS remaining_count FROM preds"
+    q["document_store"] = lambda: _with(PREDS) + """SELECT CAST(id AS VARCHAR) AS id, texto,
+  coalesce(prediccion, intencion_predicha) AS prediccion, probability, ts, estado
+FROM preds WHERE id % 19 <> 0 AND id % 17 <> 0
+UNION ALL
+SELECT 'n-' || id, texto, prediccion, probability, ts, estado FROM preds WHERE prediccion IS NOT NULL AND id % 5 = 0"""
+    q["document_rejects"] = lambda: _with(PREDS) + """SELECT CASE WHEN id % 19 <> 0 THEN CAST(id AS VARCHAR) END AS id,
+  CASE WHEN id % 19 = 0 THEN 'json' ELSE 'probability' END AS motivo
+FROM preds WHERE id % 19 = 0 OR id % 17 = 0"""
     q["unified_predictions"] = lambda: _with(PREDS, CORPUS, CLEANED, PARSED, nb_stream()) + """SELECT CAST(id AS VARCHAR) AS id, texto,
   coalesce(prediccion, intencion_predicha) AS prediccion, intencion_predicha, probability, estado,
   NULL::VARCHAR AS etiqueta_real, ts IS NOT NULL AS con_fecha

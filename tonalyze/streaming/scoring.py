@@ -2,8 +2,9 @@
 
 Source: a folder of text files holding wire records (``text|||label``), the
 replayable stand-in for the line socket (a socket source cannot be replayed
-after a failure; on a cluster this is a file drop or a Kafka topic).
-Sink: the parquet file sink with a checkpoint.  Offsets are logged before
+after a failure; on a cluster this is a file drop, text or parquet).
+Sink: the predictions store itself, each micro-batch one commit by its batch
+id (``streaming.sink``), or the parquet file sink with a checkpoint.  Offsets are logged before
 a batch runs and the sink commits each batch id once in its own metadata
 log, so a batch planned but not committed (a crash between the two) is
 re-run on restart without duplicating rows: exactly-once, unlike a
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tonalyze.operators import classifier as clf
 from tonalyze.operators import records, store
+from tonalyze.streaming import sink
 
 STREAM_COLUMNS = ("id", "texto", "etiqueta_real", "prediccion", "confianza", "probability", "timestamp")
 
@@ -34,18 +36,13 @@ def text_source(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.load(path)
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str,
-                 max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """Wire lines from a Kafka topic (needs the spark-sql-kafka connector
-    on the classpath; not bundled here).  Same ``value`` column as the
-    text source, so ``score_lines`` applies unchanged."""
-    reader = (spark.readStream.format("kafka")
-              .option("kafka.bootstrap.servers", servers)
-              .option("subscribe", topic)
-              .option("startingOffsets", "earliest"))
-    if max_offsets_per_trigger:
-        reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
-    return reader.load().select(F.col("value").cast("string").alias("value"))
+def parquet_source(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Wire lines from a folder of parquet files with a column ``value``: the
+    other replayable file source (whole files, columnar, lines with breaks)."""
+    reader = spark.readStream.schema("value string").format("parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(path)
 
 
 def score_lines(model: PipelineModel, lines: DataFrame) -> DataFrame:
@@ -70,6 +67,10 @@ def run_available(stream: DataFrame, sink_path: str | None, checkpoint: str,
     if fmt == "console":
         writer = writer.option("truncate", "false")
     query = writer.start(sink_path) if sink_path else writer.start()
+    _await(query, timeout_s)
+
+
+def _await(query, timeout_s: float | None) -> None:
     finished = False
     try:
         finished = query.awaitTermination(timeout_s) if timeout_s is not None else (
@@ -86,21 +87,35 @@ def run_available(stream: DataFrame, sink_path: str | None, checkpoint: str,
                            "restart with the same checkpoint to continue")
 
 
-def append_to_store(spark: SparkSession, sink: str, store_path: str, fmt: str = "parquet") -> int:
-    """Bring what the stream has committed to ``sink`` into the predictions
-    store; returns how many rows were new.
+def store_available(spark: SparkSession, scored: DataFrame, store_path: str, checkpoint: str,
+                    name: str, timeout_s: float | None = None) -> None:
+    """Process everything available now straight into the predictions store:
+    each micro-batch is one commit named by ``name`` and its batch id.  ``name``
+    belongs to the checkpoint: another checkpoint needs another name."""
+    sink.register(spark)
+    rows = store.enrich_for_store(scored.withColumn("ts", store.utc_ntz(F.col("timestamp"))), "id")
+    query = (rows.writeStream.format(sink.FORMAT).outputMode("append")
+             .option("path", store_path).option("stream", name)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    _await(query, timeout_s)
+
+
+def append_to_store(spark: SparkSession, sink_path: str, store_path: str, fmt: str = "parquet") -> int:
+    """Bring what a stream has committed to the file sink ``sink_path`` into the
+    predictions store; returns how many rows were new.
 
     A file of the sink belongs to one committed batch and never changes, so
     it names the batch: files the store has are skipped, and one that is
     sent again replaces itself.  Runs beside or after the stream.
     """
-    rows = spark.read.format(fmt).load(sink).select(
+    rows = spark.read.format(fmt).load(sink_path).select(
         *STREAM_COLUMNS, F.concat(F.lit("stream-"), F.col("_metadata.file_name")).alias(store.BATCH_COLUMN))
-    known = store.batch_names(spark, store_path, fmt)
-    if known is not None:
-        rows = rows.join(known, store.BATCH_COLUMN, "left_anti")
+    known = [(n,) for n in store.live_batches(spark, store_path)]
+    if known:
+        seen = spark.createDataFrame(known, "_seen string")
+        rows = rows.join(seen, F.col(store.BATCH_COLUMN) == F.col("_seen"), "left_anti")
     rows = rows.withColumn("ts", store.utc_ntz(F.col("timestamp")))
-    return store.append_batches(store.enrich_for_store(rows, "id", keep=(store.BATCH_COLUMN,)), store_path, fmt)
+    return store.append_batches(store.enrich_for_store(rows, "id", keep=(store.BATCH_COLUMN,)), store_path)
 
 
 def write_lines(records_df: DataFrame, path: str) -> None:
