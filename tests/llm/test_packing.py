@@ -92,3 +92,9 @@ def test_best_fit_is_best_fit(lengths):
     for b, n in zip(bins, lengths):
         used[b] += n
     assert [used[b] for b in range(len(fill))] == fill
+
+
+def test_long_runs_of_blanks(spark):
+    rows = [(1, "x" + " " * 1_000_000 + "y"), (2, "\n" * 1_000_000), (3, " " * 99_999 + "a"), (4, "b " * 60_000), (5, "\t" * 3_000_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check_pieces(packing.pack(docs).collect(), rows)

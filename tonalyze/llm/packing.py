@@ -18,7 +18,8 @@ sequence numbers never change when a task is run again.
 Token ids are those of ``byte_bpe_50k.json`` in the `tokenizers` library.
 Texts are encoded from the same vocabulary's rank file (the ids are equal,
 tests hold both against each other, and it is about six times faster);
-texts that spell a special token go to the `tokenizers` library itself.
+texts that spell a special token, or hold a run of blanks longer than the
+pattern matcher's stack takes, go to the `tokenizers` library itself.
 
 Defined results
     null or empty text   only the end id: one piece of length 1
@@ -31,6 +32,7 @@ Defined results
 from __future__ import annotations
 
 import functools
+import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -45,6 +47,8 @@ from pyspark.sql import types as T
 from tonalyze.llm.common import field, map_arrow, saved, slices
 
 END_ID = 2
+LONG_BLANKS = 100_000     # the matcher's stack holds some six times as many
+_BLANKS = re.compile(rf"\s{{{LONG_BLANKS}}}")
 
 
 @dataclass(frozen=True)
@@ -76,7 +80,7 @@ def _encoder(vocabulary: str, ranks: str):
     exact = Tokenizer.from_file(public_tokenizers.path(vocabulary))
 
     def encode(text: str) -> np.ndarray:
-        if any(s in text for s in special):
+        if any(s in text for s in special) or (len(text) >= LONG_BLANKS and _BLANKS.search(text)):
             return np.array(exact.encode(text, add_special_tokens=False).ids, np.uint32)
         return fast.encode_to_numpy(text, disallowed_special=())
 
