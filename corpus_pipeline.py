@@ -32,19 +32,17 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """One document of each near-duplicate group stays: the smallest id.  Rows
     that repeat an id are one document; the first by text stays.  Rows without
     an id are linked with nothing and all stay."""
-    kept = minhash_forest.near_duplicates(docs).filter("kept").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
-    kept = saved(kept.select("doc_id", (F.col("doc_id").isNull() | (F.col("rows") == 1)).alias("one")), "pipeline-kept")
-
-    def rows_of(ids: DataFrame) -> DataFrame:
-        return docs.alias("d").join(ids.alias("k"), F.col("d.doc_id").eqNullSafe(F.col("k.doc_id")), "left_semi")
-
-    stay = rows_of(kept.filter("one"))
-    several = kept.filter("not one")
+    found = minhash_forest.near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id").agg(
+        F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
+    # those that go are the smaller side
+    away = saved(found.filter("not kept or rows > 1"), "pipeline-away")
+    stay = docs.alias("d").join(away.alias("k"), F.col("d.doc_id") == F.col("k.doc_id"), "left_anti")
+    several = away.filter("kept")
     if several.isEmpty():
         return stay
     order = F.struct(F.coalesce("text", F.lit("")), F.xxhash64(*docs.columns))
-    first = rows_of(several).groupBy("doc_id").agg(
-        F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
+    rows = docs.alias("d").join(several.alias("k"), F.col("d.doc_id") == F.col("k.doc_id"), "left_semi")
+    first = rows.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), order).alias("row")).select("row.*")
     return stay.unionByName(first)
 
 
