@@ -30,6 +30,7 @@ raw = prior + x . theta; probability = softmax(raw); class = first arg-max.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -156,7 +157,8 @@ def term_counts(tokens: DataFrame, terms: list[str], key: str = "doc_id",
     cells = (counter.transform(tokens.select(key, tokens_col)).select(key, vector.alias("_v"))
              .select(key, F.explode_outer(F.arrays_zip("_v.indices", "_v.values")).alias("_c"))
              .filter(F.col("_c").isNotNull()))
-    names = F.array(*[F.lit(t) for t in terms])
+    # one constant, folded when the plan is made
+    names = F.from_json(F.lit(json.dumps(terms)), "array<string>")
     return cells.select(key, F.get(names, F.col("_c.indices")).alias("term"),
                         F.col("_c.values").cast("long").alias("tf"))
 
