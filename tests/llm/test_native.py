@@ -95,6 +95,31 @@ def test_shards_of_odd_rows(spark):
     assert sharding.shard(edge.frame(spark, [])).count() == 0
 
 
+def test_driver_state_follows_the_shard_count(spark, monkeypatch):
+    """100,000 parts' worth of keys: no more boundaries than for one part a shard."""
+    seen, bucket = [], sharding.bucket
+    monkeypatch.setattr(sharding, "bucket", lambda h, i, edges: seen.append(len(edges)) or bucket(h, i, edges))
+    params = sharding.ShardParams()
+    for size in (300, params.part_bytes * 5):
+        keys = spark.range(20_000).select(
+            sharding._hash(F.col("id").cast("string")).alias("h"), F.col("id").alias("i"), F.lit(size).alias("size"))
+        splitters, all_bytes = sharding.find_splitters(keys, params)
+        assert len(splitters) == 23 and splitters == sorted(splitters) and all_bytes == 20_000 * size
+    assert max(seen) <= params.shards * (params.probes + 3) and len(seen) < 20
+    assert -(-all_bytes // params.part_bytes) == 100_000
+    assert sharding.parts_per_shard(all_bytes, params) * params.shards <= params.max_parts
+
+
+def test_shards_of_many_parts(spark):
+    copy = "same text " * 40
+    rows = [(i, copy if i % 3 else f"t{i} " * 50) for i in range(900)] + [(5, copy)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    params = sharding.ShardParams(part_bytes=2_000)
+    found = sharding.shard(docs, params).collect()
+    assert len(found) == len(rows) and len({r.part for r in found}) > 100
+    check_shards(found, dict(rows), 24)
+
+
 def test_shards_use_no_python(spark, sf_small):
     plan = queries.op10_histogram_shards(spark, sf_small)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan

@@ -5,17 +5,20 @@ next to each other and a group of copies of any size can still be divided
 between shards at any of its ids.  The law is ``bytes``: sizes near equal.
 
 1. A narrow table (hash, id, size) is written once.
-2. Splitters are searched: each pass counts the exact bytes and rows below
-   every candidate boundary (one ``groupBy(bucket)``, map-side combined) and
-   narrows the interval of each splitter that misses its tolerance, until
-   all meet it or no candidate key is left between two rows.
-3. One exchange moves the rows to their part; a part is a fraction of a
-   shard, so that shards of any size spread over many tasks.  The slot of a
-   row is the exact count of rows below its part, known from the histogram,
-   plus its place in the part.
+2. The splitters between the shards are searched: each pass counts the exact
+   bytes and rows below every candidate boundary (one ``groupBy(bucket)``,
+   map-side combined) and narrows the interval of each splitter that misses
+   its tolerance, until all meet it or no candidate key is left between two
+   rows.
+3. One exchange moves the rows to their part.  Where a shard is too much for
+   one task it is dealt into parts by a hash of (text, id), which divides
+   copies too and is the same when a task runs again; rows are sorted inside
+   a part.  The slot of a row is the number of rows in the earlier parts of
+   its shard, summed over a table of counts, plus its place in the part.
 
 Only DataFrame functions are used.  To the driver go counts per candidate
-boundary, a number fixed by the parameters.
+boundary, at most ``shards * (probes + 3)`` of them in a pass whatever the
+input; the counts per part are a table of at most ``max_parts`` rows.
 
 Defined results
     null text            size 8, hash of the empty text; null id: sorted first
@@ -29,6 +32,7 @@ Defined results
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,9 +51,10 @@ ADDED = ("size", "shard", "part", "slot")
 @dataclass(frozen=True)
 class ShardParams:
     shards: int = 24
-    tolerance: float = 0.001     # of a part's ideal bytes
+    tolerance: float = 0.0001    # of a shard's ideal bytes
     probes: int = 16             # candidate boundaries per open splitter and pass
-    part_bytes: int = 32_000_000  # a task of the exchange gets about so much
+    part_bytes: int = 32_000_000  # a task of the exchange gets about so much,
+    max_parts: int = 65_536      # or more where that would take more tasks than this
 
 
 def text_size(text: Column) -> Column:
@@ -95,9 +100,13 @@ def bucket(h: Column, i: Column, boundaries: list[int]) -> Column:
     return let(F.struct(h.alias("h"), i.alias("i")), search)
 
 
-def find_splitters(keys: DataFrame, params: ShardParams, per_shard: int | None = None
-                   ) -> tuple[list[int], list[int], int]:
-    """(splitter keys, rows below each, parts per shard) for near-equal parts.
+def parts_per_shard(all_bytes: int, params: ShardParams) -> int:
+    most = max(1, params.max_parts // params.shards)
+    return min(most, max(1, -(-all_bytes // (params.shards * params.part_bytes))))
+
+
+def find_splitters(keys: DataFrame, params: ShardParams) -> tuple[list[int], int]:
+    """(splitter keys between the shards, bytes of all rows).
 
     Every open splitter holds an interval with the exact bytes and rows below
     its two ends; a pass probes inside it and keeps the sub-interval where
@@ -106,14 +115,12 @@ def find_splitters(keys: DataFrame, params: ShardParams, per_shard: int | None =
     total = keys.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b"), F.count(F.lit(1)).alias("n")).first()
     all_bytes, all_rows = int(total["b"]), int(total["n"])
     if not all_rows:
-        return [], [], 1
-    per = per_shard or max(1, -(-all_bytes // (params.shards * params.part_bytes)))
-    parts = params.shards * per
-    targets = [all_bytes * k // parts for k in range(1, parts)]
-    slack = params.tolerance * all_bytes / parts
+        return [], 0
+    targets = [all_bytes * k // params.shards for k in range(1, params.shards)]
+    slack = params.tolerance * all_bytes / params.shards
     # interval of splitter k: (low key, bytes, rows below it, high key, bytes, rows below it)
     spans = [(0, 0, 0, KEY_END, all_bytes, all_rows) for _ in targets]
-    found: list[tuple[int, int, int] | None] = [None] * len(targets)
+    found: list[int | None] = [None] * len(targets)
     while True:
         probes: set[int] = set()
         for k, (lo, lo_b, _, hi, hi_b, _) in enumerate(spans):
@@ -149,11 +156,12 @@ def find_splitters(keys: DataFrame, params: ShardParams, per_shard: int | None =
                     hi, hi_b, hi_n = key, b, n
                     break
             spans[k] = (lo, lo_b, lo_n, hi, hi_b, hi_n)
-            ends = sorted([(abs(lo_b - target), lo, lo_n), (abs(hi_b - target), hi, hi_n)])
+            ends = sorted([(abs(lo_b - target), lo), (abs(hi_b - target), hi)])
             # met, one row left between the ends, or no key left between them
             if ends[0][0] <= slack or hi_n - lo_n <= 1 or hi - lo <= 1:
-                found[k] = (ends[0][1], ends[0][2], 0)
-    return [f[0] for f in found], [f[1] for f in found], per
+                found[k] = ends[0][1]
+    # a splitter never lies before the one to its left
+    return list(itertools.accumulate(found, max)), all_bytes
 
 
 def shard(docs: DataFrame, params: ShardParams = ShardParams(),
@@ -162,21 +170,24 @@ def shard(docs: DataFrame, params: ShardParams = ShardParams(),
     h, i = _hash(F.col(text_col)), _id(F.col(id_col))
     keys = saved(docs.select(h.alias("h"), i.alias("i"), text_size(F.col(text_col)).alias("size")),
                  "shard-keys")
-    splitters, rows_below, per = find_splitters(keys, params)
-    # a splitter never lies before the one to its left
-    for k in range(1, len(splitters)):
-        if splitters[k] < splitters[k - 1]:
-            splitters[k], rows_below[k] = splitters[k - 1], rows_below[k - 1]
-    below = [0, *rows_below]
-    shard_start = [below[p - p % per] if p < len(below) else 0 for p in range(len(below))]
-    base = F.lit(np.array([b - s for b, s in zip(below, shard_start)], np.int64))
-    kept = [c for c in docs.columns if c not in (*ADDED, "_h", "_i")]
+    splitters, all_bytes = find_splitters(keys, params)
+    per = parts_per_shard(all_bytes, params)
+
+    def part(h: Column, i: Column) -> Column:
+        return (bucket(h, i, splitters) * per + F.pmod(F.xxhash64(h, i), F.lit(per))).cast("int")
+
+    # rows in the earlier parts of a shard: at most max_parts rows, so it may be broadcast
+    earlier = Window.partitionBy(F.floor(F.col("part") / per)).orderBy("part")
+    counts = keys.groupBy(part(F.col("h"), F.col("i")).alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    base = saved(counts.select(F.col("part").alias("_part"),
+                               (F.sum("n").over(earlier) - F.col("n")).alias("_base")), "shard-parts")
+    kept = [c for c in docs.columns if c not in (*ADDED, "_h", "_i", "_nth", "_part", "_base")]
     placed = docs.select(*kept, h.alias("_h"), i.alias("_i"),
-                         text_size(F.col(text_col)).alias("size"),
-                         bucket(h, i, splitters).alias("part"))
+                         text_size(F.col(text_col)).alias("size"), part(h, i).alias("part"))
     # each part to a task of its own; the window below needs no other exchange
-    placed = placed.repartitionById(len(below), "part")
+    placed = placed.repartitionById((len(splitters) + 1) * per, "part")
     order = Window.partitionBy("part").orderBy("_h", "_i")
-    return placed.select(
-        *kept, "size", F.floor(F.col("part") / per).cast("int").alias("shard"), "part",
-        (F.get(base, F.col("part")) + F.row_number().over(order) - 1).cast("long").alias("slot"))
+    return (placed.withColumn("_nth", F.row_number().over(order))
+            .join(F.broadcast(base), F.col("part") == F.col("_part"))
+            .select(*kept, "size", F.floor(F.col("part") / per).cast("int").alias("shard"), "part",
+                    (F.col("_base") + F.col("_nth") - 1).cast("long").alias("slot")))
