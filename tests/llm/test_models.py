@@ -111,13 +111,48 @@ def test_forward_sums_all_segmentations():
     values[1:-1] = rng.random((len(vocabulary), 2))
     words = ["abc", "a", "cab", "abcabc", "bb"]
     for at, rows in langid._by_length(lattice, words):
-        got = lattice.forward(rows, values)
+        got = np.exp(lattice.forward(rows, values))
         for k, i in enumerate(at):
             for lang in range(2):
                 p = {piece: values[n + 1, lang] for n, piece in enumerate(vocabulary)}
                 assert got[k, lang] == pytest.approx(brute_probability("▁" + words[i], p, 3))
 
 
+def test_long_words_are_scored_whole(monkeypatch):
+    """Against exact fractions, over several blocks of columns and rescalings."""
+    from fractions import Fraction
+    from math import log
+    vocabulary = sorted({"▁", "a", "b", "ab", "▁a", "aba", "bbab", "abbaab"})
+    lattice = langid.Lattice(vocabulary)
+    values = np.concatenate([[0.0], np.random.default_rng(3).random(len(vocabulary)) / 50, [1e-7]])
+    p = {piece: Fraction(float(values[n + 1])) for n, piece in enumerate(vocabulary)} | {"z": Fraction(float(values[-1]))}
+    words = ["".join("abz"[(i * i * 7 + k) % 3] if i % 41 == 0 else "ab"[(i * i + i // 3 + k) % 2] for i in range(700))
+             for k in range(3)]
+    monkeypatch.setattr(langid, "COLUMNS", 50)
+    at, rows = next(langid._by_length(lattice, words))
+    got = lattice.forward(rows, values[:, None])[:, 0]
+    for k, i in enumerate(at):
+        total = [Fraction(1)] + [Fraction(0)] * 701
+        for end in range(1, 702):
+            for size in range(1, min(6, end) + 1):
+                total[end] += total[end - size] * p.get(("▁" + words[i])[end - size:end], 0)
+        exact = log(total[-1].numerator) - log(total[-1].denominator)
+        assert got[k] == pytest.approx(exact, rel=1e-9)
+
+
+def test_every_piece_is_used_and_long_words_are_told_apart():
+    import public_tokenizers
+    import sentencepiece
+    found = set(langid.pieces(langid.LangParams.vocabulary))
+    model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path(langid.LangParams.vocabulary))
+    whole = {model.id_to_piece(i).lower() for i in range(model.get_piece_size())}
+    assert {p for p in whole if p.removeprefix("▁").isalpha()} <= found and max(map(len, found)) > 12
+    texts = ["x" * 100, "x" * 100 + " " + "x" * 99 + "y", "y" + "x" * 99, "ab ba"]
+    codes, start, end, _ = langid._words(texts)
+    first, inverse = langid._distinct(codes, start, end)
+    assert len(first) == 5 and inverse[0] == inverse[1]
+
+
 def test_expected_uses_match_differences():
     """d log P / d log p of a piece is its expected number of uses."""
     vocabulary = sorted({"▁", "a", "b", "ab", "▁a", "ba"})
@@ -129,7 +164,7 @@ def test_expected_uses_match_differences():
         up, down = p.copy(), p.copy()
         up[n] *= 1 + 1e-6
         down[n] *= 1 - 1e-6
-        logs = [np.log(lattice.forward(rows, q[:, None]))[0, 0] for q in (up, down)]
+        logs = [lattice.forward(rows, q[:, None])[0, 0] for q in (up, down)]
         assert uses[n] == pytest.approx((logs[0] - logs[1]) / 2e-6, abs=1e-4)
 
 

@@ -12,15 +12,18 @@ the log probabilities of its words; the posterior over languages is the
 reported score.
 
 Distinct words of a slice of texts are scored once, all at a time in numpy.
-Words over ``MAX_LETTERS`` letters are scored in parts of that length.
+A word of any length is scored whole: only as many positions as the longest
+piece has symbols are held, and they are rescaled as the word goes on.
 
 Training reads a bounded sample: about ``docs_per_lang`` documents of each
-language, chosen by a hash of their id, and of these the ``train_words``
-most frequent (language, word) pairs.  Scoring reads every whole text.
+language, chosen by a hash of their id, and of these the ``words_per_lang``
+most frequent words of each language of at most ``learn_letters`` letters.
+Scoring reads every whole text with every piece of the vocabulary.
 
 Defined results
     null text, no letter      ``und`` with score 0
-    very long text            read whole
+    very long text or word    read whole (a word of a million letters takes
+                              about half a minute of its task)
     null lang                 not learned from; still scored
     ties                      the language that sorts first
     no labelled document      every text is ``und`` with score 0
@@ -36,7 +39,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonalyze.llm import words as W
@@ -44,23 +47,25 @@ from tonalyze.llm.common import field, fold, map_arrow, slices
 
 UNDETERMINED = "und"
 START = "▁"             # the vocabulary's word-start mark
-MAX_LETTERS = 32
 BASE = np.uint64(0x9E3779B97F4A7C15)
+COLUMNS = 512           # positions of a word whose pieces are looked up at a time
+RESCALE = 16            # positions between rescalings
+CELLS = 400_000         # rows times columns, and rows times languages, of a step
 
 
 @dataclass(frozen=True)
 class LangParams:
     vocabulary: str = "piece_bpe_32k.model"
-    max_piece: int = 8            # symbols, the mark included
     docs_per_lang: int = 800
-    train_words: int = 300_000
+    words_per_lang: int = 60_000
+    learn_letters: int = 32       # longer words are scored but not learned from
     rounds: int = 4
     floor: float = 1e-7           # smallest probability of a single symbol
     modulus: int = 4              # folds by crc32 of the id
     held_out: int = 2
 
 
-def pieces(vocabulary: str, max_piece: int) -> list[str]:
+def pieces(vocabulary: str) -> list[str]:
     """Lower-cased pieces of letters, the mark only in front."""
     import public_tokenizers
     import sentencepiece
@@ -69,7 +74,7 @@ def pieces(vocabulary: str, max_piece: int) -> list[str]:
     found = set()
     for i in range(model.get_piece_size()):
         piece = model.id_to_piece(i).lower()
-        if len(piece) <= max_piece and (piece == START or piece.removeprefix(START).isalpha()):
+        if piece == START or piece.removeprefix(START).isalpha():
             found.add(piece)
     singles = {c for p in found for c in p}
     return sorted(found | singles)
@@ -132,34 +137,56 @@ class Lattice:
         self.table = Table(np.array(keys, np.uint64))
         self.unknown = len(vocabulary) + 1                # number of the piece of an unknown letter
 
+    def numbers(self, rows: np.ndarray) -> np.ndarray:
+        """Number of the piece of each size that ends at each column (0: none),
+        as (size - 1, row, column); a single letter always has one."""
+        n, length = rows.shape
+        out = np.zeros((self.max_piece, n, length), np.int32)
+        s = rows + np.uint64(1)
+        keys = s
+        for size in range(1, min(self.max_piece, length) + 1):
+            if size > 1:
+                keys = keys[:, :-1] * BASE + s[:, size - 1:]
+            out[size - 1, :, size - 1:] = self.table(keys)
+        out[0][out[0] == 0] = self.unknown
+        return out
+
     def arcs(self, rows: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(end, piece length, rows that have it, piece numbers) by rising end."""
-        _, length = rows.shape
-        run: list[np.ndarray] = []
-        for end in range(1, length + 1):
-            s = rows[:, end - 1] + np.uint64(1)
-            run = [s, *(h * BASE + s for h in run[:self.max_piece - 1])]
-            for size, keys in enumerate(run, 1):
-                # keys of longer pieces hold the oldest symbols first
-                numbers = self.table(keys)
-                if size == 1:
-                    numbers = np.where(numbers == 0, self.unknown, numbers)
-                    yield end, 1, np.arange(len(rows)), numbers
-                else:
-                    has = np.flatnonzero(numbers)
-                    if len(has):
-                        yield end, size, has, numbers[has]
+        numbers = self.numbers(rows)
+        some = numbers.any(axis=1)
+        for end in range(1, rows.shape[1] + 1):
+            for size in np.flatnonzero(some[:, end - 1]) + 1:
+                ids = numbers[size - 1, :, end - 1]
+                has = np.flatnonzero(ids)
+                yield end, size, has, ids[has]
 
     def forward(self, rows: np.ndarray, p: np.ndarray) -> np.ndarray:
-        """Probability of each word, per column of ``p`` (piece number, language)."""
-        alpha = np.zeros((rows.shape[1] + 1, len(rows), p.shape[1]))
+        """Log probability of each word, per column of ``p`` (piece number, language)."""
+        n, length = rows.shape
+        m = self.max_piece
+        alpha = np.zeros((m + 1, n, p.shape[1]))           # the last positions, in a ring
         alpha[0] = 1.0
-        for end, size, has, numbers in self.arcs(rows):
-            if len(has) == len(rows):
-                alpha[end] += alpha[end - size] * p[numbers]
-            else:
-                alpha[end, has] += alpha[end - size, has] * p[numbers]
-        return alpha[-1]
+        logs = np.zeros((n, p.shape[1]))
+        for begin in range(0, length, COLUMNS):
+            head = max(0, begin - m + 1)
+            block = rows[:, head:begin + COLUMNS]
+            for end, size, has, ids in self.arcs(block):
+                at = head + end
+                if at <= begin:                            # of the block before
+                    continue
+                here = alpha[at % (m + 1)]
+                if size == 1:
+                    if at % RESCALE == 0:
+                        top = np.delete(alpha, at % (m + 1), axis=0).max(axis=0)
+                        alpha /= top
+                        logs += np.log(top)
+                    here[:] = alpha[(at - 1) % (m + 1)] * p[ids]
+                elif len(has) == n:
+                    here += alpha[(at - size) % (m + 1)] * p[ids]
+                else:
+                    here[has] += alpha[(at - size) % (m + 1)][has] * p[ids]
+        return logs + np.log(np.maximum(alpha[length % (m + 1)], 1e-300))
 
     def expected(self, rows: np.ndarray, weight: np.ndarray, p: np.ndarray) -> np.ndarray:
         """Expected uses of each piece over all segmentations (one language)."""
@@ -203,7 +230,7 @@ def fit(counts: list[tuple[str, str, int]], params: LangParams = LangParams()) -
     langs = sorted({c[0] for c in counts})
     if not langs:
         return None
-    lattice = Lattice(pieces(params.vocabulary, params.max_piece))
+    lattice = Lattice(pieces(params.vocabulary))
     n_numbers = lattice.unknown + 1
     single = np.zeros(n_numbers, bool)
     single[[i + 1 for i, p in enumerate(lattice.vocabulary) if len(p) == 1]] = True
@@ -241,12 +268,6 @@ def _words(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     start = np.flatnonzero(begins)
     ends = letter & (np.concatenate([~letter[1:], [True]]) | edge[1:]) if len(codes) else letter
     end = np.flatnonzero(ends) + 1
-    parts = -(-(end - start) // MAX_LETTERS)
-    if len(parts) and parts.max() > 1:                    # words over the bound, in parts
-        first = np.repeat(np.concatenate([[0], np.cumsum(parts)[:-1]]), parts)
-        nth = np.arange(parts.sum()) - first
-        start, stop = np.repeat(start, parts) + nth * MAX_LETTERS, np.repeat(end, parts)
-        end = np.minimum(start + MAX_LETTERS, stop)
     return codes, start, end, np.searchsorted(start, bounds)
 
 
@@ -255,14 +276,15 @@ def _distinct(codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     length = end - start
     total = np.concatenate([[0], np.cumsum(length)])
     within = np.arange(total[-1]) - np.repeat(total[:-1], length)
-    values = W.mix(codes[np.repeat(start, length) + within].astype(np.uint64) + np.uint64(1))
-    hashed = np.add.reduceat(values * W.powers(MAX_LETTERS + 1)[within], total[:-1])
+    values = W.mix(codes[np.repeat(start, length) + within].astype(np.uint64) + np.uint64(1)
+                   + (within.astype(np.uint64) << np.uint64(21)))
+    hashed = np.add.reduceat(values, total[:-1])
     _, first, inverse = np.unique(W.mix(hashed ^ length.astype(np.uint64)), return_index=True,
                                   return_inverse=True)
     return first, inverse
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _count_words(batches: Iterator[pa.RecordBatch], learn_letters: int) -> Iterator[pa.RecordBatch]:
     """(lang, word, n) per slice and language."""
     for whole in batches:
         for batch in slices(whole):
@@ -271,6 +293,8 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for lang in sorted(set(langs)):
                 own = [t for t, x in zip(texts, langs) if x == lang]
                 codes, start, end, _ = _words(own)
+                short = end - start <= learn_letters
+                start, end = start[short], end[short]
                 if not len(start):
                     continue
                 first, inverse = _distinct(codes, start, end)
@@ -291,10 +315,11 @@ def train(docs: DataFrame, params: LangParams = LangParams()) -> Model | None:
                             for x in (F.lit(lang), F.lit(min(1.0, params.docs_per_lang / n)))])
     draw = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) / float(1 << 20)
     sample = known.filter(draw < F.element_at(shares, F.col("lang"))).select("lang", "text")
-    counts = map_arrow(sample, _count_words, "lang string, word string, n long")
+    counts = map_arrow(sample, lambda x: _count_words(x, params.learn_letters), "lang string, word string, n long")
+    order = Window.partitionBy("lang").orderBy(F.desc("n"), "word")
     top = (counts.groupBy("lang", "word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "lang", "word").limit(params.train_words).collect())
-    return fit([(r["lang"], r["word"], r["n"]) for r in top], params)
+           .withColumn("nth", F.row_number().over(order)).filter(F.col("nth") <= params.words_per_lang).collect())
+    return fit(sorted((r["lang"], r["word"], r["n"]) for r in top), params)
 
 
 def score_texts(texts: list[str | None], model: Model | None) -> tuple[list[str], np.ndarray]:
@@ -309,10 +334,11 @@ def score_texts(texts: list[str | None], model: Model | None) -> tuple[list[str]
     mark = model.lattice.symbol[ord(START)]
     for n in np.unique(length):
         at = np.flatnonzero(length == n)
-        for some in np.array_split(at, -(-len(at) // 20_000)):
+        step = max(1, CELLS // max(min(n, COLUMNS) + 1, len(model.langs)))
+        for some in np.split(at, range(step, len(at), step)):
             symbols = model.lattice.symbol[codes[start[first[some]][:, None] + np.arange(n)]]
             rows = np.concatenate([np.full((len(some), 1), mark), symbols], axis=1)
-            logs[some] = np.log(np.maximum(model.lattice.forward(rows, model.p), 1e-300))
+            logs[some] = model.lattice.forward(rows, model.p)
     total = np.zeros((len(texts), len(model.langs)))
     full = ~none
     total[full] = np.add.reduceat(logs[inverse], row[:-1][full], axis=0)
