@@ -1,7 +1,7 @@
 """Quality rules, sharding and the licence scan against plain Python."""
 
 import collections
-import re
+import math
 import zlib
 
 import edge
@@ -48,7 +48,7 @@ def test_rules_shuffle_nothing_and_call_no_python(spark, sf_small):
     assert "Exchange" not in plan and "Python" not in plan
 
 
-@pytest.mark.parametrize("name", ["op5_quality_rules"])
+@pytest.mark.parametrize("name", ["op2_license_inheritance", "op5_quality_rules"])
 def test_query_matches_sql(spark, sf_small, name):
     report = compare(spark, sf_small, [name], verbose=False)[name]
     assert report["ok"], report
@@ -144,22 +144,46 @@ def test_licences_come_from_header_file_or_nearest_directory(spark):
         7: (None, "none", None), 8: (None, "none", None), 9: (None, "none", None)}
 
 
+def plain_scores(texts):
+    """Best cosine of each whole text, by the formula."""
+    own = {i: licenses.terms_of(t) for i, t in texts.items()}
+    df = collections.Counter(t for terms in own.values() for t in terms)
+    def weighed(terms):
+        return {t: tf * (math.log((1 + len(texts)) / (1 + df[t])) + 1) for t, tf in terms.items()}
+    def cosine(a, b):
+        return sum(w * b.get(t, 0) for t, w in a.items()) / math.sqrt(
+            sum(w * w for w in a.values()) * sum(w * w for w in b.values()))
+    known = [weighed(licenses.terms_of(text)) for _, text in licenses.KNOWN]
+    return {i: max(cosine(weighed(terms), k) for k in known) for i, terms in own.items()}
+
+
 def test_cosine_equals_plain_formula(spark):
-    import math
-    docs = spark.createDataFrame([(i, t) for i, _, t in FILES if t], "id long, text string").withColumn("path", F.lit("p"))
-    idf, other = licenses.template_idf(docs)
-    texts = {i: t for i, _, t in FILES if t}
-    sets = {i: {w for w in re.split("[^a-z0-9]+", t.lower()) if w} for i, t in texts.items()}
-    for term, value in idf.items():
-        df = sum(term in s for s in sets.values())
-        assert value == pytest.approx(math.log((1 + len(sets)) / (1 + df)) + 1)
-    for r in licenses.unit_scores(docs).filter("kind = 'file'").collect():
-        own = sets[r.id]
-        norm = math.sqrt(sum(idf.get(t, other) ** 2 for t in own))
-        best = max(sum(idf[t] ** 2 for t in own & set(licenses.terms_of(text)))
-                   / math.sqrt(sum(idf[t] ** 2 for t in licenses.terms_of(text))) / norm
-                   for text in licenses.TEMPLATES.values())
-        assert r.cosine == pytest.approx(best, abs=1e-8)
+    texts = {i: t for i, _, t in FILES if t} | {
+        20: "license license license the the " + edge.passage(5, 40), 21: licenses.FULL_TEXTS["GPL-3.0"][:9000]}
+    docs = spark.createDataFrame(list(texts.items()), "id long, text string").select(
+        "id", F.lit("p").alias("path"), "text", F.xxhash64("text").alias("version"))
+    want = plain_scores(texts)
+    rows = licenses.unit_scores(docs).filter("kind = 'file'").collect()
+    assert {20, 21} < {r.id for r in rows}
+    for r in rows:
+        assert r.cosine == pytest.approx(want[r.id], abs=1e-8)
+
+
+def test_rows_of_one_id_and_path_are_judged_apart(spark):
+    apache = "# Licensed under the Apache License, Version 2.0.\n" + edge.passage(1, 50)
+    rows = [(1, "a/x.py", apache), (1, "a/x.py", "nothing here at all"), (1, "a/x.py", apache), (1, "a/x.py", None)]
+    rows += [(i, f"s/{i}.py", edge.passage(i, 30)) for i in range(10, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = collections.Counter((r.license, r.basis) for r in licenses.scan(docs).filter("doc_id = 1").collect())
+    assert got == {("Apache-2.0", "header"): 2, (None, "none"): 2}
+
+
+def test_every_full_text_is_found(spark):
+    rows = [(i, f"s/{i}.py", edge.passage(i, 30)) for i in range(50)]
+    rows += [(100 + k, f"{name}/LICENSE", text) for k, (name, text) in enumerate(licenses.FULL_TEXTS.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    got = {r.path: r.license for r in licenses.scan(docs).filter("doc_id >= 100").collect()}
+    assert len(got) == 5 and got == {f"{name}/LICENSE": name for name in licenses.FULL_TEXTS}
 
 
 def test_common_words_in_a_header_weigh_little(spark):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tonalyze.llm import licenses
 from tonalyze.llm.quality_rules import STOP_WORDS, SYMBOLS, THRESHOLDS
 
 SPACE = r"[\x20\x09-\x0D]+"
@@ -54,6 +55,84 @@ FROM f
 """
 
 
+def license_inheritance() -> str:
+    def quoted(text):
+        return "'" + text.replace("'", "''") + "'"
+
+    templates = ",\n".join(f"({k}, {quoted(name)}, {quoted(text)})" for k, (name, text) in enumerate(licenses.KNOWN))
+    words = "list_filter(regexp_split_to_array(lower({}), '[^a-z0-9]+'), lambda x: x <> '')"
+    around = ", ".join(
+        f"array_to_string(lines[greatest(i - {before}, 1):greatest(i - {before}, 1) + {before + after}], chr(10))"
+        for before, after in licenses.AROUND)
+    return f"""
+WITH templates(k, license, t) AS (VALUES {templates}
+), files AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         concat_ws('/', source, lang, (doc_id // 100)::VARCHAR, doc_id::VARCHAR || '.txt') AS path
+  FROM documents
+), placed AS (
+  SELECT rid, doc_id, path, CASE WHEN contains(path, '/') THEN regexp_replace(path, '/[^/]*$', '') ELSE '' END AS dir
+  FROM files
+), df AS (
+  SELECT term, count(*) AS n FROM (SELECT unnest(list_distinct({words.format('text')})) AS term FROM files) GROUP BY term
+), total AS (SELECT count(*) AS n FROM files),
+template_terms AS (
+  SELECT k, license, term, 1 + ln(count(*)) AS tf
+  FROM (SELECT k, license, unnest({words.format('t')}) AS term FROM templates) GROUP BY ALL
+), weighed AS (
+  SELECT k, license, term, tf * (ln((1 + total.n) / (1 + coalesce(df.n, 0))) + 1) AS w
+  FROM template_terms LEFT JOIN df USING (term), total
+), norms AS (
+  SELECT k, sqrt(sum(w * w)) AS norm FROM weighed GROUP BY k
+), cued AS (
+  SELECT rid, text, string_split(text, chr(10)) AS lines FROM files WHERE regexp_matches(text, '{licenses.WIDE_CUE}')
+), cue_lines AS (
+  SELECT rid, lines, unnest(list_filter(generate_series(1, len(lines)),
+         lambda i: regexp_matches(lines[i], '{licenses.CUE}'))) AS i FROM cued
+), parts AS (
+  SELECT rid, 'file' AS kind, text AS part FROM cued
+  UNION ALL SELECT rid, 'header', unnest([{around}]) FROM cue_lines
+  UNION ALL SELECT rid, 'header', unnest(list_filter(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n'),
+                   lambda x: regexp_matches(x, '{licenses.WIDE_CUE}'))) FROM cued
+), units AS (
+  SELECT row_number() OVER () AS unit, * FROM parts
+), unit_terms AS (
+  SELECT unit, term, 1 + ln(count(*)) AS tf
+  FROM (SELECT unit, unnest({words.format('part')}) AS term FROM units) GROUP BY ALL
+), unit_weighed AS (
+  SELECT unit, term, tf * (ln((1 + total.n) / (1 + df.n)) + 1) AS w FROM unit_terms JOIN df USING (term), total
+), unit_norms AS (
+  SELECT unit, sqrt(sum(w * w)) AS norm FROM unit_weighed GROUP BY unit
+), cosines AS (
+  SELECT unit, k, license, sum(u.w * t.w) AS dot FROM unit_weighed u JOIN weighed t USING (term) GROUP BY ALL
+), scores AS (
+  SELECT rid, kind, round(dot / (n.norm * m.norm), 9) AS cosine, license
+  FROM cosines JOIN unit_norms n USING (unit) JOIN norms m USING (k) JOIN units USING (unit)
+), best AS (
+  SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY rid, kind ORDER BY cosine DESC, license) = 1
+), own AS (
+  SELECT best.*, doc_id, dir FROM best JOIN placed USING (rid)
+  WHERE (kind = 'header' AND cosine >= {licenses.HEADER_COSINE}) OR (kind = 'file' AND cosine >= {licenses.FILE_COSINE})
+), of_dir AS (
+  SELECT dir AS ancestor, license FROM own WHERE kind = 'file'
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY cosine DESC, doc_id NULLS LAST, license DESC) = 1
+), mine AS (
+  SELECT * FROM own QUALIFY row_number() OVER (PARTITION BY rid ORDER BY cosine DESC, kind = 'header' DESC) = 1
+), above AS (
+  SELECT dir, unnest(list_transform(generate_series(0, len(string_split(dir, '/'))),
+         lambda n: array_to_string(string_split(dir, '/')[1:n], '/'))) AS ancestor
+  FROM (SELECT DISTINCT dir FROM placed)
+), nearest AS (
+  SELECT * FROM above JOIN of_dir USING (ancestor)
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY length(ancestor) DESC) = 1
+)
+SELECT p.doc_id, p.path, coalesce(m.license, d.license) AS license, round(m.cosine, 6) AS cosine,
+       CASE WHEN m.rid IS NOT NULL THEN m.kind WHEN d.dir IS NOT NULL THEN 'inherited' ELSE 'none' END AS basis,
+       CASE WHEN m.rid IS NULL THEN d.ancestor END AS license_dir
+FROM placed p LEFT JOIN mine m USING (rid) LEFT JOIN nearest d ON d.dir = p.dir
+"""
+
+
 def filter_audit() -> str:
     """Every document is followed through every order by the letters it fails."""
     earlier = "length(translate(substr(o, 1, s - 1), fails, '')) < s - 1"
@@ -128,5 +207,5 @@ FROM p
 
 
 def statements() -> dict[str, str]:
-    return {"op5_quality_rules": quality_rules(), "op12_filter_audit": filter_audit(),
+    return {"op2_license_inheritance": license_inheritance(), "op5_quality_rules": quality_rules(), "op12_filter_audit": filter_audit(),
             "op13_fill_in_middle": fill_in_middle()}
