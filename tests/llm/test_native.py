@@ -48,7 +48,7 @@ def test_rules_shuffle_nothing_and_call_no_python(spark, sf_small):
     assert "Exchange" not in plan and "Python" not in plan
 
 
-@pytest.mark.parametrize("name", ["op2_license_inheritance", "op5_quality_rules"])
+@pytest.mark.parametrize("name", ["op2_license_inheritance", "op5_quality_rules", "op9_fm_decontamination"])
 def test_query_matches_sql(spark, sf_small, name):
     report = compare(spark, sf_small, [name], verbose=False)[name]
     assert report["ok"], report

@@ -133,6 +133,36 @@ FROM placed p LEFT JOIN mine m USING (rid) LEFT JOIN nearest d ON d.dir = p.dir
 """
 
 
+def decontamination() -> str:
+    word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+    words = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+             f"'abcdefghijklmnopqrstuvwxyz'), '{word}')")
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, {words} AS w FROM documents
+), items AS (
+  SELECT coalesce(item_id::VARCHAR, 'null') AS item, {words} AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item, w[i:i + 9] AS g FROM items, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS u(i)
+  WHERE len(w) > 0
+), sizes AS (
+  SELECT DISTINCT len(g) AS size FROM windows
+), found AS (
+  SELECT rid, i, size, item
+  FROM (SELECT rid, i, size, w[i:i + size - 1] AS g
+        FROM d, sizes, unnest(generate_series(1, len(w) - size + 1)) AS u(i)) JOIN windows USING (g)
+), hit AS (
+  SELECT rid, count(DISTINCT i + k) AS n FROM found, unnest(generate_series(0, size - 1)) AS u(k) GROUP BY rid
+), held AS (
+  SELECT rid, list_sort(list(DISTINCT item)) AS items FROM found GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_hit,
+       coalesce(len(items), 0)::BIGINT AS n_items,
+       sha256(coalesce(array_to_string(items, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM d LEFT JOIN hit USING (rid) LEFT JOIN held USING (rid)
+"""
+
+
 def filter_audit() -> str:
     """Every document is followed through every order by the letters it fails."""
     earlier = "length(translate(substr(o, 1, s - 1), fails, '')) < s - 1"
@@ -207,5 +237,6 @@ FROM p
 
 
 def statements() -> dict[str, str]:
-    return {"op2_license_inheritance": license_inheritance(), "op5_quality_rules": quality_rules(), "op12_filter_audit": filter_audit(),
+    return {"op2_license_inheritance": license_inheritance(), "op5_quality_rules": quality_rules(),
+            "op9_fm_decontamination": decontamination(), "op12_filter_audit": filter_audit(),
             "op13_fill_in_middle": fill_in_middle()}
