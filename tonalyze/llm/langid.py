@@ -22,8 +22,8 @@ Scoring reads every whole text with every piece of the vocabulary.
 
 Defined results
     null text, no letter      ``und`` with score 0
-    very long text or word    read whole (a word of a million letters takes
-                              about half a minute of its task)
+    very long text or word    read whole (a word of 100,000 letters takes about
+                              6 seconds of its task)
     null lang                 not learned from; still scored
     ties                      the language that sorts first
     no labelled document      every text is ``und`` with score 0
