@@ -55,6 +55,19 @@ def test_tree_of_several_levels(spark, sf_small):
     check_pieces(packing.pack(docs.repartition(9), params).collect(), texts)
 
 
+def test_more_underfull_sequences_than_a_node_holds(spark):
+    """Long and short documents lie in different partitions: the halves that
+    fill each other meet although no node may hold more than 60 pieces."""
+    word = " the"
+    texts = [(i, word * (590 if i < 300 else 410)) for i in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1).repartitionByRange(8, "doc_id")
+    params = packing.PackParams(fan_in=4, max_items=60, nearly_full=1000)
+    rows = packing.pack(docs, params).collect()
+    n, tokens = check_pieces(rows, texts)
+    assert len({r.sequence_id for r in rows if r.doc_id < 300}) == 300      # two of them never fit
+    assert n <= 315, n
+
+
 def test_odd_rows_and_special_strings(spark):
     rows = [*edge.texts(), (50, "a <|endoftext|> b"), (51, "<|endoftext|>"), (52, "x" * 20000)]
     check_pieces(packing.pack(edge.frame(spark, rows)).collect(), rows)

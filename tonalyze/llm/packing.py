@@ -4,16 +4,18 @@ Level 0 runs where the documents are read: a task tokenizes its partition,
 cuts longer documents, and best-fits the pieces (longest first, into the
 fullest sequence that still takes one).  Sequences nearly full are final.
 The underfull ones become items of the next level: the partitions are the
-leaves of a tree, each inner node gathers the underfull sequences of
-``fan_in`` children and best-fits them again, whole and also opened up into
-their pieces, keeping the way that needs fewer; up to the root, which emits
-what is left.  Only underfull sequences are ever shuffled.
-
-Memory is bounded: a leaf packs at most ``max_items`` pieces at a time, and
-a node that holds more underfull sequences than ``max_items`` emits them
-instead of handing them up (nothing is lost; merging that many more would
-not fill them better).  Every level is written to the shared folder, so
-sequence numbers never change when a task is run again.
+leaves of a tree, each level has ``fan_in`` times fewer nodes, over which the
+underfull sequences are dealt by a hash of their numbers, and a node
+best-fits its own again, whole and also opened up into their pieces, keeping
+the way that needs fewer; up to the root, which emits what is left.  Only
+underfull sequences are ever shuffled.
+
+Memory is bounded by pieces: a leaf packs at most ``max_items`` of them at a
+time, and a level never has so few nodes that one would get more than
+``max_items`` on average.  Where that holds the tree open, its top level is
+repeated, dealt anew each time so that sequences meet other ones, until a
+round saves less than ``min_gain`` of them.  Every level is written to the
+shared folder, so sequence numbers never change when a task is run again.
 
 Token ids are those of ``byte_bpe_50k.json`` in the `tokenizers` library.
 Texts are encoded from the same vocabulary's rank file (the ids are equal,
@@ -56,10 +58,15 @@ class PackParams:
     capacity: int = 1024
     nearly_full: int = 1020       # a sequence of so many tokens is final
     fan_in: int = 16
-    max_items: int = 200_000
+    max_items: int = 200_000      # pieces packed at once
+    min_gain: float = 0.02
     vocabulary: str = "byte_bpe_50k.json"
     ranks: str = "byte_bpe_50k.tiktoken"
 
+    def at_once(self, with_ids: bool) -> int:
+        """Pieces that a task holds; those with their ids are some 32 times as large."""
+        return max(1, self.max_items // 32) if with_ids else self.max_items
+
 
 @functools.lru_cache(maxsize=2)
 def _encoder(vocabulary: str, ranks: str):
@@ -137,7 +144,7 @@ PLACE = T.StructType([
 
 def _number(level: int, node: int, k: np.ndarray) -> np.ndarray:
     """Sequence numbers: level, node and counter side by side in 63 bits."""
-    return (np.int64(level) << 58) + (np.int64(node) << 32) + k.astype(np.int64)
+    return (np.int64(level) << 55) + (np.int64(node) << 31) + k.astype(np.int64)
 
 
 def _leaf(batches: Iterator[pa.RecordBatch], out: pa.Schema, id_col: str, text_col: str,
@@ -176,16 +183,15 @@ def _leaf(batches: Iterator[pa.RecordBatch], out: pa.Schema, id_col: str, text_c
                     rows.append((number, start, length, zlib.crc32(part.tobytes())))
                     if with_ids:
                         tokens.append(part.astype(np.int32))
-                    if len(rows) >= (params.max_items // 32 if with_ids else params.max_items):
+                    if len(rows) >= params.at_once(with_ids):
                         yield flush()
     if rows:
         yield flush()
 
 
-def _merge(table: pa.Table, level: int, root: bool, params: PackParams) -> pa.Table:
+def _merge(table: pa.Table, node: int, level: int, root: bool, params: PackParams) -> pa.Table:
     """Best-fit the sequences of one inner node as items, or their pieces if
     that takes fewer sequences."""
-    node = table.column("node")[0].as_py() // params.fan_in
     order = np.lexsort((table.column("offset").to_numpy(), table.column("sequence_id").to_numpy()))
     table = table.take(pa.array(order))
     _, first, inverse = np.unique(table.column("sequence_id").to_numpy(),
@@ -198,7 +204,7 @@ def _merge(table: pa.Table, level: int, root: bool, params: PackParams) -> pa.Ta
         bins, offsets, merged = opened
     full = np.array(merged, np.int32)[bins]
     final = full >= params.nearly_full
-    if root or np.count_nonzero(np.array(merged) < params.nearly_full) > params.max_items:
+    if root:
         final = np.ones(len(full), bool)
     places = {"sequence_id": _number(level, node, bins), "offset": offsets,
               "fill": full, "node": np.full(len(full), node, np.int32), "final": final}
@@ -209,8 +215,8 @@ def _merge(table: pa.Table, level: int, root: bool, params: PackParams) -> pa.Ta
 
 
 def _merger(level: int, root: bool, params: PackParams):
-    def merge(table: pa.Table) -> pa.Table:
-        return _merge(table, level, root, params)
+    def merge(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return _merge(table, key[0].as_py(), level, root, params)
 
     return merge
 
@@ -230,18 +236,22 @@ def pack(docs: DataFrame, params: PackParams = PackParams(), id_col: str = "doc_
     current = saved(leaves, "pack-0", ["final"])
     nodes = (current.agg(F.max("node")).first()[0] or 0) + 1
     done = [current.filter("final")]
-    level = 0
+    level, before = 0, None
     while True:
         level += 1
-        parents = -(-nodes // params.fan_in)
-        root = parents == 1
-        open_ = current.filter(~F.col("final")).select(*schema.names)
-
-        merged = open_.groupBy(F.floor(F.col("node") / params.fan_in).alias("parent")).applyInArrow(
-            _merger(level, root, params), schema)
-        current = saved(merged, f"pack-{level}", ["final"])
+        rest = current.filter(~F.col("final")).select(*schema.names)
+        pieces, sequences = rest.agg(F.count(F.lit(1)), F.count_if(F.col("offset") == 0)).first()
+        if not pieces:
+            break
+        least = -(-pieces // params.at_once(with_ids))
+        if before and 1 < nodes <= least and sequences > (1 - params.min_gain) * before:
+            done.append(rest)
+            break
+        before, nodes = sequences, max(-(-nodes // params.fan_in), least)
+        root = nodes == 1
+        dealt = rest.groupBy(F.pmod(F.xxhash64("sequence_id", F.lit(level)), F.lit(nodes)).cast("int").alias("to"))
+        current = saved(dealt.applyInArrow(_merger(level, root, params), schema), f"pack-{level}", ["final"])
         done.append(current.filter("final"))
-        nodes = parents
         if root:
             break
     names = [id_col, *PIECE.names, *(f.name for f in extra), "sequence_id", "offset"]
